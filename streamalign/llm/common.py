@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once per application, in case it isn't installed there."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    file = os.path.join(tempfile.mkdtemp(prefix="spark-"), f"{package.name}.zip")
+    with zipfile.ZipFile(file, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(file)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """mapInArrow by a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def to_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each value; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
