@@ -154,7 +154,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, most
     weights[used] = w
     if not slope[0] > 0:  # the held-out rows don't bear the regression out
         return QualityModel(None)
-    return QualityModel(weights, b, float(slope[0]) / spread, float(offset))
+    return QualityModel(weights, float(b), float(slope[0]) / spread, float(offset))
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5,
             counts = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in found.items()}
             p = np.concatenate(chance) if chance else np.zeros(0)
             failed = (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
-            yield with_columns(batch, new, [*(pa.array(x.astype(np.int64)) for x in counts.values()), pa.array(failed), pa.array(p), pa.array(~failed & (p >= threshold))])
+            yield with_columns(batch, new, [*(pa.array(x.astype(np.int64)) for x in counts.values()), pa.array(failed), pa.array(p, pa.float64()), pa.array(~failed & (p >= threshold))])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{c} bigint" for c in COUNTS), "base_failed boolean", "quality_p double", "kept boolean"])
     return map_arrow(docs, run, schema)

@@ -10,6 +10,12 @@ from .langid import identify_languages, train_language_model
 from .mixing import mix_sources
 from .quality import COUNTS, score_quality, train_quality
 from .sharding import shard_documents
+from .simhash import near_duplicates
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op3_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +51,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_pareto_mixing": op3_pareto_mixing,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_quality": op6_quality,
