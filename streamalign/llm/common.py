@@ -162,3 +162,33 @@ def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def with_columns(batch: pa.RecordBatch, names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+
+
+def pack_chunks(df: DataFrame, chunk_bytes: int) -> DataFrame:
+    """Whole rows of df, with about chunk_bytes of `text` together, as compressed Arrow data: chunk_id, payload.
+
+    The ids follow from the partition and the order in it; write the result before using it twice.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for lo, hi in groups(to_bytes(batch.column("text")), chunk_bytes):
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                    stream.write_batch(batch.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk_id", "payload"])
+                chunk += 1
+
+    return map_arrow(df, run, "chunk_id bigint, payload binary")
+
+
+def unpack_chunk(payload: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(payload).read_next_batch()
+
+
+def text_bytes(df: DataFrame) -> int:
+    """UTF-8 bytes of all texts together."""
+    return df.selectExpr("coalesce(sum(octet_length(text)), 0L) AS n").first().n

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .bpe import tokenize
 from .chat import format_turns, read_back, text_parts
 from .common import table
 from .langid import identify_languages, train_language_model
+from .media import read_media, store_media
 from .mixing import mix_sources
+from .ngram_lm import score_documents
 from .quality import COUNTS, score_quality, train_quality
 from .sharding import shard_documents
 from .simhash import near_duplicates
+from .suffix_dedup import repeat_report
+
+
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = store_media(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return read_media(stored.select("doc_id", "media"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +32,10 @@ def op3_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents").select("doc_id", "text"), 50)
+
+
 def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -34,6 +47,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", *COUNTS, "base_failed", "kept", "quality_p")
 
 
+def vocabulary_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenize(docs, vocabulary_file(), with_ids=False).drop("text")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -42,6 +66,12 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns))
 
 
+def op9_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs, "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2")
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -51,11 +81,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_media": op1_media,
     "op2_simhash": op2_simhash,
     "op3_pareto_mixing": op3_pareto_mixing,
+    "op4_repeats": op4_repeats,
     "op5_hypergeometric_shards": op5_hypergeometric_shards,
     "op6_quality": op6_quality,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_chat": op8_chat,
+    "op9_ngram_lm": op9_ngram_lm,
     "op10_language": op10_language,
 }
 
