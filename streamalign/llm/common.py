@@ -177,7 +177,7 @@ def pack_chunks(df: DataFrame, chunk_bytes: int) -> DataFrame:
         for batch in batches:
             for lo, hi in groups(to_bytes(batch.column("text")), chunk_bytes):
                 out = pa.BufferOutputStream()
-                with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as stream:
                     stream.write_batch(batch.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk_id", "payload"])
                 chunk += 1

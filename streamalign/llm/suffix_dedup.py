@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import Texts, at8, map_arrow, mix, pack_chunks, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
@@ -26,6 +27,7 @@ CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 _SLICE = 1 << 19
 _POS = np.uint64((1 << 28) - 1)
 _ONE = np.uint64(1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _NULL_ID = np.iinfo(np.int64).max
 
 
@@ -45,7 +47,7 @@ def _anchors(t: Texts, length: int) -> tuple[np.ndarray, ...]:
         if not len(inside):
             continue
         n = b - a + span - 1
-        h = mix(view[a : a + n] * np.uint64(0x9E3779B97F4A7C15) ^ mix(view[a + 8 : a + 8 + n] + np.uint64(1)))
+        h = mix(view[a : a + n] * _ODD ^ mix(view[a + 8 : a + 8 + n] + np.uint64(1)))
         least = (h & ~_POS) | np.arange(n, dtype=np.uint64)
         width = 1
         while width * 2 <= span:
@@ -58,6 +60,7 @@ def _anchors(t: Texts, length: int) -> tuple[np.ndarray, ...]:
         for column, x in zip(out, (inside[new] + a, np.diff(np.append(new, len(inside))), at[new] + a, h[at[new]]), strict=True):
             column.append(x)
     first, count, anchor, key = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in zip(out, (np.int64, np.int64, np.int64, np.uint64), strict=True))
+    key = mix(key * _ODD)  # least hashes are small; their buckets shouldn't be
     return first, count, anchor, key, np.searchsorted(t.start, first, side="right") - 1
 
 
@@ -84,8 +87,16 @@ def _blobs(bounds: np.ndarray, chunk: int, columns: list[np.ndarray], name: str)
 
 
 def shared_keys(table: pa.Table) -> pa.Table:
-    """For one bucket, which keys of each chunk occur in several texts, as a bit for each key that it sent."""
-    sent = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in table.column("blob")]
+    """For one bucket, which keys of each chunk occur in several texts, as a bit for each key that it sent.
+
+    A key is sent as 39 bits and one for whether the chunk itself has it in several texts; keys that agree by chance
+    are only looked at in vain.
+    """
+    sent = []
+    for x in table.column("blob"):
+        raw = np.frombuffer(x.as_buffer(), dtype=np.uint8)
+        n = len(raw) // 5
+        sent.append(np.frombuffer(raw[: 4 * n].tobytes(), "<u4").astype(np.uint64) | raw[4 * n :].astype(np.uint64) << np.uint64(32))
     every = np.concatenate(sent)
     order = np.argsort(every)
     k = every[order]
@@ -131,7 +142,7 @@ def first_documents(table: pa.Table, length: int) -> pa.Table:
     span = length - GRAM
     heads, bodies, counts = [], [], []
     for x in table.column("blob"):
-        raw = np.frombuffer(x.as_buffer(), dtype=np.uint8)
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_buffer()), dtype=np.uint8)
         n = int(raw[:4].view("<u4")[0])
         heads.append(raw[4 : 4 + n * _SEGMENT.itemsize].view(_SEGMENT))
         bodies.append(raw[4 + n * _SEGMENT.itemsize :])
@@ -225,7 +236,8 @@ def _stretches(payload: bytes, chunk: int, masks: pa.Table, length: int, n_bucke
     use["stretch"], use["first"] = number - bound[bucket[order]], first[order]
     uses = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
     some = np.flatnonzero(np.diff(bound))
-    sent = [np.uint32(bound[b + 1] - bound[b]).tobytes() + head[bound[b] : bound[b + 1]].tobytes() + body[upto[bound[b]] : upto[bound[b + 1]]] for b in some]
+    pack = zstandard.ZstdCompressor(level=3).compress
+    sent = [pack(np.uint32(bound[b + 1] - bound[b]).tobytes() + head[bound[b] : bound[b + 1]].tobytes() + body[upto[bound[b]] : upto[bound[b + 1]]]) for b in some]
     kept = [use[uses[b] : uses[b + 1]].tobytes() for b in some]
     for kind, blobs in ((0, sent), (1, kept)):
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), chunk)), pa.array(np.full(len(some), kind, np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "chunk_id", "kind", "blob"])
@@ -270,7 +282,8 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
                 rows = unpack_chunk(payload.as_buffer())
                 *_, key, text = _anchors(Texts(to_bytes(rows.column("text"))), length)
                 keys, several, bounds = _by_bucket(key | _ONE, text, n_buckets)
-                yield _blobs(bounds, chunk, [(keys & ~_ONE) | several.astype(np.uint64)], "blob")
+                keys = (keys & ~_ONE) | several.astype(np.uint64)
+                yield _blobs(bounds, chunk, [keys.astype("<u4"), (keys >> np.uint64(32)).astype(np.uint8)], "blob")
 
     def stretches(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
