@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import Texts, map_arrow, mix, pack_chunks, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
 
-CHUNK_BYTES, BUCKET_BYTES = 12 << 20, 4 << 20
+CHUNK_BYTES, BUCKET_BYTES = 5 << 20, 4 << 20
 #: Tokens of a word per context that it is split into.
 FAN_TOKENS = 1 << 17
 #: Weight of the unigram probability, in tokens.
