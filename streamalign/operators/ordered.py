@@ -23,6 +23,13 @@ def join_on(left: DataFrame, right: DataFrame, columns: list[str], how: str = "i
     return left.join(renamed, same, how).drop(*[f"__r_{c}" for c in columns])
 
 
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """df marked for broadcast after a check that it has at most `most` rows."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"over {most} rows are not broadcast")
+    return F.broadcast(df)
+
+
 def _cut(df: DataFrame, order: str, width: float) -> DataFrame:
     return df.withColumn(_S, F.floor(F.col(order) / F.lit(width)).cast("long"))
 

@@ -1,0 +1 @@
+"""Incremental counterparts of batch operators for Structured Streaming."""
