@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Texts, at8, groups, map_arrow, mix, to_bytes, with_columns
+from .common import Texts, at8, groups, map_arrow, mix, schema_with, to_bytes, with_columns
 
 #: Classes of characters in the pre-token pattern.
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -254,14 +254,12 @@ def bpe_from(lines: bytes) -> ByteBpe:
 
 
 def tokenize(docs: DataFrame, vocabulary_file: str, with_ids: bool = True, group_bytes: int = 1 << 19) -> DataFrame:
-    """docs with n_tokens, ids_sha256, decoded_sha256 and (with_ids) the ids of each text.
+    """docs with n_tokens, ids_sha256, decoded_sha256 and (with_ids) the ids of each text added, or replaced.
 
     vocabulary_file, of base64 tokens and ranks, is read on the driver and sent along (under 1 MB for 50,000
     tokens). decoded_sha256 is of the bytes that the ids stand for. Null text is empty: no ids.
     """
     new = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"][:with_ids]]
-    if clash := [c for c in docs.columns if c in new]:
-        raise ValueError(f"columns {clash} exist already")
     with open(vocabulary_file, "rb") as f:
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -284,5 +282,4 @@ def tokenize(docs: DataFrame, vocabulary_file: str, with_ids: bool = True, group
                 done = hi
             assert done == len(values)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_tokens bigint, ids_sha256 string, decoded_sha256 string", *["ids array<int>"][:with_ids]])
-    return map_arrow(docs, run, schema)
+    return map_arrow(docs, run, schema_with(docs, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids))

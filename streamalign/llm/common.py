@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 #: A word is a longest run of characters outside this class.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,10 +70,26 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """mapInArrow by a function of this package."""
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """mapInArrow by a function of this package; names that Spark would parse are plain ones meanwhile."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    if isinstance(schema, str) or not any(map(_is_odd, df.columns)):
+        return plain_names(df).mapInArrow(run, schema)
+    fields = [StructField(_plain(f.name), f.dataType) for f in schema]
+    return plain_names(df).mapInArrow(run, StructType(fields)).toDF(*schema.names)
+
+
+def _is_odd(name: str) -> bool:
+    return "." in name or "`" in name
+
+
+def _plain(name: str) -> str:
+    return f"__odd_{name.encode().hex()}" if _is_odd(name) else name
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """df with names that have dots or backticks replaced by plain ones."""
+    return df.toDF(*map(_plain, df.columns)) if any(map(_is_odd, df.columns)) else df
 
 
 def to_bytes(column: pa.Array) -> list[bytes]:
@@ -160,8 +177,22 @@ def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def _others(names: list[str], new: list[str]) -> list[str]:
+    taken = {n.lower() for n in new}
+    return [n for n in names if n.lower() not in taken]
+
+
 def with_columns(batch: pa.RecordBatch, names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+    """batch with these columns at its end; they take the place of columns of the same name in any case."""
+    kept = _others(batch.schema.names, names)
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *columns], names=[*kept, *names])
+
+
+def schema_with(df: DataFrame, added: str) -> StructType:
+    """The schema of what with_columns makes of df's rows."""
+    new = StructType.fromDDL(added).fields
+    kept = set(_others(df.columns, [f.name for f in new]))
+    return StructType([StructField(f.name, f.dataType) for f in df.schema if f.name in kept] + new)
 
 
 def pack_chunks(df: DataFrame, chunk_bytes: int) -> DataFrame:

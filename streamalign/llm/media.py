@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import groups, map_arrow, to_bytes, with_columns
+from .common import groups, map_arrow, schema_with, to_bytes, with_columns
 
 WIDTH, HEIGHT, RATE = 64, 16, 25
 #: Code lengths of the difference categories 0 to 8 in our files; readers take the table from each file.
@@ -294,9 +294,10 @@ def find_shots(histograms: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, n
 
 
 def store_media(docs: DataFrame, name: str = "media", group_bytes: int = 1 << 20) -> DataFrame:
-    """docs (with `text`) and the AVI that holds each text's bytes; null text is empty and gives 64 zeros."""
-    if name in docs.columns:
-        raise ValueError(f"column {name} exists already")
+    """docs (with `text`) and, in a new or replaced column, the AVI that holds each text's bytes.
+
+    Null text is empty, and empty text gives 64 zeros.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,7 +305,7 @@ def store_media(docs: DataFrame, name: str = "media", group_bytes: int = 1 << 20
             for lo, hi in groups(values, group_bytes):
                 yield with_columns(batch.slice(lo, hi - lo), [name], [pa.array(encode_payloads(values[lo:hi]), pa.binary())])
 
-    return map_arrow(docs, run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` binary"]))
+    return map_arrow(docs, run, schema_with(docs, f"`{name}` binary"))
 
 
 CLIP = "array<struct<first_frame: int, frames: int, start_s: double, end_s: double, change: double>>"

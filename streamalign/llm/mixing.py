@@ -89,7 +89,7 @@ def mix_sources(
     seed: str = "mix",
     max_sources: int = 100_000,
 ) -> DataFrame:
-    """docs with `size`, `source_size`, `target`, `copies` and `taken` added: how often the mix takes each document.
+    """docs with `size`, `source_size`, `target`, `copies` and `taken` added (or replaced): how often the mix takes each.
 
     A source's target is cut into certain whole copies of all its documents and a rest. The rest is a Pareto order
     sample: documents go by the random odds u/(1-u) over their inclusion odds p/(1-p), p being rest/source size,
@@ -97,14 +97,22 @@ def mix_sources(
     that a very long document at the cut doesn't leave the source short.
 
     Null text has size 0; null is a source of its own, the last one. Documents of size 0 get the whole copies.
-    Rows with one doc_id share their random number and are taken or left together. Existing columns with these
-    names are an error; no document is split. Needs up to max_sources sources, since their targets are broadcast.
+    Rows with one doc_id share their random number and are taken or left together. No document is split. Needs up to max_sources sources, since their targets are broadcast.
     """
-    new = ["size", "source_size", "target", "copies", "taken"]
-    if clash := [c for c in docs.columns if c in new]:
-        raise ValueError(f"columns {clash} exist already")
-    sized = docs.withColumn("size", F.coalesce(F.expr(f"regexp_count(text, r'{WORD}')"), F.lit(0)).cast("long"))
-    small = stage(sized.select("source", "size", uniform(F.lit(seed), F.col("doc_id")).alias("u")), "mix-sizes")
+    new = ("size", "source_size", "target", "copies", "taken")
+    found = _mixed(docs, weights, share, most, seed, max_sources)
+    kept = [F.col(_quoted(c)) for c in docs.columns if c.lower() not in new]
+    return found.select(*kept, *[F.col(f"__mix_{c}").alias(c) for c in new])
+
+
+def _quoted(name: str) -> str:
+    return "`{}`".format(name.replace("`", "``"))
+
+
+def _mixed(docs: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: str, max_sources: int) -> DataFrame:
+    """docs and the columns of mix_sources, prefixed with __mix_."""
+    sized = docs.withColumn("__mix_size", F.coalesce(F.expr(f"regexp_count(text, r'{WORD}')"), F.lit(0)).cast("long"))
+    small = stage(sized.select("source", F.col("__mix_size").alias("size"), uniform(F.lit(seed), F.col("doc_id")).alias("u")), "mix-sizes")
     targets = stage(source_targets(small, weights, share, most), "mix-targets")
     if (n := targets.count()) > max_sources:
         raise ValueError(f"{n} sources; at most {max_sources} targets are broadcast")
@@ -131,21 +139,21 @@ def mix_sources(
     u_rank = u / (1 - u) / (m["chance"] / (1 - m["chance"]))
     upto = lambda b, r: (u_bucket < b) | ((u_bucket == b) & (u_rank <= r))
     is_first = upto(m["b1"], m["r1"])
-    is_second = ~is_first & (F.col("size") > 0) & (F.col("size") <= m["rest"] - m["used"]) & upto(m["b2"], m["r2"])
+    is_second = ~is_first & (F.col("__mix_size") > 0) & (F.col("__mix_size") <= m["rest"] - m["used"]) & upto(m["b2"], m["r2"])
     sampled = F.when(m["chance"] > 0, F.coalesce(is_first, F.lit(False)) | F.coalesce(is_second, F.lit(False))).otherwise(False)
-    joined = sized.join(F.broadcast(cuts), F.col("source").eqNullSafe(m["its_source"]))
+    joined = sized.join(F.broadcast(cuts), F.col("source").eqNullSafe(m["its_source"])).withColumn("__mix_copies", m["whole"] + sampled.cast("long"))
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        "size",
-        m["source_size"].cast("long").alias("source_size"),
-        m["target"].alias("target"),
-        (m["whole"] + sampled.cast("long")).alias("copies"),
-        (F.col("size") * (m["whole"] + sampled.cast("long"))).alias("taken"),
+        *[F.col(_quoted(c)) for c in docs.columns],
+        "__mix_size",
+        m["source_size"].cast("long").alias("__mix_source_size"),
+        m["target"].alias("__mix_target"),
+        "__mix_copies",
+        (F.col("__mix_size") * F.col("__mix_copies")).alias("__mix_taken"),
     )
 
 
-def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
+def repeat_mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix", max_sources: int = 100_000) -> DataFrame:
     """The mix itself: each document as often as mix_sources takes it, with the columns of docs."""
-    mixed = mix_sources(docs, **options)
-    times = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], times.alias("__mix_copy")).drop("__mix_copy")
+    mixed = _mixed(docs, weights, share, most, seed, max_sources)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("__mix_copies").cast("int")))
+    return mixed.select(*[F.col(_quoted(c)) for c in docs.columns], times.alias("__mix_copy")).drop("__mix_copy")

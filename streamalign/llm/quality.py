@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, at8, groups, map_arrow, mix, pair_hash, per_text, span_hash, to_bytes, with_columns
+from .common import Texts, at8, groups, map_arrow, mix, pair_hash, per_text, schema_with, span_hash, to_bytes, with_columns
 
 #: Feature slots; the upper half is for word n-grams, the lower one for character n-grams.
 SLOTS = 1 << 15
@@ -145,11 +146,14 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, most
         shares = np.frombuffer(r.shares, np.float32)
         x[k, place[at : at + len(shares)]] = shares
         at += len(shares)
-    fold = np.arange(len(texts)) % 4 == 0
+    fold = np.array([zlib.crc32(str(r.doc_id).encode()) % 4 == 0 for r in texts])
+    if len(set(y[fold].tolist())) < 2 or len(set(y[~fold].tolist())) < 2:  # too few to hold any out
+        fold = np.zeros(len(texts), dtype=bool)
+    held = fold if fold.any() else ~fold
     w, b = _logistic(x[~fold], y[~fold], rounds, 1e-6)
-    score = (x[fold] @ w + b)[:, None]
+    score = (x[held] @ w + b)[:, None]
     spread = float(score.std()) or 1.0
-    slope, offset = _logistic(score / spread, y[fold], 500, 1e-3)
+    slope, offset = _logistic(score / spread, y[held], 500, 1e-3)
     weights = np.zeros(SLOTS, dtype=np.float32)
     weights[used] = w
     if not slope[0] > 0:  # the held-out rows don't bear the regression out
@@ -171,29 +175,42 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5, group_bytes: int = 1 << 20) -> DataFrame:
-    """docs with the counts, base_failed, quality_p (the probability of good quality) and kept added.
+    """docs with the counts, base_failed, quality_p (the probability of good quality) and kept added, or replaced.
 
     base_failed: fewer than 20 words, or over 30 % of the words in repeated 8-word windows. kept: not base_failed and
     quality_p at least the threshold. Null text counts as empty, which fails. Each row is judged by itself.
     """
     new = [*COUNTS, "base_failed", "quality_p", "kept"]
-    if clash := [c for c in docs.columns if c in new]:
-        raise ValueError(f"columns {clash} exist already")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = to_bytes(batch.column("text"))
-            found: dict[str, list] = {c: [] for c in COUNTS}
-            chance = []
-            for lo, hi in groups(values, group_bytes):
-                for c, x in text_counts(values[lo:hi]).items():
-                    found[c].append(x)
-                chance.append(shared.value.probability(values[lo:hi]))
-            counts = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in found.items()}
-            p = np.concatenate(chance) if chance else np.zeros(0)
-            failed = (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
+            counts, failed, p = _judge(to_bytes(batch.column("text")), shared.value, group_bytes)
             yield with_columns(batch, new, [*(pa.array(x.astype(np.int64)) for x in counts.values()), pa.array(failed), pa.array(p, pa.float64()), pa.array(~failed & (p >= threshold))])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{c} bigint" for c in COUNTS), "base_failed boolean", "quality_p double", "kept boolean"])
-    return map_arrow(docs, run, schema)
+    return map_arrow(docs, run, schema_with(docs, ", ".join(f"{c} bigint" for c in COUNTS) + ", base_failed boolean, quality_p double, kept boolean"))
+
+
+def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.5, group_bytes: int = 1 << 20) -> DataFrame:
+    """The rows of docs that score_quality would keep, with their columns and no others."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, failed, p = _judge(to_bytes(batch.column("text")), shared.value, group_bytes)
+            yield batch.filter(pa.array(~failed & (p >= threshold)))
+
+    return map_arrow(docs, run, docs.schema)
+
+
+def _judge(values: list[bytes], model: QualityModel, group_bytes: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Counts, whether the base rules fail, and the probability of good quality, of each text."""
+    found: dict[str, list] = {c: [] for c in COUNTS}
+    chance = []
+    for lo, hi in groups(values, group_bytes):
+        for c, x in text_counts(values[lo:hi]).items():
+            found[c].append(x)
+        chance.append(model.probability(values[lo:hi]))
+    counts = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in found.items()}
+    p = np.concatenate(chance) if chance else np.zeros(0)
+    return counts, (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"]), p

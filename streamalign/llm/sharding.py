@@ -39,7 +39,7 @@ def _hypergeometric(good: str, total: str, sample: str, u: str) -> str:
 
 
 def _matrix(parts: DataFrame, capacities: list[int], seed: int) -> DataFrame:
-    """Rows per (part, shard), drawn exactly: part, and `upto`, the running counts over the shards.
+    """Rows per (part, shard), drawn exactly: __in_part, and `__upto`, the running counts over the shards.
 
     parts: one row, `parts` array<struct<part, n>>. The parts are halved again and again; each half's share of every
     shard is a multivariate hypergeometric draw, one shard after the other. All steps are narrow, so the nodes of a
@@ -62,11 +62,11 @@ def _matrix(parts: DataFrame, capacities: list[int], seed: int) -> DataFrame:
                 named_struct('node', node * 2L + 1L, 'parts', slice(parts, size(half) + 1, size(parts)), 'room', zip_with(room, got, (a, b) -> a - b)))))"""))
             .select("child.*")
         )
-    return node.filter("size(parts) = 1").select(F.col("parts")[0]["part"].alias("part"), F.expr(f"transform(sequence(1, {shards}), k -> aggregate(slice(room, 1, k), 0L, (s, x) -> s + x))").alias("upto"))
+    return node.filter("size(parts) = 1").select(F.col("parts")[0]["part"].alias("__in_part"), F.expr(f"transform(sequence(1, {shards}), k -> aggregate(slice(room, 1, k), 0L, (s, x) -> s + x))").alias("__upto"))
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 20240607) -> DataFrame:
-    """docs with `shard` and `slot` added: a uniform random arrangement, shard sizes at most one apart.
+    """docs with `shard` and `slot` added (or replaced): a uniform random arrangement, shard sizes at most one apart.
 
     Rows lie in virtual partitions by a hash of doc_id. The counts that each sends to each shard are drawn as in a
     uniform permutation; rows are ordered at random within their partition, cut by these counts, and ordered at
@@ -75,10 +75,8 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 20240607)
     Expects columns doc_id and row_key; row_key tells rows with one doc_id apart, and rows equal in both are
     interchangeable. Null ids are one more id. An empty table gives an empty result.
     """
-    new = ["shard", "slot"]
-    if clash := [c for c in docs.columns if c in new]:
-        raise ValueError(f"columns {clash} exist already")
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    docs = docs.drop("shard", "slot")
+    names = [F.col("`{}`".format(c.replace("`", "``"))) for c in docs.columns]
     n = docs.count()
     n_parts, stretches = n // PART_ROWS + 1, n // shards // PART_ROWS + 1
     capacities = [n // shards + (k < n % shards) for k in range(shards)]
@@ -89,17 +87,17 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 20240607)
     matrix = stage(_matrix(counts.filter("size(parts) > 0"), capacities, seed), "shard-matrix")
     local = Window.partitionBy("__part").orderBy("__first", "doc_id", "row_key")
     sent = (
-        placed.join(matrix, F.col("__part") == F.col("part"))
+        placed.join(matrix, F.col("__part") == F.col("__in_part"))
         .withColumn("__rank", F.row_number().over(local) - 1)
-        .withColumn("shard", F.expr("cast(size(filter(upto, c -> c <= __rank)) as int)"))
+        .withColumn("shard", F.expr("cast(size(filter(__upto, c -> c <= __rank)) as int)"))
         .select(*names, "__second", "__stretch", "shard")
     )
     sent = stage(sent, "shard-sent")
-    before = Window.partitionBy("in_shard").orderBy("in_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sent.groupBy(F.col("shard").alias("in_shard"), F.col("__stretch").alias("in_stretch")).agg(F.count("*").alias("n_here")).withColumn("__start", F.coalesce(F.sum("n_here").over(before), F.lit(0)))
+    before = Window.partitionBy("__in_shard").orderBy("__in_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sent.groupBy(F.col("shard").alias("__in_shard"), F.col("__stretch").alias("__in_stretch")).agg(F.count("*").alias("__n_here")).withColumn("__start", F.coalesce(F.sum("__n_here").over(before), F.lit(0)))
     again = Window.partitionBy("shard", "__stretch").orderBy("__second", "doc_id", "row_key")
     return (
-        sent.join(starts, (F.col("shard") == F.col("in_shard")) & (F.col("__stretch") == F.col("in_stretch")))
+        sent.join(starts, (F.col("shard") == F.col("__in_shard")) & (F.col("__stretch") == F.col("__in_stretch")))
         .withColumn("slot", (F.col("__start") + F.row_number().over(again) - 1).cast("long"))
         .select(*names, "shard", "slot")
     )

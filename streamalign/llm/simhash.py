@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, groups, map_arrow, ship, stage, to_bytes, with_columns
+from .common import Texts, groups, map_arrow, schema_with, ship, stage, to_bytes, with_columns
 
 SEED = 42
 #: Bits of a trie that must agree before its node pairs are walked; with three rotations, one of them has no
@@ -60,7 +60,7 @@ def fingerprints(values: list[bytes], shingle: int = 3) -> np.ndarray:
 
 
 def add_fingerprint(docs: DataFrame, name: str = "fingerprint", group_bytes: int = 1 << 20) -> DataFrame:
-    """docs with the 64-bit fingerprint of `text` as a long; texts without a word (or null) have 0."""
+    """docs with the 64-bit fingerprint of `text` as a long, in a new or replaced column; texts without a word (or null) have 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,7 +68,7 @@ def add_fingerprint(docs: DataFrame, name: str = "fingerprint", group_bytes: int
             found = [fingerprints(values[lo:hi]) for lo, hi in groups(values, group_bytes)]
             yield with_columns(batch, [name], [pa.array(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))])
 
-    return map_arrow(docs, run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` bigint"]))
+    return map_arrow(docs, run, schema_with(docs, f"`{name}` bigint"))
 
 
 def trie_pairs(low: np.ndarray, high: np.ndarray, key: np.ndarray, depth: int, used: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:

@@ -17,9 +17,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
-from .common import Texts, at8, map_arrow, mix, pack_chunks, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, map_arrow, mix, pack_chunks, plain_names, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
 
 GRAM = 16
 #: Text in one chunk, whose repeats are joined before anything is sent, and per bucket on average.
@@ -264,7 +265,7 @@ def _removed(t: Texts, ids: np.ndarray, rows: pa.Table, length: int) -> np.ndarr
     return np.cumsum(step)[:-1] > 0
 
 
-def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts, np.ndarray], pa.RecordBatch], schema: str, length: int = 50) -> DataFrame:
+def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts, np.ndarray], pa.RecordBatch], schema: str | StructType, length: int = 50) -> DataFrame:
     """finish(rows, their texts, which bytes of the buffer are removed) for chunks of docs (doc_id, text, any more).
 
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller doc_id. Rows
@@ -346,5 +347,5 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         whole = pa.array(~((removed == t.len) & (t.len > 0)))
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(whole)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_without_repeats(docs, finish, schema, length).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = plain_names(docs)
+    return map_without_repeats(plain, finish, plain.schema, length).toDF(*docs.columns)
