@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from .common import groups, map_arrow, to_bytes
 
@@ -105,14 +106,14 @@ def train_language_model(docs: DataFrame, sample_docs: int = 300, sample_bytes:
     longer than sample_bytes are passed over. The bound is sample_docs x sample_bytes bytes a language.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.octet_length("text").between(1, sample_bytes))
-    langs = [r.lang for r in usable.select("lang").distinct().limit(1000).collect()]
-    parts = [usable.filter(F.col("lang") == x).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for x in langs]
-    if not parts:
-        return PpmModel.train({})
-    chosen = parts[0]
-    for x in parts[1:]:
-        chosen = chosen.unionByName(x)
-    chosen = chosen.select("doc_id", "lang").distinct()
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    if (n := counts.count()) > 10_000:
+        raise ValueError(f"{n} languages; at most 10000 are learned")
+    # about twice as many as wanted by their hash, then the first of them
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = usable.select("doc_id", "lang").join(F.broadcast(counts), "lang").filter(share < F.lit(2.0 * sample_docs + 50) / F.col("n")).select("doc_id", "lang").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("doc_id", "lang")
     samples: dict[str, list[bytes]] = {}
     rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").orderBy("lang", "doc_id", "text").collect()
     for r in rows:
