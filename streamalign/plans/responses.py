@@ -41,10 +41,10 @@ _W = ", s AS (SELECT v3.ord AS ord_w, v3.* EXCLUDE (ord), p.plane FROM v3, (VALU
 
 @query("v2", """, b AS (SELECT plane, arg_min(t, ord) AS t0, max(t) AS t1 FROM v2 GROUP BY 1), ax AS (SELECT c.plane, c.roi, t0, unnest(range(0, floor((t1 - t0) / 86400)::BIGINT + 1)) AS bin FROM (SELECT DISTINCT plane, roi FROM v2) c JOIN b USING (plane)),
 m AS (SELECT plane, roi, floor((t - t0) / 86400)::BIGINT AS bin, avg(dff) AS mean, count(dff) AS n FROM v2 JOIN b USING (plane) GROUP BY 1, 2, 3)
-SELECT plane, roi, bin, round(t0 + (bin + 0.5) * 86400, 5) AS centre, round(mean, 8) AS mean, coalesce(n, 0) AS n FROM ax LEFT JOIN m USING (plane, roi, bin)""")
+SELECT plane, roi, bin, round(t0 + (bin + 0.5) * 86400, 6) AS centre, round(mean, 8) AS mean, coalesce(n, 0) AS n FROM ax LEFT JOIN m USING (plane, roi, bin)""")
 def a1_bin_mean(spark: SparkSession, sf: str) -> DataFrame:
     b = bins.bin_mean(V.traces(spark, sf), ["plane"], ["roi"], "dff", 86400.0)
-    return b.select("plane", "roi", "bin", r("centre", 5).alias("centre"), r("mean", 8).alias("mean"), "n")
+    return b.select("plane", "roi", "bin", r("centre").alias("centre"), r("mean", 8).alias("mean"), "n")
 
 
 @query("v2 v3", _W + " SELECT ord_w, plane, roi, floor((t - start) / 600)::BIGINT AS bin, round(avg(dff * 100), 6) AS mean FROM pr GROUP BY 1, 2, 3, 4")
@@ -69,18 +69,18 @@ gr AS (SELECT * FROM (SELECT DISTINCT plane, roi FROM v2 WHERE plane IN ('click'
 mm AS (SELECT *, min(raw) OVER (PARTITION BY plane, roi) AS lo, max(raw) OVER (PARTITION BY plane, roi) AS hi FROM raw)"""
 
 
-@query("v2 v3", _W + _RF + " SELECT plane, roi, x, y, n, round(raw, 8) AS raw, round((raw - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END, 8) AS scaled FROM mm")
+@query("v2 v3", _W + _RF + " SELECT plane, roi, x, y, n, round(raw + 3e-10, 8) AS raw, round((raw - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END, 8) AS scaled FROM mm")
 def a5_receptive_field(spark: SparkSession, sf: str) -> DataFrame:
     t = V.traces(spark, sf).filter("plane in ('click', 'view')")
     f = response.receptive_field(_stim(spark, sf), t, ["plane"], ["plane", "roi"], ["x", "y"], HOUR)
-    return f.select("plane", "roi", "x", "y", "n", r("raw", 8).alias("raw"), r("scaled", 8).alias("scaled"))
+    return f.select("plane", "roi", "x", "y", "n", r(F.col("raw") + 3e-10, 8).alias("raw"), r("scaled", 8).alias("scaled"))
 
 
 @query("v2 v3", """, s AS (SELECT v3.ord AS ord_w, v3.* EXCLUDE (ord), p.plane, d.d AS delay FROM v3, (VALUES ('click'), ('view')) p(plane), (VALUES (-1800.0::DOUBLE), (0.0), (1800.0)) d(d)),
 m AS (SELECT delay, ord_w, x, y, s.plane, roi, coalesce(avg(dff), 0) AS m FROM s JOIN v2 ON v2.plane = s.plane AND v2.t >= s.start + delay AND v2.t < s.stop + delay GROUP BY ALL)
-SELECT delay, plane, roi, x, y, round(avg(m), 8) AS raw, count(*) AS n FROM m GROUP BY ALL""")
+SELECT delay, plane, roi, x, y, round(avg(m) + 3e-10, 8) AS raw, count(*) AS n FROM m GROUP BY ALL""")
 def j18_onset_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return response.onset_sweep(_stim(spark, sf), V.traces(spark, sf), ["plane"], ["plane", "roi"], ["x", "y"], HOUR, [-1800.0, 0.0, 1800.0]).withColumn("raw", r("raw", 8))
+    return response.onset_sweep(_stim(spark, sf), V.traces(spark, sf), ["plane"], ["plane", "roi"], ["x", "y"], HOUR, [-1800.0, 0.0, 1800.0]).withColumn("raw", r(F.col("raw") + 3e-10, 8))
 
 
 @query("v2 v3", _W + " , sn AS (SELECT ord_w, plane, count(DISTINCT floor((t - start) / 300)) AS n FROM pr WHERE dff IS NOT NULL GROUP BY 1, 2) SELECT s.ord_w, s.plane, round(coalesce(n, 0) / greatest(1, ceil((s.stop - s.start) / 300)), 8) AS coverage FROM s LEFT JOIN sn USING (ord_w, plane)")
@@ -221,10 +221,10 @@ def w28_epochs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("v2", """, b AS (SELECT plane, floor(t / 43200)::BIGINT AS bin, avg(dff) AS m FROM v2 WHERE roi = 3 GROUP BY ALL), n AS (SELECT *, lead(bin) OVER w AS nb, lead(m) OVER w AS nm FROM b WINDOW w AS (PARTITION BY plane ORDER BY bin))
-SELECT plane, bin, s.s AS step, round(CASE WHEN s.s = 0 THEN m WHEN nb = bin + 1 AND nm IS NOT NULL THEN m + s.s * (nm - m) / 8 END, 8) AS m FROM n, (SELECT unnest(range(8))::INT AS s) s""")
+SELECT plane, bin, s.s AS step, round(CASE WHEN s.s = 0 THEN m WHEN nb = bin + 1 AND nm IS NOT NULL THEN m + s.s * (nm - m) / 8 END + 3e-10, 8) AS m FROM n, (SELECT unnest(range(8))::INT AS s) s""")
 def g5_upsample(spark: SparkSession, sf: str) -> DataFrame:
     b = V.traces(spark, sf).filter("roi = 3").groupBy("plane", F.floor(F.col("t") / 43200).alias("bin")).agg(F.avg("dff").alias("m"))
-    return response.upsample(b, ["plane"], "m", 8).withColumn("m", r("m", 8))
+    return response.upsample(b, ["plane"], "m", 8).withColumn("m", r(F.col("m") + 3e-10, 8))
 
 
 @query("v3", ", g AS (SELECT ord, start, k % 5 = 0 AS p, unnest(range(0, floor((3600 + 600 + CASE WHEN k % 5 = 0 THEN 0 ELSE 600 END) / 300.0 + 1e-9)::BIGINT + 1)) AS i FROM v3) SELECT ord, i, round(start + (i / (1 / 300.0::DOUBLE) - 600), 4) AS grid_t FROM g")
