@@ -1,12 +1,14 @@
-"""Media columns: AVI files of lossless motion JPEG, written and read with NumPy, and the shots in them.
+"""Media columns: AVI files of motion JPEG, written and read with NumPy, and the shots in them.
 
-Frames are grey, 8 bits, in the lossless process of JPEG (SOF3, predictor 1, a restart at each line), so that every
-sample comes back as stored. Lines decode independently, which lets one step decode a sample of each line at once.
+Written frames are grey, 8 bits, in the lossless process of JPEG (SOF3, predictor 1, a restart at each line), so that every
+sample comes back as stored. Lines decode independently, which lets one step decode a sample of each line at once. Baseline
+frames (SOF0), as cameras write them, are read too.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -199,7 +201,7 @@ def _parse_header(head: bytes) -> tuple[int, int, tuple[np.ndarray, np.ndarray]]
             if bits != 8 or parts != 1:
                 raise ValueError("only grey frames of 8 bits are read")
         elif 0xC0 <= marker <= 0xCF:
-            raise ValueError("only lossless frames (SOF3) are read")
+            raise ValueError("only baseline and lossless frames are read")
         elif marker == 0xDD:
             every = int.from_bytes(body[:2], "big")
         elif marker == 0xDA and (body[-3] != 1 or body[-1] != 0):
@@ -211,8 +213,117 @@ def _parse_header(head: bytes) -> tuple[int, int, tuple[np.ndarray, np.ndarray]]
     return _headers[head]
 
 
+#: Row-major positions of a block's coefficients in the order they are coded.
+_ZIGZAG = sorted(range(64), key=lambda k: (k // 8 + k % 8, k // 8 if (k // 8 + k % 8) % 2 else k % 8))
+_COS = np.array([[np.sqrt((1 if u == 0 else 2) / 8) * np.cos((2 * x + 1) * u * np.pi / 16) for x in range(8)] for u in range(8)])
+
+
+def _symbols(body: bytes) -> tuple[int, tuple[bytes, bytes], bytes]:
+    """One Huffman table: its id, symbol and length for every 16 bits, and what follows it in the segment."""
+    n = sum(body[1:17])
+    values = iter(body[17 : 17 + n])
+    symbol, size = bytearray(1 << 16), bytearray(1 << 16)
+    for value, (code, k) in _canonical_list([(next(values), k) for k in range(1, 17) for _ in range(body[k])]):
+        lo, hi = code << (16 - k), (code + 1) << (16 - k)
+        symbol[lo:hi] = bytes([value]) * (hi - lo)
+        size[lo:hi] = bytes([k]) * (hi - lo)
+    return body[0], (bytes(symbol), bytes(size)), body[17 + n :]
+
+
+def _canonical_list(values: list[tuple[int, int]]) -> Iterator[tuple[int, tuple[int, int]]]:
+    code, last = 0, 0
+    for value, k in values:
+        code <<= k - last
+        yield value, (code, k)
+        code, last = code + 1, k
+
+
+def decode_baseline(frame: bytes) -> np.ndarray:
+    """Luminance of a baseline frame (SOF0, one interleaved scan), as motion-JPEG cameras write it."""
+    at, every, quant, codes, parts, width, height = 2, 0, {}, {}, {}, 0, 0
+    while True:
+        marker, size = frame[at + 1], int.from_bytes(frame[at + 2 : at + 4], "big")
+        body = frame[at + 4 : at + 2 + size]
+        at += 2 + size
+        if marker == 0xDB:
+            while body:
+                wide = body[0] >> 4
+                q = np.frombuffer(body[1 : 65 + 64 * wide], ">u2" if wide else "u1").astype(float)
+                quant[body[0] & 15], body = q, body[65 + 64 * wide :]
+        elif marker == 0xC4:
+            while body:
+                ident, table, body = _symbols(body)
+                codes[ident] = table
+        elif marker == 0xC0:
+            _, height, width, n = struct.unpack(">BHHB", body[:6])
+            parts = {body[6 + 3 * k]: (body[7 + 3 * k] >> 4, body[7 + 3 * k] & 15, body[8 + 3 * k]) for k in range(n)}
+        elif marker == 0xDD:
+            every = int.from_bytes(body[:2], "big")
+        elif marker == 0xDA:
+            chosen = [(body[1 + 2 * k], body[2 + 2 * k]) for k in range(body[0])]
+            break
+        elif 0xC1 <= marker <= 0xCF:
+            raise ValueError("only baseline and lossless frames are read")
+    if len(chosen) == 1:  # blocks of a single part stand one by one
+        parts = {chosen[0][0]: (1, 1, parts[chosen[0][0]][2])}
+    across, down = max(p[0] for p in parts.values()), max(p[1] for p in parts.values())
+    n_x, n_y = -(-width // (8 * across)), -(-height // (8 * down))
+    first = chosen[0][0]
+    h0, v0, q0 = parts[first]
+    plane = np.zeros((n_y * v0 * 8, n_x * h0 * 8))
+    data = frame[at : frame.rindex(b"\xff\xd9")]
+    begin = 0
+    for piece in re.split(rb"\xff[\xd0-\xd7]", data):
+        bits = piece.replace(b"\xff\x00", b"\xff") + b"\xff" * 8
+        pos, dc = 0, dict.fromkeys(parts, 0)
+
+        def take(n: int) -> int:
+            nonlocal pos
+            word = int.from_bytes(bits[pos >> 3 : (pos >> 3) + 5], "big") >> (40 - n - (pos & 7)) & ((1 << n) - 1)
+            pos += n
+            return word
+
+        def coded(table: tuple[bytes, bytes]) -> int:
+            nonlocal pos
+            peek = int.from_bytes(bits[pos >> 3 : (pos >> 3) + 3], "big") >> (8 - (pos & 7)) & 0xFFFF
+            if not table[1][peek]:
+                raise ValueError("a code that isn't in the table")
+            pos += table[1][peek]
+            return table[0][peek]
+
+        def signed(n: int) -> int:
+            x = take(n) if n else 0
+            return x if not n or x >> (n - 1) else x - (1 << n) + 1
+
+        for unit in range(begin, min(begin + every, n_x * n_y) if every else n_x * n_y):
+            for part, table in chosen:
+                h, v, _ = parts[part]
+                for k in range(h * v):
+                    block = np.zeros(64)
+                    dc[part] += signed(coded(codes[table >> 4]))
+                    block[0] = dc[part]
+                    i = 1
+                    while i < 64:
+                        run, n = divmod(coded(codes[0x10 | table & 15]), 16)
+                        if not n and run < 15:
+                            break
+                        i += run
+                        if n:
+                            block[i] = signed(n)
+                        i += 1
+                    if part == first:
+                        square = np.zeros(64)
+                        square[_ZIGZAG] = block * quant[q0]
+                        y, x = (unit // n_x * v0 + k // h) * 8, (unit % n_x * h0 + k % h) * 8
+                        plane[y : y + 8, x : x + 8] = _COS.T @ square.reshape(8, 8) @ _COS
+        begin += every
+    return np.clip(np.rint(plane[:height, :width] + 128), 0, 255).astype(np.uint8)
+
+
 def decode_frames(frames: list[bytes]) -> np.ndarray:
-    """Samples of frames of one size and table, frames x height x width."""
+    """Luminance samples of frames of one size, frames x height x width: lossless ones at once, baseline ones singly."""
+    if frames and b"\xff\xc0" in frames[0][: _header_end(frames[0])]:
+        return np.stack([decode_baseline(f) for f in frames])
     heads: set[bytes] = set()
     scans, known = [], b""
     for f in frames:

@@ -63,6 +63,68 @@ def test_media_finds_a_cut_and_follows_the_index():
         media.read_avi(b"RIFFxxxxWAVE")
 
 
+def baseline_jpeg(parts, width, height, restart=0):
+    """A baseline encoder with 8-bit codes for all symbols: parts are (plane, h, v), all quantised by 1."""
+    ac = [(r << 4) | n for r in range(16) for n in range(1, 11)] + [0x00, 0xF0]
+    dc = list(range(12))
+    code = lambda symbols, x: format(symbols.index(x), "08b")
+    extra = lambda v: format(v if v > 0 else v + (1 << abs(v).bit_length()) - 1, f"0{abs(v).bit_length()}b") if v else ""
+    table = lambda ident, symbols: media._segment(0xC4, bytes([ident] + [0] * 7 + [len(symbols)] + [0] * 8 + symbols))
+    across, down = max(p[1] for p in parts), max(p[2] for p in parts)
+    n_x, n_y = -(-width // (8 * across)), -(-height // (8 * down))
+    out, bits, last = [], "", [0] * len(parts)
+
+    def close(text):
+        text += "1" * (-len(text) % 8)
+        return int(text, 2).to_bytes(len(text) // 8, "big").replace(b"\xff", b"\xff\x00") if text else b""
+
+    for unit in range(n_x * n_y):
+        if restart and unit and unit % restart == 0:
+            out += [close(bits), bytes([0xFF, 0xD0 + (unit // restart - 1) % 8])]
+            bits, last = "", [0] * len(parts)
+        for k, (plane, h, v) in enumerate(parts):
+            for b in range(h * v):
+                y, x = (unit // n_x * v + b // h) * 8, (unit % n_x * h + b % h) * 8
+                block = np.zeros((8, 8))
+                cut = plane[y : y + 8, x : x + 8]
+                block[: cut.shape[0], : cut.shape[1]] = cut - 128.0
+                z = np.rint(media._COS @ block @ media._COS.T).astype(int).ravel()[media._ZIGZAG].tolist()
+                d, last[k] = z[0] - last[k], z[0]
+                bits += code(dc, abs(d).bit_length()) + extra(d)
+                run = 0
+                for c in z[1:]:
+                    if not c:
+                        run += 1
+                        continue
+                    while run > 15:
+                        bits, run = bits + code(ac, 0xF0), run - 16
+                    bits += code(ac, run << 4 | abs(c).bit_length()) + extra(c)
+                    run = 0
+                if run:
+                    bits += code(ac, 0)
+    out.append(close(bits))
+    frame = bytes([8]) + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([len(parts)]) + b"".join(bytes([k + 1, h << 4 | v, 0]) for k, (_, h, v) in enumerate(parts))
+    head = [b"\xff\xd8", media._segment(0xDB, bytes([0]) + b"\1" * 64), media._segment(0xC0, frame), table(0x00, dc), table(0x10, ac)]
+    if restart:
+        head.append(media._segment(0xDD, restart.to_bytes(2, "big")))
+    scan = bytes([len(parts)]) + b"".join(bytes([k + 1, 0]) for k in range(len(parts))) + bytes([0, 63, 0])
+    return b"".join([*head, media._segment(0xDA, scan), *out, b"\xff\xd9"])
+
+
+@pytest.mark.parametrize("restart", [0, 2])
+@pytest.mark.parametrize("sampling", [(1, 1), (2, 2), (2, 1)])
+def test_baseline_frames_decode(restart, sampling):
+    rng = np.random.default_rng(4)
+    h, v = sampling
+    y = np.clip(np.add.outer(np.arange(29) * 4, np.arange(37) * 3) + rng.integers(0, 20, (29, 37)), 0, 255)
+    grey = [(y, h, v)] + [(np.full((29, 37), 100), 1, 1)] * (2 if h > 1 else 0)
+    frame = baseline_jpeg(grey, 37, 29, restart)
+    assert np.abs(media.decode_frames([frame, frame])[1].astype(int) - y).max() <= 2
+    avi = media.write_avi([frame] * 3, 37, 29, 10, b"")
+    back, rate, _ = media.read_avi(avi)
+    assert len(back) == 3 and rate == 10 and media.decode_frames(back).shape == (3, 29, 37)
+
+
 # near duplicates
 
 
