@@ -100,7 +100,7 @@ def end_lines(anchors: DataFrame, keys: list[str], at: str, value: str, n: int =
     )
 
 
-def map_boundaries(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, most: float, n: int = 20, width: float = WIDTH) -> DataFrame:
+def map_boundaries(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, most: float = 20.0, n: int = 20, width: float = WIDTH) -> DataFrame:
     """queries with value_at, and outside the anchors the end point plus the end's slope, up to `most` away.
 
     extrapolated and beyond (the distance) tell which; further away, or with a slope that isn't positive, it is NULL.
@@ -115,7 +115,7 @@ def map_boundaries(queries: DataFrame, anchors: DataFrame, keys: list[str], at:
     return out.withColumn("value_at", F.when(F.col("extrapolated"), outside).otherwise(F.col("value_at"))).drop("first", "last", "first_slope", "last_slope")
 
 
-def map_with_status(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, max_gap: float, end_limit: float, n: int = 20, width: float = WIDTH) -> DataFrame:
+def map_with_status(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, max_gap: float, end_limit: float = 20.0, n: int = 20, width: float = WIDTH) -> DataFrame:
     """queries with value_at and status: 0 on an anchor, 1 inside a gap of up to max_gap, 2 beyond an end by up to
     end_limit, else 3 and no value.
     """
