@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -23,7 +24,6 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 _K1, _K2, _K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 _S32, _S29 = np.uint64(32), np.uint64(29)
@@ -43,21 +43,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back, which cuts its lineage.
-
-    Nothing needs the shuffles of the write after it, so Spark removes their files then.
-    """
+    """Writes df as a table in the shared folder and reads it back, which cuts its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_DROP_SHUFFLES, "false")
-    spark.conf.set(_DROP_SHUFFLES, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_DROP_SHUFFLES, before)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished writes now.
+
+    Its cleaner does so once the driver has collected the plans that made them, by default within half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

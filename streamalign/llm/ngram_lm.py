@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, map_arrow, mix, pack_chunks, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, map_arrow, mix, pack_chunks, release_shuffles, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
 
 CHUNK_BYTES, BUCKET_BYTES = 5 << 20, 4 << 20
 #: Tokens of a word per context that it is split into.
@@ -226,6 +226,7 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
 
     sent = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
     answers = stage(sent.groupBy("bucket").applyInArrow(answer, "bucket int, chunk_id bigint, kind int, blob binary"), "lm-answers")
+    release_shuffles(docs.sparkSession)
     both = F.split(F.col("blob").cast("string"), " ")
     totals = answers.filter("kind = 0").select(both[0].cast("long").alias("n"), both[1].cast("long").alias("v"))
     n_all, v_all = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()

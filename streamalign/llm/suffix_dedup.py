@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .common import Texts, at8, map_arrow, mix, pack_chunks, plain_names, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, map_arrow, mix, pack_chunks, plain_names, release_shuffles, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
 
 GRAM = 16
 #: Text in one chunk, whose repeats are joined before anything is sent, and per bucket on average.
@@ -90,14 +90,10 @@ def _blobs(bounds: np.ndarray, chunk: int, columns: list[np.ndarray], name: str)
 def shared_keys(table: pa.Table) -> pa.Table:
     """For one bucket, which keys of each chunk occur in several texts, as a bit for each key that it sent.
 
-    A key is sent as 39 bits and one for whether the chunk itself has it in several texts; keys that agree by chance
+    A key is sent as 31 bits and one for whether the chunk itself has it in several texts; keys that agree by chance
     are only looked at in vain.
     """
-    sent = []
-    for x in table.column("blob"):
-        raw = np.frombuffer(x.as_buffer(), dtype=np.uint8)
-        n = len(raw) // 5
-        sent.append(np.frombuffer(raw[: 4 * n].tobytes(), "<u4").astype(np.uint64) | raw[4 * n :].astype(np.uint64) << np.uint64(32))
+    sent = [np.frombuffer(x.as_buffer(), dtype="<u4").astype(np.uint64) for x in table.column("blob")]
     every = np.concatenate(sent)
     order = np.argsort(every)
     k = every[order]
@@ -284,7 +280,7 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
                 *_, key, text = _anchors(Texts(to_bytes(rows.column("text"))), length)
                 keys, several, bounds = _by_bucket(key | _ONE, text, n_buckets)
                 keys = (keys & ~_ONE) | several.astype(np.uint64)
-                yield _blobs(bounds, chunk, [keys.astype("<u4"), (keys >> np.uint64(32)).astype(np.uint8)], "blob")
+                yield _blobs(bounds, chunk, [keys.astype("<u4")], "blob")
 
     def stretches(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -305,6 +301,7 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
     keys = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
     masks = keys.groupBy("bucket").applyInArrow(shared_keys, "bucket int, chunk_id bigint, blob binary")
     made = stage(chunks.groupBy("chunk_id").cogroup(masks.groupBy("chunk_id")).applyInArrow(stretches, four), "repeat-stretches")
+    release_shuffles(docs.sparkSession)
     runs = made.filter("kind = 0").groupBy("bucket").applyInArrow(minima, four)
     back = made.filter("kind = 1").unionByName(runs)
     return chunks.groupBy("chunk_id").cogroup(back.groupBy("chunk_id")).applyInArrow(end, schema)
