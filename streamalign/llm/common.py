@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -50,13 +49,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished writes now.
+def stage_by(df: DataFrame, name: str, column: str, n: int) -> DataFrame:
+    """As stage, in n buckets of column, so that grouping by it needs no shuffle of these rows.
 
-    Its cleaner does so once the driver has collected the plans that made them, by default within half an hour.
+    The table's entry in the catalog goes at once; its files stay in the shared folder.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    entry = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, column).option("path", f"{shared_dir(spark)}/{entry}").saveAsTable(entry)
+    staged = spark.table(entry)
+    staged.schema  # noqa: B018  resolves the table before its entry goes
+    spark.sql(f"DROP TABLE {entry}")
+    return staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .common import Texts, at8, map_arrow, mix, pack_chunks, plain_names, release_shuffles, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, map_arrow, mix, pack_chunks, plain_names, ship, span_hash, stage, stage_by, text_bytes, to_bytes, unpack_chunk
 
 GRAM = 16
 #: Text in one chunk, whose repeats are joined before anything is sent, and per bucket on average.
@@ -269,8 +269,9 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
     """
     if not 2 * GRAM <= length <= 128:
         raise ValueError("length must be from 32 to 128")
-    n_buckets = 1 + text_bytes(docs) // BUCKET_BYTES
-    chunks = stage(pack_chunks(docs, CHUNK_BYTES), "repeat-chunks")
+    total = text_bytes(docs)
+    n_buckets = 1 + total // BUCKET_BYTES
+    chunks = stage_by(pack_chunks(docs, CHUNK_BYTES), "repeat_chunks", "chunk_id", 1 + total // (2 * CHUNK_BYTES))
     ship(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +302,6 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
     keys = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
     masks = keys.groupBy("bucket").applyInArrow(shared_keys, "bucket int, chunk_id bigint, blob binary")
     made = stage(chunks.groupBy("chunk_id").cogroup(masks.groupBy("chunk_id")).applyInArrow(stretches, four), "repeat-stretches")
-    release_shuffles(docs.sparkSession)
     runs = made.filter("kind = 0").groupBy("bucket").applyInArrow(minima, four)
     back = made.filter("kind = 1").unionByName(runs)
     return chunks.groupBy("chunk_id").cogroup(back.groupBy("chunk_id")).applyInArrow(end, schema)
