@@ -23,14 +23,13 @@ BUDGET = 2
 SPLIT_BITS = 6
 
 
-def fingerprints(values: list[bytes], shingle: int = 3) -> np.ndarray:
-    """SimHash of each text's word shingles (XXH64, seed 42): a bit is 1 if set in over half of the hashes."""
+def shingle_hashes(values: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 (seed 42) of the word shingles of all texts in turn, and where each text's begin (and one more bound)."""
     t = Texts(values, lower=True)
     start, end, first = t.words()
-    out = np.zeros(t.n, dtype=np.uint64)
     n = np.diff(first)
     if not len(start):
-        return out
+        return np.zeros(0, dtype=np.uint64), np.zeros(t.n + 1, dtype=np.int64)
     # the words again, one space after each
     size = end - start
     at = np.cumsum(size + 1) - size - 1
@@ -46,7 +45,13 @@ def fingerprints(values: list[bytes], shingle: int = 3) -> np.ndarray:
     hi = stop[np.minimum(word + shingle - 1, last)[begins]].tolist()
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(data[a:b], SEED) for a, b in zip(lo, hi, strict=True)], dtype=np.uint64)
-    count = np.concatenate([[0], np.cumsum(begins)])[first]
+    return h, np.concatenate([[0], np.cumsum(begins)])[first]
+
+
+def fingerprints(values: list[bytes], shingle: int = 3) -> np.ndarray:
+    """SimHash of each text's word shingles (XXH64, seed 42): a bit is 1 if set in over half of the hashes."""
+    h, count = shingle_hashes(values, shingle)
+    out = np.zeros(len(values), dtype=np.uint64)
     some = np.flatnonzero(np.diff(count))
     step = 1 << 16
     for k in some:
