@@ -96,6 +96,14 @@ def a7_peri_event_z(spark: SparkSession, sf: str) -> DataFrame:
     return z.select("ord_w", "roi", "bin", r("median", 8).alias("median"), r("z").alias("z"))
 
 
+@query("v2 v3", """, p AS (SELECT v3.ord AS ord_w, plane, roi, floor((t - start) / 1800)::BIGINT AS bin, median(dff) AS md FROM v3 JOIN v2 ON t >= start - 7200 AND t < start + 7200 GROUP BY ALL)
+SELECT ord_w, plane, roi, bin, round(md, 8) AS median, round((md - avg(md) FILTER (bin < 0) OVER w) / nullif(stddev_pop(md) FILTER (bin < 0) OVER w, 0), 6) AS z FROM p WINDOW w AS (PARTITION BY ord_w, plane, roi)""")
+def a7_peri_event_z_planes(spark: SparkSession, sf: str) -> DataFrame:
+    s, t = V.stimuli(spark, sf).withColumnRenamed("ord", "ord_w"), V.traces(spark, sf)
+    z = response.peri_event_z(s.crossJoin(t.select("plane").distinct()), t, ["plane"], ["plane", "roi"], HOUR, 7200.0, 7200.0, 1800.0)
+    return z.select("ord_w", "plane", "roi", "bin", r("median", 8).alias("median"), r("z").alias("z"))
+
+
 _TU = """, s AS (SELECT v3.ord AS ord_w, v3.* EXCLUDE (ord), p.plane FROM v3, (VALUES ('click'), ('view')) p(plane)),
 a AS (SELECT ord_w, s.plane, roi, median(dff) AS r FROM s JOIN v2 ON v2.plane = s.plane AND t >= start AND t < start + 3600 GROUP BY ALL), b AS (SELECT ord_w, s.plane, roi, median(dff) AS b FROM s JOIN v2 ON v2.plane = s.plane AND t >= start - 3600 AND t < start GROUP BY ALL),
 rs AS (SELECT ord_w, plane, roi, r - b AS response FROM a JOIN b USING (ord_w, plane, roi)), sh AS (SELECT block, direction, count(*) AS n FROM v3 GROUP BY ALL),
@@ -227,6 +235,13 @@ def g5_upsample(spark: SparkSession, sf: str) -> DataFrame:
     return response.upsample(b, ["plane"], "m", 8).withColumn("m", r(F.col("m") + 3e-10, 8))
 
 
+@query("v2", """, b AS (SELECT plane, roi, floor(t / 43200)::BIGINT AS bin, avg(dff) AS m FROM v2 GROUP BY ALL), n AS (SELECT *, lead(bin) OVER w AS nb, lead(m) OVER w AS nm FROM b WINDOW w AS (PARTITION BY plane, roi ORDER BY bin))
+SELECT plane, roi, bin, s.s AS step, round(CASE WHEN s.s = 0 THEN m WHEN nb = bin + 1 AND nm IS NOT NULL THEN m + s.s * (nm - m) / 8 END + 3e-10, 8) AS m FROM n, (SELECT unnest(range(8))::INT AS s) s""")
+def g5_upsample_cells(spark: SparkSession, sf: str) -> DataFrame:
+    b = V.traces(spark, sf).groupBy("plane", "roi", F.floor(F.col("t") / 43200).alias("bin")).agg(F.avg("dff").alias("m"))
+    return response.upsample(b, ["plane", "roi"], "m", 8).withColumn("m", r(F.col("m") + 3e-10, 8))
+
+
 @query("v3", ", g AS (SELECT ord, start, k % 5 = 0 AS p, unnest(range(0, floor((3600 + 600 + CASE WHEN k % 5 = 0 THEN 0 ELSE 600 END) / 300.0 + 1e-9)::BIGINT + 1)) AS i FROM v3) SELECT ord, i, round(start + (i / (1 / 300.0::DOUBLE) - 600), 4) AS grid_t FROM g")
 def g2_onset_grid(spark: SparkSession, sf: str) -> DataFrame:
     g = response.onset_grid(V.stimuli(spark, sf), [], 1 / 300.0, 600.0, F.col("k") % 5 == 0)
@@ -242,6 +257,15 @@ def g3_align_trace(spark: SparkSession, sf: str) -> DataFrame:
     return interp.interpolate_supported(q, a, ["plane"], "t", "dff", 7200.0, 86400.0).select("w", "i", r("value_at").alias("value_at"))
 
 
+@query("v2 v3", """, q AS (SELECT plane, ord AS w, start + g.i * 900 AS gt, g.i FROM v3, range(5) g(i), (SELECT DISTINCT plane FROM v2)), b AS (SELECT q.plane, q.w, q.i, q.gt, lo.t AS lt, lo.dff AS ly, hi.t AS ht, hi.dff AS hy FROM q ASOF LEFT JOIN v2 lo ON q.plane = lo.plane AND q.gt >= lo.t ASOF LEFT JOIN v2 hi ON q.plane = hi.plane AND q.gt <= hi.t)
+SELECT plane, w, i, round(CASE WHEN lt = gt THEN ly WHEN ht - lt <= 7200 THEN ly + (gt - lt) * (hy - ly) / (ht - lt) END, 6) AS value_at FROM b""")
+def g3_align_trace_planes(spark: SparkSession, sf: str) -> DataFrame:
+    a = V.traces(spark, sf).select("plane", "t", "dff")
+    q = V.stimuli(spark, sf).select(F.col("ord").alias("w"), "start", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("i"))
+    q = q.withColumn("t", F.col("start") + F.col("i") * 900).drop("start").crossJoin(a.select("plane").distinct())
+    return interp.interpolate_supported(q, a, ["plane"], "t", "dff", 7200.0, 86400.0).select("plane", "w", "i", r("value_at").alias("value_at"))
+
+
 @query("", "SELECT event_id, least(100, coalesce(a, b)) AS hz, coalesce(a = b, true) AND coalesce(a, b) > 0 AS valid FROM (SELECT event_id, CASE WHEN event_id % 3 > 0 THEN value END AS a, CASE WHEN event_id % 3 < 2 THEN value END AS b FROM events)")
 def g4_sampling_rate(spark: SparkSession, sf: str) -> DataFrame:
     e = V.table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 > 0, F.col("value")).alias("a"), F.when(F.col("event_id") % 3 < 2, F.col("value")).alias("b"))

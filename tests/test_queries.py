@@ -62,3 +62,14 @@ def test_ranges_of_repartitioned_input(spark):
     a = sorted(map(tuple, edges.rising_edges(s, ["session"]).collect()))
     b = sorted(map(tuple, edges.rising_edges(s.repartition(7), ["session"], width=13).collect()))
     assert a == b
+
+
+def test_all_cells_and_planes(spark):
+    from streamalign.plans import views
+
+    planes = {x.plane for x in views.traces(spark, SF).select("plane").distinct().collect()}
+    assert len(planes) > 2
+    cells = QUERIES["g5_upsample_cells"](spark, SF).select("plane", "roi").distinct().collect()
+    assert {x.plane for x in cells} == planes and len({x.roi for x in cells}) > 1
+    for name in ("a7_peri_event_z_planes", "g3_align_trace_planes"):
+        assert {x.plane for x in QUERIES[name](spark, SF).select("plane").distinct().collect()} == planes
