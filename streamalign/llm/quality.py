@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -10,16 +11,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, at8, groups, map_arrow, mix, pair_hash, per_text, schema_with, span_hash, to_bytes, with_columns
+from .common import Texts, groups, map_arrow, mix, pair_hash, per_text, schema_with, span_hash, to_bytes, with_columns
 
 #: Feature slots; the upper half is for word n-grams, the lower one for character n-grams.
 SLOTS = 1 << 15
+#: Characters of a character n-gram.
 CHAR_N = 4
+#: Weights are whole multiples of 1/SCALE, so that a text's sum is exact and doesn't depend on its batch.
+SCALE = 1 << 24
 SYMBOLS = "#*$%&|<>"
 
 _IS_SYMBOL = np.zeros(256, dtype=bool)
 _IS_SYMBOL[[ord(c) for c in SYMBOLS]] = True
-_LOW4 = np.uint64(0xFFFFFFFF)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(SLOTS // 2 - 1)
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -65,7 +69,10 @@ def _dup_lines(text: bytes) -> int:
 
 
 def features(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Feature slots of the words, word pairs and CHAR_N-byte strings: slots of words, their first index by text, and the same for strings."""
+    """Feature slots of the words and word pairs of each text, where each text's begin (and one more bound), and the same for character n-grams.
+
+    No pair and no n-gram reaches beyond its text; a text of fewer than CHAR_N characters has no n-gram.
+    """
     t = Texts(values)
     start, end, first = t.words()
     h = span_hash(t.buf, start, end - start)
@@ -79,28 +86,40 @@ def features(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     words = np.empty(len(h) + len(pairs), dtype=np.int32)
     words[at] = (h & _HALF).astype(np.int32) + SLOTS // 2
     words[at_pairs] = (pairs & _HALF).astype(np.int32) + SLOTS // 2
-    gram = (at8(t.buf) & _LOW4) * np.uint64(0x9E3779B97F4A7C15)
-    chars = (gram >> np.uint64(50)).astype(np.int32)
-    return words, first + pair_first, chars, np.append(t.start - 1, t.end[-1] if t.n else 0)
+
+    points = np.frombuffer(b"".join(values).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    upto = np.concatenate([[0], np.cumsum((t.buf & 0xC0) != 0x80)])
+    n_chars = upto[t.end] - upto[t.start]
+    n_grams = np.maximum(n_chars - CHAR_N + 1, 0)
+    char_first = np.concatenate([[0], np.cumsum(n_grams)])
+    at = np.arange(int(char_first[-1])) + np.repeat(np.cumsum(n_chars) - n_chars - char_first[:-1], n_grams)
+    gram = np.zeros(len(at), dtype=np.uint64)
+    for k in range(CHAR_N):
+        gram = gram * _ODD + points[at + k]
+    chars = (gram * _ODD >> np.uint64(50)).astype(np.int32)
+    return words, first + pair_first, chars, char_first
 
 
 @dataclass
 class QualityModel:
-    """Weights, intercept and the calibration of the score into a probability; no weights: everything is good."""
+    """Weights (in 1/SCALE), intercept and the calibration of the score into a probability.
+
+    Without weights there is no regression, `reason` says why, and probabilities are missing (NaN).
+    """
 
     weights: np.ndarray | None
     bias: float = 0.0
     slope: float = 1.0
     offset: float = 0.0
+    reason: str = ""
 
     def probability(self, values: list[bytes]) -> np.ndarray:
         if self.weights is None:
-            return np.ones(len(values))
+            return np.full(len(values), np.nan)
         words, word_first, chars, char_first = features(values)
         score = np.full(len(values), self.bias)
         for slots, first in ((words, word_first), (chars, char_first)):
-            total = np.concatenate([[0.0], np.cumsum(self.weights[slots], dtype=np.float64)])
-            score += (total[first[1:]] - total[first[:-1]]) / np.maximum(1, np.diff(first))
+            score += per_text(self.weights[slots], first) / SCALE / np.maximum(1, np.diff(first))
         return 1 / (1 + np.exp(-np.clip(self.slope * score + self.offset, -500, 500)))
 
 
@@ -121,24 +140,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int, penalty: float) -> tupl
     return w, b
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, most_bytes: int = 1 << 18, rounds: int = 150) -> QualityModel:
+def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, rounds: int = 150) -> QualityModel:
     """Fits the regression on a bounded sample of labelled rows and calibrates it on a fourth of them that it hasn't seen.
 
-    per_class documents of each class, in the order of a hash of doc_id; texts over most_bytes are passed over.
-    A quality outside 0 and 1 is ignored. If a class has no document, the model calls everything good.
+    per_class documents of each class, in the order of a hash of doc_id; whole texts of any length, null texts not.
+    A quality outside 0 and 1 is ignored; of rows with one doc_id one counts. If a class has no document, or the
+    held-out rows contradict the regression, the model has no weights and a `reason`, and a warning is given.
     """
     rows = []
     for quality in (0, 1):
         few = labels.filter(F.col("quality") == quality).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         rows.append(few.withColumn("__quality", F.lit(quality)))
     chosen = rows[0].unionByName(rows[1])
-    usable = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
+    usable = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     sample = usable.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "__quality")
-    texts = map_arrow(sample, _sample_features, "doc_id long, quality int, slots binary, shares binary").collect()
-    texts = sorted({r.doc_id: r for r in texts}.values(), key=lambda r: r.doc_id)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = map_arrow(sample, _sample_features, f"doc_id {kind}, quality int, slots binary, shares binary").collect()
+    texts = sorted({r.doc_id: r for r in sorted(texts, key=lambda r: (r.slots, r.shares, r.quality))}.values(), key=lambda r: r.doc_id)
     y = np.array([r.quality for r in texts])
     if len(set(y.tolist())) < 2:
-        return QualityModel(None)
+        return _without("a class has no labelled document with a text")
     used, place = np.unique(np.concatenate([np.frombuffer(r.slots, np.int32) for r in texts]), return_inverse=True)
     x = np.zeros((len(texts), len(used)), dtype=np.float32)
     at = 0
@@ -154,31 +175,37 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, most
     score = (x[held] @ w + b)[:, None]
     spread = float(score.std()) or 1.0
     slope, offset = _logistic(score / spread, y[held], 500, 1e-3)
-    weights = np.zeros(SLOTS, dtype=np.float32)
-    weights[used] = w
-    if not slope[0] > 0:  # the held-out rows don't bear the regression out
-        return QualityModel(None)
+    weights = np.zeros(SLOTS, dtype=np.int64)
+    weights[used] = np.rint(w.astype(np.float64) * SCALE)
+    if not slope[0] > 0:
+        return _without("the held-out rows contradict the regression")
     return QualityModel(weights, float(b), float(slope[0]) / spread, float(offset))
 
 
+def _without(reason: str) -> QualityModel:
+    warnings.warn(f"no quality regression: {reason}; only the base rules decide", stacklevel=3)
+    return QualityModel(None, reason=reason)
+
+
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         slots_of, shares_of = [], []
         for x in to_bytes(batch.column("text")):
-            words, _, chars, bound = features([x])
-            chars = chars[bound[0] : bound[1]]
+            words, _, chars, _ = features([x])
             count = np.bincount(words, minlength=SLOTS) / max(1, len(words)) + np.bincount(chars, minlength=SLOTS) / max(1, len(chars))
             slots = np.flatnonzero(count).astype(np.int32)
             slots_of.append(slots.tobytes())
             shares_of.append(count[slots].astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("__quality").cast(pa.int32()), pa.array(slots_of, pa.binary()), pa.array(shares_of, pa.binary())], names=["doc_id", "quality", "slots", "shares"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__quality").cast(pa.int32()), pa.array(slots_of, pa.binary()), pa.array(shares_of, pa.binary())], names=["doc_id", "quality", "slots", "shares"])
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5, group_bytes: int = 1 << 20) -> DataFrame:
     """docs with the counts, base_failed, quality_p (the probability of good quality) and kept added, or replaced.
 
     base_failed: fewer than 20 words, or over 30 % of the words in repeated 8-word windows. kept: not base_failed and
-    quality_p at least the threshold. Null text counts as empty, which fails. Each row is judged by itself.
+    quality_p at least the threshold. Null text counts as empty, which fails. Each row is judged by itself, so that
+    equal texts get equal values in any batch. A model without weights gives null quality_p, and base_failed alone
+    decides.
     """
     new = [*COUNTS, "base_failed", "quality_p", "kept"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -186,7 +213,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, failed, p = _judge(to_bytes(batch.column("text")), shared.value, group_bytes)
-            yield with_columns(batch, new, [*(pa.array(x.astype(np.int64)) for x in counts.values()), pa.array(failed), pa.array(p, pa.float64()), pa.array(~failed & (p >= threshold))])
+            yield with_columns(batch, new, [*(pa.array(x.astype(np.int64)) for x in counts.values()), pa.array(failed), pa.array(p, pa.float64(), mask=np.isnan(p)), pa.array(~failed & ~(p < threshold))])
 
     return map_arrow(docs, run, schema_with(docs, ", ".join(f"{c} bigint" for c in COUNTS) + ", base_failed boolean, quality_p double, kept boolean"))
 
@@ -198,7 +225,7 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.5, grou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, failed, p = _judge(to_bytes(batch.column("text")), shared.value, group_bytes)
-            yield batch.filter(pa.array(~failed & (p >= threshold)))
+            yield batch.filter(pa.array(~failed & ~(p < threshold)))
 
     return map_arrow(docs, run, docs.schema)
 

@@ -338,6 +338,48 @@ def test_quality(docs, empty, spark):
     assert nothing.weights is None and quality.score_quality(empty, nothing).count() == 0
 
 
+def brute_features(text):
+    """Hashes' slots by single words, pairs and character strings of one text."""
+    w = WORD.findall(utf8(text))
+    one = lambda x: quality.span_hash(np.frombuffer(x + bytes(8), np.uint8), np.array([0]), np.array([len(x)]))
+    slots = [int(one(x)[0] & quality._HALF) + quality.SLOTS // 2 for x in w]
+    slots += [int(quality.pair_hash(one(a), one(b))[0] & quality._HALF) + quality.SLOTS // 2 for a, b in zip(w, w[1:])]
+    s, chars = text or "", []
+    for i in range(len(s) - quality.CHAR_N + 1):
+        h = 0
+        for c in s[i : i + quality.CHAR_N]:
+            h = (h * 0x9E3779B97F4A7C15 + ord(c)) % 2**64
+        chars.append((h * 0x9E3779B97F4A7C15 % 2**64) >> 50)
+    return slots, chars
+
+
+def test_quality_score_is_of_the_text_alone(docs):
+    texts = [r.text for r in docs.collect() if len(r.text or "") < 3000] + ["é", "日本語の文", "abc"]
+    values = [utf8(t) for t in texts]
+    weights = np.rint(np.random.default_rng(8).normal(size=quality.SLOTS) * quality.SCALE).astype(np.int64)
+    model = quality.QualityModel(weights, 0.3, 2.0, -0.1)
+    alone = [model.probability([x])[0] for x in values]
+    order = np.random.default_rng(9).permutation(len(values))
+    for batch in (np.arange(len(values)), order, order[:7]):
+        assert model.probability([values[k] for k in batch]).tolist() == [alone[k] for k in batch]
+    for text, p in zip(texts, alone):
+        word, char = brute_features(text)
+        mean = lambda x: sum(int(weights[k]) for k in x) / quality.SCALE / max(1, len(x))
+        assert p == pytest.approx(1 / (1 + math.exp(-2.0 * (0.3 + mean(word) + mean(char)) + 0.1)), abs=1e-12)
+
+
+def test_quality_learns_from_long_texts_and_says_when_it_cannot(spark):
+    rows = [(f"id{k}", ("good words of a long text " if k % 2 else "*** $$$ ### ") * 30_000, k % 2) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, quality int")
+    model = quality.train_quality(df, df.select("doc_id", "quality"))
+    assert model.weights is not None
+    assert [r.quality_p >= 0.5 for r in quality.score_quality(df, model).orderBy("doc_id").collect()] == [r[2] == 1 for r in sorted(rows)]
+    with pytest.warns(UserWarning, match="no quality regression"):
+        none = quality.train_quality(df.filter("quality = 1"), df.select("doc_id", "quality"))
+    judged = quality.score_quality(df, none).collect()
+    assert none.reason and all(r.quality_p is None and r.kept == (not r.base_failed) for r in judged)
+
+
 def test_quality_tells_junk(spark):
     import random
 
