@@ -104,7 +104,8 @@ def features(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 class QualityModel:
     """Weights (in 1/SCALE), intercept and the calibration of the score into a probability.
 
-    Without weights there is no regression, `reason` says why, and probabilities are missing (NaN).
+    Without weights there is no regression and probabilities are missing (NaN). With a regression that held-out rows
+    contradict, all are 0.5. In both cases `reason` says so.
     """
 
     weights: np.ndarray | None
@@ -144,8 +145,9 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, roun
     """Fits the regression on a bounded sample of labelled rows and calibrates it on a fourth of them that it hasn't seen.
 
     per_class documents of each class, in the order of a hash of doc_id; whole texts of any length, null texts not.
-    A quality outside 0 and 1 is ignored; of rows with one doc_id one counts. If a class has no document, or the
-    held-out rows contradict the regression, the model has no weights and a `reason`, and a warning is given.
+    A quality outside 0 and 1 is ignored; of rows with one doc_id one counts. If a class has no document, the
+    model has no weights; if the held-out rows contradict the regression, it gives 0.5. Then it has a `reason`, and a
+    warning is given.
     """
     rows = []
     for quality in (0, 1):
@@ -177,13 +179,19 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 400, roun
     slope, offset = _logistic(score / spread, y[held], 500, 1e-3)
     weights = np.zeros(SLOTS, dtype=np.int64)
     weights[used] = np.rint(w.astype(np.float64) * SCALE)
-    if not slope[0] > 0:
-        return _without("the held-out rows contradict the regression")
+    if not slope[0] > 0:  # no evidence either way: both classes, which weigh the same, are as likely
+        reason = "the held-out rows contradict the regression"
+        _warn(reason)
+        return QualityModel(weights, float(b), 0.0, 0.0, reason)
     return QualityModel(weights, float(b), float(slope[0]) / spread, float(offset))
 
 
-def _without(reason: str) -> QualityModel:
+def _warn(reason: str) -> None:
     warnings.warn(f"no quality regression: {reason}; only the base rules decide", stacklevel=3)
+
+
+def _without(reason: str) -> QualityModel:
+    _warn(reason)
     return QualityModel(None, reason=reason)
 
 
