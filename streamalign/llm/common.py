@@ -63,6 +63,17 @@ def stage_by(df: DataFrame, name: str, column: str, n: int) -> DataFrame:
     return staged
 
 
+def unused(names: list[str], base: str) -> str:
+    """base, lengthened until no name begins with it in any case."""
+    while any(n.lower().startswith(base) for n in names):
+        base += "_"
+    return base
+
+
+def quoted(name: str) -> str:
+    return "`{}`".format(name.replace("`", "``"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import tokenize
 from .chat import format_turns, read_back, text_parts
-from .common import table
+from .common import stage, table
 from .langid import identify_languages, train_language_model
 from .media import read_media, store_media
-from .mixing import mix_sources
+from .mixing import add_size, mix_sizes
 from .ngram_lm import score_documents
 from .quality import COUNTS, score_quality, train_quality
 from .sharding import shard_documents
@@ -28,8 +28,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+    sized = add_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+    return mix_sizes(stage(sized, "mix-documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,19 +110,51 @@ levels AS (
 level AS (SELECT arg_min(lev, top / w) AS lev FROM levels WHERE top / w >= lev),
 targets AS (
   SELECT source, source_size, least(top, coalesce(level.lev * w, top)) AS target FROM ranked LEFT JOIN level ON true),
-parts AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
-rests AS (SELECT *, target - whole * source_size AS rest FROM parts),
+by_digits AS (
+  SELECT source, length(bin(size)) AS digits, sum(size)::BIGINT AS words FROM sized WHERE size > 0 GROUP BY ALL),
+candidates AS (
+  SELECT b.source, digits,
+         (target - 2.0::DOUBLE * coalesce(sum(words) OVER (of_source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+         / (sum(words * digits) OVER (of_source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM by_digits b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source
+  WINDOW of_source AS (PARTITION BY b.source ORDER BY digits DESC)),
+levels_of AS (
+  SELECT source, arg_max(level, digits) FILTER (WHERE level * digits <= 2.0::DOUBLE) AS level FROM candidates GROUP BY source),
+expected AS (
+  SELECT s.*, t.source_size, t.target, l.level,
+         CASE WHEN size > 0 THEN least(2.0::DOUBLE, coalesce(l.level * length(bin(size)), 2.0::DOUBLE))
+              ELSE floor(coalesce(t.target / nullif(t.source_size, 0), 0)) END AS copies
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  LEFT JOIN levels_of l ON s.source IS NOT DISTINCT FROM l.source),
+odds AS (
+  SELECT *, floor(copies) AS whole, copies - floor(copies) AS p, u / (1 - u) * ((1 - (copies - floor(copies))) / nullif(copies - floor(copies), 0)) AS rank_at,
+         target - sum(size * floor(copies)::BIGINT) OVER (PARTITION BY source) AS rest
+  FROM expected),
 first_walk AS (
-  SELECT s.doc_id, s.source, s.size, s.u, r.source_size, r.target, r.whole, r.rest,
-         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.u) <= r.rest AND r.rest > 0 AS one
-  FROM sized s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source),
+  SELECT *, p > 0 AND size > 0 AND sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank_at NULLS LAST) <= rest AS one
+  FROM odds),
 gaps AS (SELECT *, rest - sum(CASE WHEN one THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM first_walk),
 second_walk AS (
-  SELECT *, NOT one AND size > 0 AND size <= gap AND rest > 0
-            AND sum(CASE WHEN NOT one AND size > 0 AND size <= gap THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY u) <= gap AS two
-  FROM gaps)
-SELECT doc_id, size, source_size, target, (size * (whole + one::INT + two::INT))::BIGINT AS taken, source FROM second_walk
+  SELECT *, NOT one AND p > 0 AND size > 0 AND size <= gap
+            AND sum(CASE WHEN NOT one AND p > 0 AND size > 0 AND size <= gap THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank_at NULLS LAST) <= gap AS two
+  FROM gaps),
+last_gaps AS (SELECT *, gap - sum(CASE WHEN two THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap_2 FROM second_walk),
+near AS (
+  SELECT source, digits, rank_at, sum(size) AS words, any_value(gap_2) AS gap
+  FROM (SELECT source, length(bin(size)) AS digits, rank_at, size, gap_2, rank() OVER (PARTITION BY source, length(bin(size)) ORDER BY rank_at) AS nth
+        FROM last_gaps WHERE NOT one AND NOT two AND p > 0 AND size > 0 AND size <= gap_2)
+  WHERE nth <= 3 GROUP BY source, digits, rank_at),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY digits DESC, rank_at) AS i FROM near),
+fills AS (
+  WITH RECURSIVE walk AS (
+    SELECT source, i, digits, rank_at, words <= gap AS three, CASE WHEN words <= gap THEN gap - words ELSE gap END AS gap FROM numbered WHERE i = 1
+    UNION ALL
+    SELECT n.source, n.i, n.digits, n.rank_at, n.words <= w.gap, CASE WHEN n.words <= w.gap THEN w.gap - n.words ELSE w.gap END
+    FROM walk w JOIN numbered n ON n.source IS NOT DISTINCT FROM w.source AND n.i = w.i + 1)
+  SELECT source, digits, rank_at FROM walk WHERE three)
+SELECT g.doc_id, g.size, g.source_size, g.target, (g.size * (g.whole + (g.one OR g.two OR f.digits IS NOT NULL)::INT))::BIGINT AS taken, g.source
+FROM last_gaps g LEFT JOIN fills f
+  ON g.source IS NOT DISTINCT FROM f.source AND length(bin(g.size)) = f.digits AND g.rank_at = f.rank_at AND g.p > 0 AND NOT g.one AND NOT g.two
 """
 
 OP8_SQL = r"""

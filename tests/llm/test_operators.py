@@ -213,6 +213,37 @@ def test_mixing(docs, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+@pytest.mark.parametrize("bucket, share, most", [(4096, 0.7, 2.0), (20, 1.3, 2.0), (4096, 1.6, 2.0)])
+def test_mixing_includes_by_expected_copies(spark, monkeypatch, bucket, share, most):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
+    n, sizes = 16_000, (1, 3, 10, 40)
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("x").alias("__mix_rank"), F.element_at(F.array(*[F.lit(k) for k in sizes]), (F.col("id") % 4 + 1).cast("int")).cast("long").alias("size"))
+    got = mixing.mix_sizes(rows, (1,), share, most)
+    assert got.columns == ["doc_id", "source", "__mix_rank", "size", "source_size", "target", "copies", "taken"]
+    counts = {r["size"]: (r.mean, r.low, r.high) for r in got.groupBy("size").agg(F.avg("copies").alias("mean"), F.min("copies").alias("low"), F.max("copies").alias("high")).collect()}
+    words = {k: n // 4 * k for k in sizes}
+    target, full = share * sum(words.values()), set()
+    while True:  # expected copies in proportion to binary digits, full ones at most
+        level = (target - most * sum(words[k] for k in full)) / sum(words[k] * k.bit_length() for k in sizes if k not in full)
+        over = {k for k in sizes if k not in full and level * k.bit_length() > most}
+        if not over:
+            break
+        full |= over
+    for k in sizes:
+        expected = most if k in full else level * k.bit_length()
+        mean, low, high = counts[k]
+        assert mean == pytest.approx(expected, abs=0.02) and low >= math.floor(expected) and high <= math.ceil(expected)
+    taken = got.agg(F.sum("taken")).first()[0]
+    assert target - 1 <= taken <= target + 1e-6
+
+
+def test_mixing_fills_the_gap_after_long_documents(spark):
+    sizes = [20_000, 15_000, 12_000, 9_000] * 3 + [*range(1, 200)]
+    rows = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, size long").withColumn("source", F.lit(None).cast("string"))
+    r = mixing.mix_sizes(rows, (1,), 1.5).agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).first()
+    assert r.target - 200 <= r.taken <= r.target
+
+
 def test_targets_by_reshare(spark):
     sizes = {"a": 10, "b": 1000, "c": 100, None: 50, "d": 0}
     df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size long")
