@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: A word is a longest run of characters outside this class.
@@ -49,6 +49,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df, written and read back, with a number of its own for each row in a last column of an unused name."""
+    return stage(df.withColumn(unused(df.columns, "__row"), F.monotonically_increasing_id()), "rows")
+
+
 def stage_by(df: DataFrame, name: str, column: str, n: int) -> DataFrame:
     """As stage, in n buckets of column, so that grouping by it needs no shuffle of these rows.
 
@@ -63,6 +68,15 @@ def stage_by(df: DataFrame, name: str, column: str, n: int) -> DataFrame:
     return staged
 
 
+#: Rows of a few numbers that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast if a count finds that it has at most BROADCAST_ROWS rows; joins shuffle it otherwise."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def unused(names: list[str], base: str) -> str:
     """base, lengthened until no name begins with it in any case."""
     while any(n.lower().startswith(base) for n in names):

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, groups, map_arrow, schema_with, ship, stage, to_bytes, with_columns
+from .common import Texts, groups, if_small, map_arrow, numbered, quoted, schema_with, ship, stage, to_bytes, with_columns
 
 SEED = 42
 #: Bits of a trie that must agree before its node pairs are walked; with three rotations, one of them has no
@@ -247,26 +247,41 @@ def _split(units: DataFrame, depth: int) -> DataFrame:
     return rows.select("turn", F.lit(depth + SPLIT_BITS).alias("depth"), first.alias("node_a"), second.alias("node_b"), "key")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each batch, each node with the smallest one that it is connected with there."""
+    for batch in batches:
+        ends = np.concatenate([batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b")])
+        node, place = np.unique(ends, return_inverse=True)
+        root = local_roots(len(node), place[: batch.num_rows], place[batch.num_rows :])
+        linked = np.flatnonzero(root != np.arange(len(node)))
+        yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[root[linked]])], names=["a", "b"])
+
+
+def _digest(links: DataFrame) -> tuple:
+    """Tells sets of distinct links apart, but for odds of about 2^-64."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): each node of the links (a, b) and the smallest node it is connected with.
 
-    Alternating large-star and small-star steps on distinct links; each step groups by node, with partial minima,
-    and is written to the shared folder, so that lineage stays short and lost executors cost one step.
+    Links are joined within batches first. Then large-star and small-star steps alternate until nothing changes; each
+    groups by node, with partial minima, and is written to the shared folder, so that lineage stays short and lost
+    executors cost one step.
     """
-    now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "cc")
-    for _ in range(rounds):
+    now = stage(map_arrow(edges.select("a", "b"), _contract, "a bigint, b bigint").distinct(), "cc")
+    seen = _digest(now)
+    while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = stage(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "cc")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        after = stage(small.filter("a <> b").distinct(), "cc")
-        changed = after.join(now, ["a", "b"], "left_anti").limit(1).count() + now.join(after, ["a", "b"], "left_anti").limit(1).count()
-        now = after
-        if not changed:
+        now = stage(small.filter("a <> b").distinct(), "cc")
+        before, seen = seen, _digest(now)
+        if before == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    raise RuntimeError(f"components not settled after {rounds} rounds")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -289,8 +304,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs without near-duplicates: of each component, one row with its smallest doc_id stays, with all columns."""
-    found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.groupBy("root").agg(F.min(F.struct("text_key", "doc_id")).alias("x")).select(F.col("x.doc_id").alias("doc_id"), F.col("x.text_key").alias("__text_key"))
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    same = keyed["doc_id"].eqNullSafe(keep["doc_id"]) & (keyed["__text_key"] == keep["__text_key"])
-    return keyed.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")
+    rows = numbered(docs)
+    row = rows.columns[-1]
+    prints = stage(add_fingerprint(rows.select("doc_id", "text", row)).select("doc_id", "fingerprint", row), "simhash-prints")
+    found = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("x"))
+    roots = components(links(found.select("fingerprint")))
+    kept = found.join(roots, found.fingerprint == roots.node, "left").groupBy(F.coalesce("root", "fingerprint").alias("root")).agg(F.min("x").alias("x"))
+    return rows.join(if_small(stage(kept.select(F.col(f"x.{row}").alias(row)), "simhash-kept")), row, "left_semi").select(*map(quoted, docs.columns))

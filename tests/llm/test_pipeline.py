@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from streamalign.llm import bpe, mixing, quality, queries
 
-from .test_operators import brute_components, brute_fingerprint, brute_repeats, utf8
+from .test_near import brute_groups
+from .test_operators import brute_repeats, utf8
 
 
 @pytest.fixture(scope="module")
@@ -26,15 +27,10 @@ def test_pipeline(spark, docs, folder):
     # quality
     model = quality.train_quality(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     good = [r for r in quality.score_quality(docs, model).collect() if r.kept]
-    # near duplicates: one row with the smallest id of each component
-    prints = [brute_fingerprint(utf8(r.text)) for r in good]
-    roots = brute_components(prints)
-    best = {}
-    for r, p in zip(good, prints):
-        key = (r.doc_id is None, r.doc_id or 0)
-        if roots[p] not in best or key < best[roots[p]][0]:
-            best[roots[p]] = (key, r)
-    single = [r for _, r in best.values()]
+    # near duplicates: one row with the smallest id of each group of similar texts
+    single = []
+    for group in brute_groups([(k, r.text) for k, r in enumerate(good)]):
+        single.append(min((good[k] for k in group), key=lambda r: (r.doc_id is None, r.doc_id or 0)))
     # repeats
     stage3 = corpus_pipeline.repeated_passages(spark, spark.createDataFrame([(r.doc_id, r.text, r.source) for r in single], "doc_id long, text string, source string"), folder)
     report = brute_repeats([(r.doc_id, utf8(r.text)) for r in single], 50)
@@ -63,6 +59,5 @@ def test_stages_keep_the_columns(spark, docs, empty, folder):
 
 def test_near_duplicate_stage_leaves_one(spark, docs, folder):
     kept = corpus_pipeline.near_duplicates(spark, docs, folder).collect()
-    prints = [brute_fingerprint(utf8(r.text)) for r in docs.collect()]
-    assert len(kept) == len(set(brute_components(prints).values()))
-    assert 0 in {r.doc_id for r in kept} and not {1, 2} & {r.doc_id for r in kept}
+    assert len(kept) == len(brute_groups([(r.doc_id, r.text) for r in docs.collect()]))
+    assert 0 in {r.doc_id for r in kept} and not {1, 2, 3} & {r.doc_id for r in kept}
