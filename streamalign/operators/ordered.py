@@ -1,7 +1,8 @@
 """Previous rows, running sums, ordinals, carried values and brackets along a stream that no single task has to hold.
 
 Streams are cut into stretches of their order column. Windows run within (keys, stretch); what crosses a stretch's
-edge comes from one summary row for each stretch. So one long session is spread over many tasks.
+edge comes from one summary row for each stretch, which is added to the stretch's own rows. So one long session is
+spread over many tasks, and a step shuffles its rows once.
 """
 
 from __future__ import annotations
@@ -38,16 +39,21 @@ def _neighbours(df: DataFrame, keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(_S)
 
 
+def _with_carry(cut: DataFrame, carry: DataFrame) -> DataFrame:
+    """The rows of cut (__row is true) and, in each stretch, a row with its carry: one shuffle, and no join, brings them together."""
+    return cut.withColumn("__row", F.lit(True)).unionByName(carry.withColumn("__row", F.lit(False)), allowMissingColumns=True)
+
+
 def with_previous(df: DataFrame, keys: list[str], order: str, columns: list[str], width: float = WIDTH) -> DataFrame:
     """df with prev_<column> of the row before, NULL for the first row of each key, and n_before > 0 if there is one."""
     cut = _cut(df, order, width)
     row = F.struct(*columns)
     last = cut.groupBy(*keys, _S).agg(F.max_by(row, order).alias("__last"))
     carry = last.select(*keys, _S, F.lag("__last").over(_neighbours(df, keys)).alias("__carry"))
-    inside = Window.partitionBy(*keys, _S).orderBy(order)
-    before = F.when(F.row_number().over(inside) == 1, F.col("__carry")).otherwise(F.lag(row).over(inside))
-    out = join_on(cut, carry, [*keys, _S]).withColumn("__before", before)
-    return out.withColumns({**{f"prev_{c}": F.col("__before")[c] for c in columns}, "has_prev": F.col("__before").isNotNull()}).drop(_S, "__before", "__carry")
+    first_carry = Window.partitionBy(*keys, _S).orderBy("__row", order)
+    both = _with_carry(cut, carry).withColumn("__before", F.lag(F.when(F.col("__row"), row).otherwise(F.col("__carry"))).over(first_carry))
+    out = both.filter("__row").withColumns({**{f"prev_{c}": F.col("__before")[c] for c in columns}, "has_prev": F.col("__before").isNotNull()})
+    return out.drop(_S, "__before", "__carry", "__row")
 
 
 def with_next(df: DataFrame, keys: list[str], order: str, columns: list[str], width: float = WIDTH) -> DataFrame:
@@ -56,10 +62,10 @@ def with_next(df: DataFrame, keys: list[str], order: str, columns: list[str], wi
     row = F.struct(*columns)
     first = cut.groupBy(*keys, _S).agg(F.min_by(row, order).alias("__first"))
     carry = first.select(*keys, _S, F.lead("__first").over(_neighbours(df, keys)).alias("__carry"))
-    inside = Window.partitionBy(*keys, _S).orderBy(order)
-    after = F.coalesce(F.lead(row).over(inside), F.col("__carry"))
-    out = join_on(cut, carry, [*keys, _S]).withColumn("__after", after)
-    return out.withColumns({**{f"next_{c}": F.col("__after")[c] for c in columns}, "has_next": F.col("__after").isNotNull()}).drop(_S, "__after", "__carry")
+    last_carry = Window.partitionBy(*keys, _S).orderBy(F.col("__row").desc(), order)
+    both = _with_carry(cut, carry).withColumn("__after", F.lead(F.when(F.col("__row"), row).otherwise(F.col("__carry"))).over(last_carry))
+    out = both.filter("__row").withColumns({**{f"next_{c}": F.col("__after")[c] for c in columns}, "has_next": F.col("__after").isNotNull()})
+    return out.drop(_S, "__after", "__carry", "__row")
 
 
 def with_running_sum(df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: float = WIDTH) -> DataFrame:
@@ -67,9 +73,9 @@ def with_running_sum(df: DataFrame, keys: list[str], order: str, value: Column,
     cut = _cut(df, order, width).withColumn("__v", F.coalesce(value, F.lit(0)))
     sums = cut.groupBy(*keys, _S).agg(F.sum("__v").alias("__sum"))
     before = _neighbours(df, keys).rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select(*keys, _S, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__carry"))
-    inside = Window.partitionBy(*keys, _S).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return join_on(cut, carry, [*keys, _S]).withColumn(name, F.col("__carry") + F.sum("__v").over(inside)).drop(_S, "__v", "__carry")
+    carry = sums.select(*keys, _S, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__v"))
+    upto = Window.partitionBy(*keys, _S).orderBy("__row", order).rowsBetween(Window.unboundedPreceding, 0)
+    return _with_carry(cut, carry).withColumn(name, F.sum("__v").over(upto)).filter("__row").drop(_S, "__v", "__row")
 
 
 def with_ordinal(df: DataFrame, keys: list[str], order: str, name: str = "ordinal", width: float = WIDTH) -> DataFrame:
@@ -90,11 +96,14 @@ def bracket(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, va
     both = _cut(asked.filter(F.col("__x").isNotNull()).unionByName(given), "__x", width)
     ends = both.groupBy(*keys, _S).agg(F.min_by(F.col("__anchor"), F.when(F.col("__anchor").isNotNull(), F.col("__x"))).alias("__first"), F.max_by(F.col("__anchor"), F.when(F.col("__anchor").isNotNull(), F.col("__x"))).alias("__last"))
     w = _neighbours(both, keys)
-    carry = ends.select(*keys, _S, F.last("__last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"), F.first("__first", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
-    inside = Window.partitionBy(*keys, _S).orderBy("__x")
-    lo = F.coalesce(F.last("__anchor", True).over(inside.rangeBetween(Window.unboundedPreceding, 0)), F.col("__before"))
-    hi = F.coalesce(F.first("__anchor", True).over(inside.rangeBetween(0, Window.unboundedFollowing)), F.col("__after"))
-    found = join_on(both, carry, [*keys, _S]).withColumns({"lo": lo, "hi": hi}).filter(F.col("__row").isNotNull())
+    before, after = F.last("__last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.first("__first", True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    carry = ends.select(*keys, _S, F.struct(before.alias("before"), after.alias("after")).alias("__carry"))
+    stretch = Window.partitionBy(*keys, _S)
+    inside = stretch.orderBy("__x")
+    carried = F.first("__carry", True).over(stretch.orderBy("__x").rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    lo = F.coalesce(F.last("__anchor", True).over(inside.rangeBetween(Window.unboundedPreceding, 0)), carried["before"])
+    hi = F.coalesce(F.first("__anchor", True).over(inside.rangeBetween(0, Window.unboundedFollowing)), carried["after"])
+    found = both.unionByName(carry, allowMissingColumns=True).withColumns({"lo": lo, "hi": hi}).filter(F.col("__row").isNotNull())
     found = found.select(*keys, *[F.col("__row")[c].alias(c) for c in names], "lo", "hi")
     none = F.lit(None).cast("struct<x: double, y: double>")
     return found.unionByName(queries.filter(F.col(at).isNull()).select(*keys, *names, none.alias("lo"), none.alias("hi")))
