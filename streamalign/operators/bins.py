@@ -61,12 +61,27 @@ def level_threshold(samples: DataFrame, keys: list[str], level: str, low: float
     return q.select(*keys, F.when(F.col("q")[1] > F.col("q")[0], (F.col("q")[0] + F.col("q")[1]) / 2).alias("threshold"))
 
 
-def quantile_limits(rows: DataFrame, keys: list[str], value: str, low: float = 0.01, high: float = 0.99, accuracy: int | None = None) -> DataFrame:
-    """Display limits per key: two percentiles, spread by 0.5 either way if equal; approximate with an accuracy."""
+def quantile_limits(rows: DataFrame, keys: list[str], value: str, low: float = 0.01, high: float = 0.99, accuracy: int | None = None, if_equal: str = "around") -> DataFrame:
+    """Display limits per key: two percentiles, approximate with an accuracy; 0 and 1 for a key without values.
+
+    Equal limits are moved apart: `around` by 1 % of their size, 1e-6 at least, either way; `above` by 1 upwards.
+    """
+    if if_equal not in ("around", "above"):
+        raise ValueError("if_equal must be around or above")
     q = F.array(F.lit(low), F.lit(high))
     found = rows.groupBy(*keys).agg((F.percentile(value, q) if accuracy is None else F.percentile_approx(value, [low, high], accuracy)).alias("q"))
-    same = F.col("q")[0] == F.col("q")[1]
-    return found.select(*keys, F.when(same, F.col("q")[0] - 0.5).otherwise(F.col("q")[0]).alias("low"), F.when(same, F.col("q")[1] + 0.5).otherwise(F.col("q")[1]).alias("high"))
+    lo, hi = F.col("q")[0], F.col("q")[1]
+    more = F.greatest(F.lit(1e-6), F.abs(lo) * 0.01)
+    down, up = (more, more) if if_equal == "around" else (F.lit(0.0), F.lit(1.0))
+    apart = lambda x, moved, none: F.when(lo.isNull(), F.lit(none)).when(lo == hi, moved).otherwise(x)
+    return found.select(*keys, apart(lo, lo - down, 0.0).alias("low"), apart(hi, hi + up, 1.0).alias("high"))
+
+
+def magnitude_limit(rows: DataFrame, keys: list[str], value: str, share: float = 0.99, accuracy: int | None = None) -> DataFrame:
+    """Per key, the percentile of the absolute values that limits a display around 0; 1 if that is 0 or there are none."""
+    size = F.abs(F.col(value))
+    found = F.percentile(size, share) if accuracy is None else F.percentile_approx(size, share, accuracy)
+    return rows.groupBy(*keys).agg(F.coalesce(F.nullif(found.cast("double"), F.lit(0.0)), F.lit(1.0)).alias("limit"))
 
 
 def histogram(rows: DataFrame, keys: list[str], value: str, edges: list[float]) -> DataFrame:

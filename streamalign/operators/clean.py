@@ -122,6 +122,26 @@ def constant_settings(epochs: DataFrame, keys: list[str], settings: list[str]) -
     return epochs.groupBy(*keys).agg(*one, *agrees)
 
 
+def consensus(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Per key, the one finite value that all its rows have, NULL if they differ, and whether there is one.
+
+    Missing values and infinities are left out; a key without any finite value agrees on nothing.
+    """
+    finite = F.when(F.abs(F.col(value)) < float("inf"), F.col(value))
+    one = constant_settings(rows.select(*keys, finite.alias(value)).filter(F.col(value).isNotNull()), keys, [value])
+    agreed = join_on(rows.select(*keys).distinct(), one, keys, "left").withColumn("agrees", F.coalesce(F.col(f"{value}_agrees"), F.lit(False)))
+    return agreed.select(*keys, F.when(F.col("agrees"), F.col(value)).alias(value), "agrees")
+
+
+def sampling_rate(rows: DataFrame, names: list[str], most: float = float("inf")) -> DataFrame:
+    """rows with hz, the rate that the named columns give, up to `most`, and valid: there is one, all agree, and it is positive.
+
+    Nothing is assumed for a missing rate.
+    """
+    given = F.array_distinct(F.array_compact(F.array(*names)))
+    return rows.withColumn("hz", F.when(F.size(given) > 0, F.least(F.lit(most), F.coalesce(*names)))).withColumn("valid", (F.size(given) == 1) & F.coalesce(given.getItem(0) > 0, F.lit(False)))
+
+
 def attach_contrast(rows: DataFrame, keys: list[str], contrast: str = "contrast", blank: str = "is_blank") -> DataFrame:
     """rows with contrast 0 on blanks and else the one contrast that isn't 0; NULL if there are several."""
     one = rows.groupBy(*keys).agg(F.when(F.count_distinct(F.when(F.col(contrast) != 0, F.col(contrast))) == 1, F.max(F.when(F.col(contrast) != 0, F.col(contrast)))).alias("__c"))

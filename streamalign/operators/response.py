@@ -51,13 +51,33 @@ def peri_event_z(events: DataFrame, traces: DataFrame, keys: list[str], cell: li
 
 
 def tuning_responses(stimuli: DataFrame, traces: DataFrame, keys: list[str], cell: list[str], bucket: float, response: tuple[float, float], base: tuple[float, float], value: str = "dff") -> DataFrame:
-    """Per presentation and cell, the median in the response window less that in the baseline window; NULL if either lacks values."""
-    both = []
-    for name, (lo, hi) in (("r", response), ("b", base)):
-        pairs = window_samples(_shifted(stimuli, lo, hi), traces, keys, "start", "stop", "t", bucket)
-        both.append(pairs.groupBy("ord_w", *cell).agg(F.median(value).alias(name)))
-    out = join_on(both[0], both[1], ["ord_w", *cell])
-    return out.select("ord_w", *cell, (F.col("r") - F.col("b")).alias("response"))
+    """Per presentation and cell with samples in both windows, the median in the response window less that in the baseline; NULL if either lacks values.
+
+    One range join serves both windows.
+    """
+    pairs = window_samples(_shifted(stimuli, min(response[0], base[0]), max(response[1], base[1])), traces, keys, "start", "stop", "t", bucket)
+    inside = lambda w: (F.col("t") >= F.col("onset") + w[0]) & (F.col("t") < F.col("onset") + w[1])
+    both = pairs.groupBy("ord_w", *cell).agg(*[f.alias(n) for n, w in (("r", response), ("b", base)) for f, n in ((F.median(F.when(inside(w), F.col(value))), n), (F.count_if(inside(w)), f"n_{n}"))])
+    return both.filter("n_r > 0 and n_b > 0").select("ord_w", *cell, (F.col("r") - F.col("b")).alias("response"))
+
+
+def peri_event_tuning(stimuli: DataFrame, traces: DataFrame, keys: list[str], cell: list[str], group: list[str], bucket: float, peri: tuple[float, float] = (-0.5, 1.5), width: float = 0.05, base: tuple[float, float] = (-0.3, 0.0), value: str = "dff") -> DataFrame:
+    """Per group of presentations (a block, a direction), bin around the onset and cell, the mean of the presentations' responses.
+
+    A response is the median of a bin less that of the presentation's baseline window; those without values don't
+    count in the mean or in n. Bins in which no presentation of the group has a sample are absent. One range join
+    serves the baseline and all bins, and only medians leave it.
+    """
+    pairs = window_samples(_shifted(stimuli, min(peri[0], base[0]), max(peri[1], base[1])), traces, keys, "start", "stop", "t", bucket)
+    rel = F.col("t") - F.col("onset")
+    bin_ = F.when((rel >= peri[0]) & (rel < peri[1]), F.floor((rel - peri[0]) / width).cast("int"))
+    in_base = (rel >= base[0]) & (rel < base[1])
+    # a sample counts in its bin and, as bin -1, in the baseline
+    placed = pairs.withColumn("bin", F.explode(F.array_compact(F.array(bin_, F.when(in_base, F.lit(-1))))))
+    medians = placed.groupBy("ord_w", *group, *cell, "bin").agg(F.median(value).alias("m"))
+    baseline = F.max(F.when(F.col("bin") == -1, F.col("m"))).over(Window.partitionBy("ord_w", *group, *cell))
+    answered = medians.withColumn("response", F.col("m") - baseline).filter("bin >= 0")
+    return answered.groupBy(*group, *cell, "bin").agg(F.avg("response").alias("mean"), F.count("response").alias("n")).withColumn("rel_t", peri[0] + F.col("bin") * width)
 
 
 def tuning_curve(stimuli: DataFrame, responses: DataFrame, cells: DataFrame, cell: list[str], condition: list[str]) -> DataFrame:
@@ -77,11 +97,16 @@ def normalize_tuning(curve: DataFrame, group: list[str], value: str = "mean") ->
 
 
 def preferred(curve: DataFrame, group: list[str], condition: str, value: str = "mean") -> DataFrame:
-    """Per group, the condition of the largest value, the first in a tie, NULL counting as least; and rank by it."""
+    """Per group, the condition of the largest value, the first in a tie, NULL counting as least."""
     best = curve.groupBy(*group).agg(F.min_by(condition, F.struct(-F.coalesce(F.col(value), F.lit(float("-inf"))), F.col(condition))).alias("preferred"))
     return best
 
 
+def rank_rois(preferred_of: DataFrame, group: list[str], cell: str, by: str = "preferred") -> DataFrame:
+    """preferred_of with `rank`: the cells of each group (a plane) in order of their preferred condition, then by cell, from 0."""
+    return preferred_of.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(by, cell)) - 1)
+
+
 def pairwise_correlation(pairs: DataFrame, keys: list[str], a: str, b: str, least: int) -> DataFrame:
     """Pearson correlation over the rows that have both; NULL for fewer than `least` or a constant side."""
     both = pairs.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
@@ -130,3 +155,8 @@ def mask_projection(mask: DataFrame, roi: list[str], row: str, col: str, z: str,
     """Largest weight over z of each pixel that has one, and per ROI the lowest and highest active z."""
     active = mask.filter(F.col(weight).isNotNull() & (F.col(weight) != 0))
     return active.groupBy(*roi, row, col).agg(F.max(weight).alias("weight")), active.groupBy(*roi).agg(F.min(z).alias("z_min"), F.max(z).alias("z_max"))
+
+
+def image_projection(images: DataFrame, pixel: list[str], value: str) -> DataFrame:
+    """The largest value over depth of each pixel (its channel, row and column)."""
+    return images.groupBy(*pixel).agg(F.max(value).alias("value"))

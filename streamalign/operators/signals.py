@@ -77,11 +77,11 @@ def population_ratio(traces: DataFrame, keys: list[str], dff: str = "dff", f0: s
     return join_on(traces.select(*keys).distinct(), found, keys, "left").withColumn("n_cells", F.coalesce("n_cells", F.lit(0)))
 
 
-def median_period(samples: DataFrame, keys: list[str], within: list[str], at: str = "t", order: str = "ord", width: float = WIDTH) -> DataFrame:
-    """Per key, the median of the positive steps between neighbours of one `within` group (a trial)."""
+def median_period(samples: DataFrame, keys: list[str], within: list[str], at: str = "t", order: str = "ord", width: float = WIDTH, share: float = 0.5) -> DataFrame:
+    """Per key, the median (or another percentile) of the positive steps between neighbours of one `within` group (a trial)."""
     seen = with_previous(samples.select(*dict.fromkeys([*keys, *within, order, at])), [*keys, *within], order, [at], width)
     step = F.col(at) - F.col(f"prev_{at}")
-    return seen.groupBy(*keys).agg(F.median(F.when(step > 0, step)).alias("period"))
+    return seen.groupBy(*keys).agg(F.percentile(F.when(step > 0, step), share).alias("period"))
 
 
 def baseline(trace: DataFrame, keys: list[str], value: str, smooth: int, span: int, order: str = "ord") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "alignment", "responses", "tables_and_sets")
+MODULES = ("cleaning", "alignment", "responses", "tables_and_sets", "round_trips")
 QUERIES, ORACLES = {}, {}
 for _name in MODULES:
     _module = import_module(f"{__name__}.{_name}")

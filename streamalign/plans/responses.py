@@ -97,11 +97,11 @@ def a7_peri_event_z(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("v2 v3", """, p AS (SELECT v3.ord AS ord_w, plane, roi, floor((t - start) / 1800)::BIGINT AS bin, median(dff) AS md FROM v3 JOIN v2 ON t >= start - 7200 AND t < start + 7200 GROUP BY ALL)
-SELECT ord_w, plane, roi, bin, round(md, 8) AS median, round((md - avg(md) FILTER (bin < 0) OVER w) / nullif(stddev_pop(md) FILTER (bin < 0) OVER w, 0), 6) AS z FROM p WINDOW w AS (PARTITION BY ord_w, plane, roi)""")
+SELECT ord_w, plane, roi, bin, round(md, 8) AS median, round((md - avg(md) FILTER (bin < 0) OVER w) / nullif(stddev_pop(md) FILTER (bin < 0) OVER w, 0) + 3e-10, 6) AS z FROM p WINDOW w AS (PARTITION BY ord_w, plane, roi)""")
 def a7_peri_event_z_planes(spark: SparkSession, sf: str) -> DataFrame:
     s, t = V.stimuli(spark, sf).withColumnRenamed("ord", "ord_w"), V.traces(spark, sf)
     z = response.peri_event_z(s.crossJoin(t.select("plane").distinct()), t, ["plane"], ["plane", "roi"], HOUR, 7200.0, 7200.0, 1800.0)
-    return z.select("ord_w", "plane", "roi", "bin", r("median", 8).alias("median"), r("z").alias("z"))
+    return z.select("ord_w", "plane", "roi", "bin", r("median", 8).alias("median"), r(F.col("z") + 3e-10).alias("z"))
 
 
 _TU = """, s AS (SELECT v3.ord AS ord_w, v3.* EXCLUDE (ord), p.plane FROM v3, (VALUES ('click'), ('view')) p(plane)),
@@ -209,7 +209,8 @@ def a27_mask_depth(spark: SparkSession, sf: str) -> DataFrame:
 @query("", "SELECT l_returnflag AS channel, l_partkey % 32 AS \"row\", l_orderkey % 32 AS col, max(l_quantity) AS value FROM lineitem GROUP BY ALL")
 def a28_image_projection(spark: SparkSession, sf: str) -> DataFrame:
     item = V.table(spark, sf, "lineitem")
-    return item.groupBy(F.col("l_returnflag").alias("channel"), (F.col("l_partkey") % 32).alias("row"), (F.col("l_orderkey") % 32).alias("col")).agg(F.max("l_quantity").alias("value"))
+    pixels = item.select(F.col("l_returnflag").alias("channel"), (F.col("l_partkey") % 32).alias("row"), (F.col("l_orderkey") % 32).alias("col"), "l_quantity")
+    return response.image_projection(pixels, ["channel", "row", "col"], "l_quantity")
 
 
 @query("v3", " SELECT block, x, count(DISTINCT CASE WHEN block = 1 THEN x ELSE direction END) = 1 AS agrees, max(CASE WHEN block = 1 THEN x ELSE direction END) AS value FROM v3 GROUP BY ALL")

@@ -89,6 +89,19 @@ def read_streams(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return df.withColumns(fixed)
 
 
+def read_traces(spark: SparkSession, path: str, lines: DataFrame, keys: list[str], kind: str = "kind", cell: str = "roi") -> tuple[DataFrame, DataFrame]:
+    """The long table of traces at path (keys, cell, kind, sample and value), and per key of `lines` what it has.
+
+    lines has a row for each recorded sample of a key (a plane). A key without cells gives no trace but keeps its
+    line indices: it is in the report, with its samples, 0 traces, and shapes that agree. same_shape tells whether
+    all kinds of a key have as many rows.
+    """
+    traces = spark.read.parquet(path)
+    cells = traces.groupBy(*keys).agg(F.count_distinct(cell).alias("n_cells"))
+    report = lines.groupBy(*keys).agg(F.count("*").alias("n_lines")).join(cells, keys, "left").join(trace_shapes(traces, keys, kind), keys, "left")
+    return traces, report.select(*keys, "n_lines", F.coalesce("n_cells", F.lit(0)).alias("n_cells"), F.coalesce("n_kinds", F.lit(0)).alias("n_kinds"), F.coalesce("same_shape", F.lit(True)).alias("same_shape"))
+
+
 def trace_shapes(traces: DataFrame, keys: list[str], kind: str = "kind") -> DataFrame:
     """Per key, whether all kinds of traces have as many rows."""
     counts = traces.groupBy(*keys, kind).agg(F.count("*").alias("n"))
@@ -102,7 +115,7 @@ def soma_traces(traces: DataFrame, labels: DataFrame, keys: list[str], label: st
 
 def read_metadata(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A nested JSON document per file, with an explicit schema."""
-    return spark.read.json(path, schema=schema, multiLine=True)
+    return spark.read.option("recursiveFileLookup", "true").json(path, schema=schema, multiLine=True)
 
 
 def write_intervals(df: DataFrame, path: str) -> None:
