@@ -11,20 +11,40 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .common import groups, map_arrow, to_bytes
+from .common import groups, map_arrow, numbered, stage, to_bytes
 
 #: Longest context, in bytes.
 ORDER = 3
+#: Size of the tables that one task holds; more languages than fit are scored in several passes.
+MODEL_BYTES = 128 << 20
+_PIECE = 1 << 20
 _LETTER = regex.compile(r"\p{L}")
 
+#: For each order, the codes of its distinct strings (a context and a symbol, as one number) and how often they occur.
+Counts = list[tuple[np.ndarray, np.ndarray]]
 
-def _counts(sample: bytes, symbol: np.ndarray, n: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, symbol) codes of this order and how often they occur."""
-    s = symbol[np.frombuffer(sample, dtype=np.uint8)].astype(np.int64)
-    code = np.zeros(max(0, len(s) - order), dtype=np.int64)
-    for k in range(order + 1):
-        code = code * n + s[k : len(s) - order + k]
-    return np.unique(code, return_counts=True)
+
+def count_strings(text: bytes) -> Counts:
+    """The counts of one text; contexts don't reach beyond it."""
+    s = np.frombuffer(text, dtype=np.uint8)
+    out = []
+    for order in range(ORDER + 1):
+        found = []
+        for lo in range(0, max(0, len(s) - order), _PIECE):
+            piece = s[lo : lo + _PIECE + order].astype(np.int64)
+            code = np.zeros(len(piece) - order, dtype=np.int64)
+            for k in range(order + 1):
+                code = code << 8 | piece[k : len(piece) - order + k]
+            found.append(np.unique(code, return_counts=True))
+        out.append(add_counts([c for c, _ in found], [n for _, n in found]))
+    return out
+
+
+def add_counts(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not codes:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
+    return distinct, np.bincount(place, np.concatenate(times), len(distinct)).astype(np.int64)
 
 
 @dataclass
@@ -42,27 +62,47 @@ class PpmModel:
 
     @classmethod
     def train(cls, samples: dict[str, bytes]) -> PpmModel:
-        """samples: the training bytes of each language.
+        """samples: the training bytes of each language."""
+        return cls.from_counts({lang: count_strings(x) for lang, x in samples.items()})
+
+    @classmethod
+    def from_counts(cls, counts: dict[str, Counts]) -> PpmModel:
+        """Freezes the trees of each language.
 
         Escapes are those of method C: a context with t symbols, d of them distinct, leaves d/(t+d) for symbols it
-        hasn't seen. Below order 0, all 256 bytes are alike; bytes that no sample has share one symbol.
+        hasn't seen. Below order 0, all 256 bytes are alike; bytes that no sample has share one symbol. Of a language
+        whose table would be larger than MODEL_BYTES, the longest contexts seen least often give way to shorter ones.
         """
-        langs = sorted(samples)
+        langs = sorted(counts)
         seen = np.zeros(256, dtype=bool)
-        for x in samples.values():
-            seen[np.unique(np.frombuffer(x, dtype=np.uint8))] = True
+        for x in counts.values():
+            seen[x[0][0]] = True
         n = int(seen.sum()) + 1
         symbol = np.full(256, n - 1, dtype=np.int32)
         symbol[seen] = np.arange(n - 1)
 
-        deep = [_counts(samples[x], symbol, n, ORDER) for x in langs]
+        def of_symbols(lang: str, order: int) -> tuple[np.ndarray, np.ndarray]:
+            code, times = counts[lang][order]
+            own = np.zeros(len(code), dtype=np.int64)
+            for k in range(order, -1, -1):
+                own = own * n + symbol[code >> (8 * k) & 255]
+            return own, times
+
+        deep = []
+        for x in langs:
+            code, times = of_symbols(x, ORDER)
+            context, place = np.unique(code // n, return_inverse=True)
+            total, least = np.bincount(place, times, len(context)), 1
+            while 2 * n * int((total >= least).sum()) > MODEL_BYTES:
+                least *= 2
+            deep.append((code[total[place] >= least], times[total[place] >= least]))
         contexts = np.unique(np.concatenate([c // n for c, _ in deep])) if langs else np.zeros(0, dtype=np.int64)
         rows = n * n + len(contexts)
         cost = np.zeros((rows, n, len(langs)), dtype=np.uint16)
         for k, lang in enumerate(langs):
             bits = np.full((1, n), 8.0)
             for order in range(ORDER + 1):
-                code, times = deep[k] if order == ORDER else _counts(samples[lang], symbol, n, order)
+                code, times = deep[k] if order == ORDER else of_symbols(lang, order)
                 if order == ORDER:  # only contexts that some language has, each after its suffix
                     at, longer = np.searchsorted(contexts, code // n), bits[contexts % (n * n)]
                 else:
@@ -99,50 +139,101 @@ class PpmModel:
         return out / 256.0
 
 
-def train_language_model(docs: DataFrame, sample_docs: int = 300, sample_bytes: int = 1 << 18) -> PpmModel:
+class LanguageModel:
+    """Counts of the training strings of each language, in a table, and groups of languages whose trees fit in a task."""
+
+    def __init__(self, counts: DataFrame, groups_of: list[list[str]]):
+        self.counts, self.groups = counts, groups_of
+        self.langs = sorted(x for g in groups_of for x in g)
+
+    def parts(self) -> Iterator[PpmModel]:
+        """The frozen trees, one group of languages at a time."""
+        for group in self.groups:
+            found: dict[str, list[list]] = {x: [[[], []] for _ in range(ORDER + 1)] for x in group}
+            for r in self.counts.filter(F.col("lang").isin(group)).groupBy("lang", "order").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("times")).collect():
+                found[r.lang][r.order] = [[np.array(r.codes, np.int64)], [np.array(r.times, np.int64)]]
+            yield PpmModel.from_counts({x: [add_counts(*c) for c in orders] for x, orders in found.items()})
+
+
+def train_language_model(docs: DataFrame, sample_docs: int = 300) -> LanguageModel:
     """PPM statistics from a bounded sample of the rows of docs (text, lang, doc_id) that have a lang.
 
-    sample_docs documents of each language, in the order of a hash of doc_id, the whole text of each; documents
-    longer than sample_bytes are passed over. The bound is sample_docs x sample_bytes bytes a language.
+    sample_docs documents of each language, in the order of a hash of doc_id; the whole text of each, of any length,
+    is counted where it lies. Null and empty texts teach nothing; rows with one doc_id and lang all count.
     """
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.octet_length("text").between(1, sample_bytes))
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0))
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
-    if (n := counts.count()) > 10_000:
-        raise ValueError(f"{n} languages; at most 10000 are learned")
     # about twice as many as wanted by their hash, then the first of them
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = usable.select("doc_id", "lang").join(F.broadcast(counts), "lang").filter(share < F.lit(2.0 * sample_docs + 50) / F.col("n")).select("doc_id", "lang").distinct()
+    few = usable.select("doc_id", "lang").join(counts, "lang").filter(share < F.lit(2.0 * sample_docs + 50) / F.col("n")).select("doc_id", "lang").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = few.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("doc_id", "lang")
-    samples: dict[str, list[bytes]] = {}
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").orderBy("lang", "doc_id", "text").collect()
-    for r in rows:
-        samples.setdefault(r.lang, []).append(r.text.encode())
-    return PpmModel.train({k: b" ".join(v) for k, v in samples.items()})
-
-
-def identify_languages(docs: DataFrame, model: PpmModel, group_bytes: int = 1 << 20) -> DataFrame:
-    """doc_id, lang_pred and score of every text.
+    rows = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    strings = map_arrow(rows.select("lang", "text"), _count_batches, "lang string, order int, code bigint, n bigint")
+    table = stage(strings.groupBy("lang", "order", "code").agg(F.sum("n").alias("n")), "language-counts")
+    sizes = table.groupBy("lang").agg(F.count_if(F.col("order") == 0).alias("symbols"), F.count_distinct(F.when(F.col("order") == ORDER, F.shiftright("code", 8))).alias("contexts")).orderBy("lang").collect()
+    groups_of: list[list[str]] = []
+    n = contexts = 0
+    for r in sizes:
+        n_new, contexts_new = max(n, r.symbols + 1), contexts + r.contexts
+        if not groups_of or 2 * n_new * (n_new**2 + contexts_new) * (len(groups_of[-1]) + 1) > MODEL_BYTES:
+            groups_of.append([])
+            n_new, contexts_new = r.symbols + 1, r.contexts
+        groups_of[-1].append(r.lang)
+        n, contexts = n_new, contexts_new
+    return LanguageModel(table, groups_of)
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), to_bytes(batch.column("text")), strict=True):
+            for order, (code, n) in enumerate(count_strings(text)):
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(np.full(len(code), order, np.int32)), pa.array(code), pa.array(n)], names=["lang", "order", "code", "n"])
+
+
+def identify_languages(docs: DataFrame, model: LanguageModel, group_bytes: int = 1 << 20) -> DataFrame:
+    """doc_id, lang_pred and score of every text; other columns aren't carried.
 
     The language with the shortest code for the whole text wins, the first by name in a tie. score is its share of
     2^-(code length), 0 for `und`, which stands for null texts, texts without a letter, and a model of no language.
+    Each group of the model's languages is a pass over docs.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        names = [*model.langs, "und"]
-        for batch in batches:
-            values = to_bytes(batch.column("text"))
-            best, score = np.full(len(values), len(model.langs)), np.zeros(len(values))
-            for lo, hi in groups(values, group_bytes) if model.langs else ():
-                bits = model.bits(values[lo:hi])
-                best[lo:hi] = bits.argmin(axis=1)
-                score[lo:hi] = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
-            for k, x in enumerate(values):
-                if not _LETTER.search(x.decode("utf-8", "replace")):
-                    best[k], score[k] = len(model.langs), 0.0
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([names[k] for k in best], pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
-
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs.select("doc_id", "text"), predict, f"doc_id {kind}, lang_pred string, score double")
+    spark = docs.sparkSession
+
+    def scores(rows: DataFrame, part: PpmModel, names: list[str], fields: str) -> DataFrame:
+        """names of rows, the shortest code's language and length, and the sum of 2^-(what others are longer); no language: `und`."""
+        shared = spark.sparkContext.broadcast(part)
+
+        def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = shared.value
+            langs = [*part.langs, "und"]
+            for batch in batches:
+                values = to_bytes(batch.column("text"))
+                best, least, others = np.full(len(values), len(part.langs)), np.zeros(len(values)), np.zeros(len(values))
+                for lo, hi in groups(values, group_bytes) if part.langs else ():
+                    bits = part.bits(values[lo:hi])
+                    best[lo:hi] = bits.argmin(axis=1)
+                    least[lo:hi] = bits.min(axis=1)
+                    others[lo:hi] = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
+                for k, x in enumerate(values):
+                    if not _LETTER.search(x.decode("utf-8", "replace")):
+                        best[k] = len(part.langs)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([langs[k] for k in best], pa.string()), pa.array(least), pa.array(others)], names=[*names, "lang_pred", "bits", "others"])
+
+        return map_arrow(rows, predict, f"{fields}, lang_pred string, bits double, others double")
+
+    score = F.when(F.col("lang_pred") == "und", F.lit(0.0)).otherwise(1 / F.col("others")).alias("score")
+    if len(model.groups) < 2:
+        part = next(model.parts(), PpmModel.from_counts({}))
+        return scores(docs.select("doc_id", "text"), part, ["doc_id"], f"doc_id {kind}").select("doc_id", "lang_pred", score)
+    rows = numbered(docs.select("doc_id", "text"))
+    row = rows.columns[-1]
+    found = None
+    for part in model.parts():
+        one = stage(scores(rows, part, ["doc_id", row], f"doc_id {kind}, {row} bigint"), "language-scores")
+        found = one if found is None else found.unionByName(one)
+    least = F.min("bits").alias("bits")
+    best = found.groupBy(row).agg(F.first("doc_id").alias("doc_id"), F.min_by("lang_pred", F.struct("bits", "lang_pred")).alias("lang_pred"), least, F.collect_list(F.struct("bits", "others")).alias("parts"))
+    total = F.aggregate("parts", F.lit(0.0), lambda s, x: s + x["others"] * F.pow(F.lit(2.0), F.greatest(F.col("bits") - x["bits"], F.lit(-1000.0))))
+    return best.withColumn("others", total).select("doc_id", "lang_pred", score)

@@ -566,6 +566,23 @@ def test_language(docs, empty):
     assert langid.identify_languages(empty, model).count() == 0
 
 
+def test_languages_in_several_passes(spark, docs, monkeypatch):
+    whole = {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify_languages(docs, langid.train_language_model(docs)).collect()}
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1 << 17)
+    model = langid.train_language_model(docs)
+    assert len(model.groups) == 3
+    got = langid.identify_languages(docs, model).collect()
+    assert len(got) == docs.count() and {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in got} == whole
+
+
+def test_language_of_long_texts_only(spark):
+    rows = [(k, w * 60_000, lang) for k, (w, lang) in enumerate([("the long words ", "en"), ("les mots longs ", "fr")] * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train_language_model(df)
+    assert model.langs == ["en", "fr"]
+    assert all(r.lang_pred == rows[r.doc_id][2] for r in langid.identify_languages(df, model).collect())
+
+
 # queries and their SQL
 
 
