@@ -168,10 +168,14 @@ def read_avi(data: bytes) -> tuple[list[bytes], float, bytes]:
         raise ValueError("no movi list")
     if index is None:
         return [data[a:b] for name, a, b in walk(movie[0] + 4, movie[1]) if name == b"00dc"], rate, note
+    entries = [x for x in struct.iter_unpack("<4sIII", data[index[0] : index[0] + (index[1] - index[0]) // 16 * 16]) if x[0] == b"00dc"]
+    # offsets count from the movi list or, in some files, from the file's start
+    base = movie[0] if not entries or data[movie[0] + entries[0][2] :][:4] == b"00dc" else 0
     frames = []
-    for name, _, at, size in struct.iter_unpack("<4sIII", data[index[0] : index[1]]):
-        if name == b"00dc":
-            frames.append(data[movie[0] + at + 8 : movie[0] + at + 8 + size])
+    for _, _, at, size in entries:
+        if data[base + at : base + at + 4] != b"00dc":
+            raise ValueError("the index doesn't lead to a frame")
+        frames.append(data[base + at + 8 : base + at + 8 + size])
     return frames, rate, note
 
 
@@ -395,10 +399,14 @@ def find_shots(histograms: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, n
     distance[first[:-1]] = 0
     lo = np.maximum(np.arange(n) - NEAR, first[file] + 1)
     hi = np.minimum(np.arange(n) + NEAR + 1, first[file + 1])
-    one, two = (np.concatenate([[0], np.cumsum(v)]) for v in (distance, distance**2))
     others = np.maximum(hi - lo - 1, 1)
-    mean = (one[np.maximum(hi, lo)] - one[lo] - distance) / others
-    spread = np.sqrt(np.maximum(0, (two[np.maximum(hi, lo)] - two[lo] - distance**2) / others - mean**2))
+    one, two = np.zeros(n), np.zeros(n)
+    for step in range(-NEAR, NEAR + 1):  # the same few additions for a frame, whatever else is in the batch
+        at = np.arange(n) + step
+        near = np.where((at >= lo) & (at < hi) & (step != 0), distance[np.clip(at, 0, n - 1)], 0.0) if n else distance
+        one, two = one + near, two + near**2
+    mean = one / others
+    spread = np.sqrt(np.maximum(0, two / others - mean**2))
     begins = distance > mean + 3 * spread + 0.05
     begins[first[:-1]] = True
     return np.flatnonzero(begins), distance
@@ -426,43 +434,88 @@ def read_media(stored: DataFrame, group_bytes: int = 1 << 20) -> DataFrame:
     """What the AVI in `media` says, beside doc_id: sizes and digests of its payload, and its timed clips.
 
     `clips` has a row for each shot: its first frame, number of frames, start and end in seconds, and the histogram
-    distance at its start. `feature` is a digest of these: frames, shots, and the bounds of the first shots.
+    distance at its start. `feature` has the numbers of frames and shots and a digest of all their bounds. The
+    payload is what our files' note says, and all samples of another file. A file that can't be read has its size and
+    digest and, in `error`, the reason; a null one has nulls. Each file is judged by itself. Files larger than a task's
+    memory aren't meant: a file's samples lie in it at once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             media = batch.column("media").to_pylist()
-            for lo, hi in groups(media, group_bytes):
+            for lo, hi in groups([m or b"" for m in media], group_bytes):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), *_inspect(media[lo:hi])], names=names)
 
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clips"]
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clips", "error"]
     kind = stored.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, clips {CLIP}"
+    schema = f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, clips {CLIP}, error string"
     return map_arrow(stored.select("doc_id", "media"), run, schema)
 
 
-def _inspect(media: list[bytes]) -> list[pa.Array]:
-    files = [read_avi(m) for m in media]
-    first = np.concatenate([[0], np.cumsum([len(f[0]) for f in files])])
-    samples = decode_frames([x for f in files for x in f[0]])
-    n = len(samples)
-    flat = samples.reshape(n, -1)
-    counts = np.bincount((np.repeat(np.arange(n) * BINS, flat.shape[1]) + (flat.ravel() >> 4)), minlength=n * BINS)
-    begins, distance = find_shots(counts.reshape(n, BINS) / flat.shape[1], first)
-    at = np.searchsorted(begins, first)
-    data, size = samples.tobytes(), flat.shape[1]
-    columns: list[list] = [[] for _ in range(8)]
-    for k, ((_, rate, note), m) in enumerate(zip(files, media, strict=True)):
-        n_bytes, n_payload = struct.unpack("<QQ", note)
-        payload = data[first[k] * size : first[k] * size + n_payload]
-        cuts = [*begins[at[k] : at[k + 1]].tolist(), int(first[k + 1])]
-        clips = [{"first_frame": a - int(first[k]), "frames": b - a, "start_s": (a - int(first[k])) / rate, "end_s": (b - int(first[k])) / rate, "change": float(distance[a])} for a, b in zip(cuts, cuts[1:], strict=False)]
-        feature = f"{int(first[k + 1] - first[k])} frames {len(clips)} shots " + ",".join(f"{c['start_s']:.2f}-{c['end_s']:.2f}" for c in clips[:8])
-        for column, value in zip(columns, (n_bytes, n_payload, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature, clips), strict=True):
-            column.append(value)
+_OWN_NOTE = struct.Struct("<QQ")
+
+
+def _decoded(files: list[tuple[list[bytes], float, bytes]]) -> list[np.ndarray | Exception]:
+    """The samples of each file, frames x height x width, or why they can't be had; files of one header are decoded together."""
+    out: list = [ValueError("no frames")] * len(files)
+    alike: dict[bytes, list[int]] = {}
+    for k, (frames, _, _) in enumerate(files):
+        if frames:
+            try:
+                head = frames[0][: _header_end(frames[0])]
+            except IndexError:
+                out[k] = ValueError("a frame without a header")
+                continue
+            alike.setdefault(head if b"\xff\xc3" in head else b"%d" % k, []).append(k)
+    for members in alike.values():
+        try:
+            samples = decode_frames([x for k in members for x in files[k][0]])
+            bounds = np.cumsum([0, *(len(files[k][0]) for k in members)])
+            for k, a, b in zip(members, bounds, bounds[1:], strict=False):
+                out[k] = samples[a:b]
+        except (ValueError, IndexError, KeyError, struct.error) as e:
+            if len(members) == 1:
+                out[members[0]] = e
+            else:  # one of them is broken
+                for k in members:
+                    out[k] = _decoded([files[k]])[0]
+    return out
+
+
+def _inspect(media: list[bytes | None]) -> list[pa.Array]:
+    rows: list[list] = [[None] * len(media) for _ in range(9)]
+    good, files = [], []
+    for k, m in enumerate(media):
+        if m is None:
+            continue
+        rows[4][k], rows[5][k] = len(m), hashlib.sha256(m).hexdigest()
+        try:
+            files.append(read_avi(m))
+            good.append(k)
+        except (ValueError, IndexError, struct.error) as e:
+            rows[8][k] = str(e) or type(e).__name__
+    for k, (_, rate, note), samples in zip(good, files, _decoded(files), strict=True):
+        if isinstance(samples, Exception):
+            rows[8][k] = str(samples) or type(samples).__name__
+            continue
+        n = len(samples)
+        flat = samples.reshape(n, -1)
+        counts = np.bincount((np.repeat(np.arange(n) * BINS, flat.shape[1]) + (flat.ravel() >> 4)), minlength=n * BINS)
+        begins, distance = find_shots(counts.reshape(n, BINS) / flat.shape[1], np.array([0, n]))
+        own = len(note) == _OWN_NOTE.size
+        n_bytes, n_payload = _OWN_NOTE.unpack(note) if own else (samples.size, samples.size)
+        if n_payload > samples.size or n_bytes > n_payload:
+            own, n_bytes, n_payload = False, samples.size, samples.size
+        payload = samples.tobytes()[:n_payload]
+        second = 1 / rate if rate else 0.0
+        cuts = [*begins.tolist(), n]
+        clips = [{"first_frame": a, "frames": b - a, "start_s": a * second, "end_s": b * second, "change": float(distance[a])} for a, b in zip(cuts, cuts[1:], strict=False)]
+        bounds = hashlib.sha256(",".join(f"{c['start_s']:.4f}-{c['end_s']:.4f}" for c in clips).encode()).hexdigest()
+        for column, value in enumerate((n_bytes, n_payload, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), rows[4][k], rows[5][k], f"{n} frames {len(clips)} shots {bounds}", clips)):
+            rows[column][k] = value
     clip = pa.list_(pa.struct([("first_frame", pa.int32()), ("frames", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("change", pa.float64())]))
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), clip]
-    return [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), clip, pa.string()]
+    return [pa.array(c, kind) for c, kind in zip(rows, kinds, strict=True)]
 
 
 def clip_rows(read: DataFrame) -> DataFrame:

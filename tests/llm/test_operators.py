@@ -125,6 +125,28 @@ def test_baseline_frames_decode(restart, sampling):
     assert len(back) == 3 and rate == 10 and media.decode_frames(back).shape == (3, 29, 37)
 
 
+def test_read_media_of_other_files(spark):
+    rng = np.random.default_rng(6)
+    y = np.clip(np.add.outer(np.arange(24) * 4, np.arange(32) * 3) + rng.integers(0, 20, (24, 32)), 0, 255)
+    camera = media.write_avi([baseline_jpeg([(y, 1, 1)], 32, 24)] * 3, 32, 24, 10, b"")
+    small = media.write_avi([baseline_jpeg([(y[:8, :8], 1, 1)], 8, 8)], 8, 8, 10, b"camera 7")
+    own = media.encode_payloads([b"some text of ours" * 200])[0]
+    data = bytearray(camera)  # an index that counts from the file's start
+    movi, idx = data.index(b"movi"), data.index(b"idx1") + 8
+    for k in range(idx, len(data) - 15, 16):
+        data[k + 8 : k + 12] = (int.from_bytes(data[k + 8 : k + 12], "little") + movi).to_bytes(4, "little")
+    files = [camera, None, own, b"", b"RIFFxxxx", small, bytes(data), own[: len(own) // 2], own]
+    rows = [(k, m) for k, m in enumerate(files)]
+    got = {r.doc_id: r for r in media.read_media(spark.createDataFrame(rows, "doc_id long, media binary").coalesce(1)).collect()}
+    assert [got[k].error is None for k in range(9)] == [True, True, True, False, False, True, True, False, True]
+    assert got[1].media_bytes is None and got[1].clips is None and got[4].media_bytes == 8 and got[4].payload_sha256 is None
+    assert got[0].n_bytes == 3 * 24 * 32 and got[0].clips[0].frames == 3 and got[5].payload_bytes == 64
+    assert got[6].payload_sha256 == got[0].payload_sha256
+    assert got[2].payload_sha256 == hashlib.sha256(media.payload_of(b"some text of ours" * 200)).hexdigest() == got[8].payload_sha256
+    alone = media.read_media(spark.createDataFrame(rows[2:3], "doc_id long, media binary")).first()
+    assert alone == got[2]
+
+
 # near duplicates
 
 
