@@ -362,6 +362,25 @@ def test_matrix_has_its_margins(spark, monkeypatch):
     assert sorted(counts.values()) == [142, 143, 143, 143, 143, 143, 143] and len({(r.shard, r.slot) for r in got}) == 1000
 
 
+def test_arrangement_is_uniform(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PART_ROWS", 40)
+    monkeypatch.setattr(sharding, "FAN", 4)
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(1).alias("row_key"), F.lit("x").alias("__part"))
+    places = []
+    for seed in (1, 2):
+        got = sharding.shuffle_into_shards(df, 8, seed)
+        assert got.columns == ["doc_id", "row_key", "__part", "shard", "slot"]
+        rows = sorted((r.doc_id, r.shard, r.slot) for r in got.collect())
+        assert sorted({(s, k) for _, s, k in rows}) == [(s, k) for s in range(8) for k in range(500)]
+        shard, slot = np.array([s for _, s, _ in rows]), np.array([k for _, _, k in rows])
+        for group in (np.arange(4000) % 4, np.arange(4000) // 1000, slot // 125):  # 4 x 8 cells of 125 each
+            cells = np.bincount(group * 8 + shard, minlength=32)
+            assert ((cells - 125) ** 2 / 125).sum() < 60  # chi-square of 21 degrees: 60 has odds of 1e-5
+        assert abs(np.corrcoef(np.arange(4000), slot)[0, 1]) < 0.08
+        places.append(shard)
+    assert 350 < (places[0] == places[1]).sum() < 650
+
+
 # quality
 
 
