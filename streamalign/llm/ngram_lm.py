@@ -79,7 +79,7 @@ class Trie:
         at = np.concatenate([[40], 40 + np.cumsum(sizes)])
         part = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         self.contexts, self.pointers, self.level2 = (EliasFano.decode(x.copy() if x.ctypes.data % 8 else x) for x in part[:3])
-        self.counts, self.codes = np.frombuffer(part[3].tobytes(), "<u4"), np.frombuffer(part[4].tobytes(), "<u2")
+        self.counts, self.codes = np.frombuffer(part[3].tobytes(), "<u8"), np.frombuffer(part[4].tobytes(), "<u2")
 
     @staticmethod
     def build(context: np.ndarray, count: np.ndarray, owner: np.ndarray, successor: np.ndarray, pairs: np.ndarray) -> bytes:
@@ -88,7 +88,7 @@ class Trie:
         owner, successor, pairs = owner[seen], successor[seen], pairs[seen]
         pointers = np.searchsorted(owner, np.arange(len(context) + 1)).astype(np.uint64)
         parts = [EliasFano.encode(context), EliasFano.encode(pointers), EliasFano.encode(owner.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successor)]
-        parts += [count.astype("<u4").tobytes(), quantise(pairs).astype("<u2").tobytes()]
+        parts += [count.astype("<u8").tobytes(), quantise(pairs).astype("<u2").tobytes()]
         return np.array([len(x) for x in parts], "<u8").tobytes() + b"".join(parts)
 
     def word_counts(self, words: np.ndarray) -> np.ndarray:
@@ -194,7 +194,7 @@ def answer(table: pa.Table) -> pa.Table:
     pack = zstandard.ZstdCompressor(level=1).compress
     blobs = [f"{counts.sum()} {(counts > 0).sum()}".encode()]
     for s in sent:
-        blobs.append(pack(trie.word_counts(s[0]).astype("<u4").tobytes() + trie.pair_codes(s[0], s[3].astype(np.int64), s[1]).astype("<u2").tobytes()))
+        blobs.append(pack(trie.word_counts(s[0]).astype("<u8").tobytes() + trie.pair_codes(s[0], s[3].astype(np.int64), s[1]).astype("<u2").tobytes()))
     buckets, chunks = table.column("bucket").to_pylist(), table.column("chunk_id").to_pylist()
     return pa.table({"bucket": pa.array([buckets[0], *buckets], pa.int32()), "chunk_id": pa.array([-1, *chunks], pa.int64()), "kind": pa.array([0] + [1] * len(sent), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
@@ -236,8 +236,8 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
         for b, blob in zip(right.column("bucket").to_pylist(), right.column("blob").to_pylist(), strict=True):
             lo, hi = g.bounds[b], g.bounds[b + 1]
             raw = zstandard.ZstdDecompressor().decompress(blob)
-            count[lo:hi] = np.frombuffer(raw, "<u4", hi - lo)
-            code[g.upto[lo] : g.upto[hi]] = np.frombuffer(raw, "<u2", -1, 4 * (hi - lo))
+            count[lo:hi] = np.frombuffer(raw, "<u8", hi - lo)
+            code[g.upto[lo] : g.upto[hi]] = np.frombuffer(raw, "<u2", -1, 8 * (hi - lo))
         c = count[g.word]
         base = (c + 1) / (n_all + v_all + 1)
         before = count[np.where(g.context_word < 0, g.sentence, g.context_word)]
@@ -253,15 +253,23 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
 
 
 def _frequent(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words to split into several contexts, sorted, and into how many, from the words of one chunk.
+    """Hashes of words to split into several contexts, sorted, and into how many, from the words of all chunks.
 
-    Only the layout of the exchange follows from this; any choice gives the same scores.
+    A chunk names the words that are more frequent in it, by its bytes, than `limit` would be in all text. The chunks
+    that don't name a word have less than `limit` of it together, so that a word of twice as many tokens is split
+    wherever it stands. At most one word in `limit` tokens is split. Only the layout of the exchange follows from
+    this; any choice gives the same scores.
     """
-    head = chunks.limit(1).collect()
-    if not head:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    values = to_bytes(unpack_chunk(bytes(head[0].payload)).column("text"))
-    word, n = np.unique(tokens(values)[0], return_counts=True)
-    parts = np.ceil(n * (total / max(1, sum(map(len, values)))) / FAN_TOKENS)
-    keep = (parts > 1) & (n >= 8)
-    return word[keep], parts[keep].astype(np.uint64)
+    limit = max(FAN_TOKENS, total >> 20)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column("payload"):
+                values = to_bytes(unpack_chunk(payload.as_buffer()).column("text"))
+                word, n = np.unique(tokens(values)[0], return_counts=True)
+                keep = n * max(1, total) >= limit * sum(map(len, values))
+                yield pa.RecordBatch.from_arrays([pa.array(word[keep].view(np.int64)), pa.array(n[keep])], names=["word", "n"])
+
+    rows = map_arrow(chunks.select("payload"), named, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") > limit).collect()
+    found = sorted((r.word % (1 << 64), -(-r.n // limit)) for r in rows)
+    return np.array([w for w, _ in found], np.uint64), np.array([k for _, k in found], np.uint64)
