@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -59,6 +60,12 @@ def discard(*staged: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps that are written and done with."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """df, written and read back, with a number of its own for each row in a last column of an unused name."""
     return stage(df.withColumn(unused(df.columns, "__row"), F.monotonically_increasing_id()), "rows")
