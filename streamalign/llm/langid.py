@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .common import groups, map_arrow, numbered, stage, to_bytes
+from .common import groups, if_small, map_arrow, numbered, stage, to_bytes
 
 #: Longest context, in bytes.
 ORDER = 3
@@ -162,12 +162,12 @@ def train_language_model(docs: DataFrame, sample_docs: int = 300) -> LanguageMod
     is counted where it lies. Null and empty texts teach nothing; rows with one doc_id and lang all count.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = if_small(stage(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
     # about twice as many as wanted by their hash, then the first of them
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     few = usable.select("doc_id", "lang").join(counts, "lang").filter(share < F.lit(2.0 * sample_docs + 50) / F.col("n")).select("doc_id", "lang").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("doc_id", "lang")
+    chosen = if_small(stage(few.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("doc_id", "lang"), "language-sample"))
     rows = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
     strings = map_arrow(rows.select("lang", "text"), _count_batches, "lang string, order int, code bigint, n bigint")
     table = stage(strings.groupBy("lang", "order", "code").agg(F.sum("n").alias("n")), "language-counts")
