@@ -195,6 +195,15 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").cast(pa.int64()).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
 
 
+def _cut_out(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> bytes:
+    """The bytes of these stretches of buf, one after another; positions are held for some stretches at a time."""
+    parts = []
+    for k in range(0, len(first), 1 << 14):
+        begin, n = first[k : k + (1 << 14)], size[k : k + (1 << 14)]
+        parts.append(buf[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].tobytes())
+    return b"".join(parts)
+
+
 def _stretches(payload: bytes, chunk: int, masks: pa.Table, length: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
     """The chunk's distinct stretches around shared anchors (kind 0, to their buckets), and where each is (kind 1)."""
     batch = unpack_chunk(payload)
@@ -226,8 +235,7 @@ def _stretches(payload: bytes, chunk: int, masks: pa.Table, length: int, n_bucke
     head["several"] = head["first_id"] != np.maximum.reduceat(ids[text[order]], new)
     head["size"], head["anchor"] = size[lead], (anchor - first)[lead]
     bound = np.searchsorted(bucket[lead], np.arange(n_buckets + 1))
-    at = np.repeat(first[lead] - (np.cumsum(size[lead]) - size[lead]), size[lead]) + np.arange(int(size[lead].sum()))
-    body, upto = t.buf[at].tobytes(), np.concatenate([[0], np.cumsum(size[lead])])
+    body, upto = _cut_out(t.buf, first[lead], size[lead]), np.concatenate([[0], np.cumsum(size[lead])])
     number = np.cumsum(np.concatenate([[True], ~same])) - 1
     use = np.zeros(len(order), dtype=_USE)
     use["stretch"], use["first"] = number - bound[bucket[order]], first[order]
@@ -258,7 +266,7 @@ def _removed(t: Texts, ids: np.ndarray, rows: pa.Table, length: int) -> np.ndarr
         later = ids[np.searchsorted(t.start, at, side="right") - 1] > run["id"][r]
         np.add.at(step, at[later] + run["from"][r][later], 1)
         np.add.at(step, at[later] + run["upto"][r][later] + length - 1, -1)
-    return np.cumsum(step)[:-1] > 0
+    return np.cumsum(step, out=step)[:-1] > 0
 
 
 def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts, np.ndarray], pa.RecordBatch], schema: str | StructType, length: int = 50) -> DataFrame:
@@ -309,9 +317,10 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
 
 def _spans(t: Texts, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Per text: removed bytes, removed runs, and the bytes that stay."""
-    upto = np.concatenate([[0], np.cumsum(gone)])
-    begins = np.concatenate([[0], np.cumsum(gone & ~np.concatenate([[False], gone[:-1]]))])
-    removed, runs = upto[t.end] - upto[t.start], begins[t.end] - begins[t.start]
+    upto, begins = (np.zeros(len(gone) + 1, dtype=np.int32) for _ in range(2))
+    np.cumsum(gone, out=upto[1:])
+    np.cumsum(gone & ~np.concatenate([[False], gone[:-1]]), out=begins[1:])
+    removed, runs = (x[t.end].astype(np.int64) - x[t.start] for x in (upto, begins))
     data, kept = t.buf.tobytes(), []
     for a, b, n in zip(t.start.tolist(), t.end.tolist(), removed.tolist(), strict=True):
         kept.append(data[a:b] if not n else t.buf[a:b][~gone[a:b]].tobytes())
