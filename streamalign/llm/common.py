@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -126,13 +128,38 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Returns to the machine what this Python worker has freed, since Spark keeps workers for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+@contextmanager
+def batches_up_to(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs that run meanwhile hand rows to Python in Arrow batches of about this size at most."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """mapInArrow by a function of this package; names that Spark would parse are plain ones meanwhile."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
     ship(df.sparkSession)
     if isinstance(schema, str) or not any(map(_is_odd, df.columns)):
-        return plain_names(df).mapInArrow(run, schema)
+        return plain_names(df).mapInArrow(lean, schema)
     fields = [StructField(_plain(f.name), f.dataType) for f in schema]
-    return plain_names(df).mapInArrow(run, StructType(fields)).toDF(*schema.names)
+    return plain_names(df).mapInArrow(lean, StructType(fields)).toDF(*schema.names)
 
 
 def _is_odd(name: str) -> bool:

@@ -20,11 +20,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .common import Texts, at8, map_arrow, mix, pack_chunks, plain_names, ship, span_hash, stage, stage_by, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, batches_up_to, give_back, map_arrow, mix, pack_chunks, plain_names, ship, span_hash, stage, stage_by, text_bytes, to_bytes, unpack_chunk
 
 GRAM = 16
 #: Text in one chunk, whose repeats are joined before anything is sent, and per bucket on average.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+#: Rows that become chunks come in Arrow batches of this size, a multiple of a chunk's.
+BATCH = "16m"
 _SLICE = 1 << 19
 _POS = np.uint64((1 << 28) - 1)
 _ONE = np.uint64(1)
@@ -279,7 +281,8 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
         raise ValueError("length must be from 32 to 128")
     total = text_bytes(docs)
     n_buckets = 1 + total // BUCKET_BYTES
-    chunks = stage_by(pack_chunks(docs, CHUNK_BYTES), "repeat_chunks", "chunk_id", 1 + total // (2 * CHUNK_BYTES))
+    with batches_up_to(docs.sparkSession, BATCH):
+        chunks = stage_by(pack_chunks(docs, CHUNK_BYTES), "repeat_chunks", "chunk_id", 1 + total // (2 * CHUNK_BYTES))
     ship(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,15 +298,20 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
         if not left.num_rows or not right.num_rows:
             return empty
         made = list(_stretches(left.column("payload")[0].as_buffer(), key[0].as_py(), right, length, n_buckets))
+        give_back()
         return pa.Table.from_batches(made) if made else empty
 
     def minima(table: pa.Table) -> pa.Table:
-        return first_documents(table, length)
+        found = first_documents(table, length)
+        give_back()
+        return found
 
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
         batch = unpack_chunk(left.column("payload")[0].as_buffer())
         t = Texts(to_bytes(batch.column("text")))
-        return pa.Table.from_batches([finish(batch, t, _removed(t, _ids(batch), right, length))])
+        made = pa.Table.from_batches([finish(batch, t, _removed(t, _ids(batch), right, length))])
+        give_back()
+        return made
 
     four = "bucket int, chunk_id bigint, kind int, blob binary"
     empty = pa.table({"bucket": pa.array([], pa.int32()), "chunk_id": pa.array([], pa.int64()), "kind": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
