@@ -306,3 +306,30 @@ def unpack_chunk(payload: bytes) -> pa.RecordBatch:
 def text_bytes(df: DataFrame) -> int:
     """UTF-8 bytes of all texts together."""
     return df.selectExpr("coalesce(sum(octet_length(text)), 0L) AS n").first().n
+
+
+def join_frequent(df: DataFrame, counted: DataFrame, key: str, n: str) -> DataFrame:
+    """df with the columns of counted (one row for each value of key in df, which has n rows there), but n.
+
+    All of counted is broadcast if it is small. Else the values that are frequent are, and only the rest is shuffled:
+    none of these has many rows, so no task gets a hot one.
+    """
+    counted = stage(counted, "counted")
+    if counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        sides = [F.broadcast(counted)]
+    else:
+        powers = counted.groupBy(F.floor(F.log2(n)).alias("power")).agg(F.count("*").alias("values")).collect()  # up to 64 rows
+        frequent, found = 64, 0
+        for r in sorted(powers, key=lambda r: -r.power):
+            found += r["values"]
+            if found > BROADCAST_ROWS:
+                break
+            frequent = r.power
+        often = F.floor(F.log2(n)) >= frequent
+        sides = [F.broadcast(counted.filter(often)), counted.filter(~often)]
+    other = unused([*df.columns, *counted.columns], "__other")
+    joined = None
+    for side in sides:
+        part = df.join(side.withColumnRenamed(key, other), F.col(quoted(key)).eqNullSafe(F.col(other))).drop(other, n)
+        joined = part if joined is None else joined.unionByName(part)
+    return joined

@@ -11,10 +11,12 @@ from .langid import identify_languages, train_language_model
 from .media import read_media, store_media
 from .mixing import add_size, mix_sizes
 from .ngram_lm import score_documents
+from .piece_bpe import tokenize_pieces
 from .quality import COUNTS, score_quality, train_quality
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .suffix_dedup import repeat_report
+from .vector_codes import compress_vectors
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,10 +49,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", *COUNTS, "base_failed", "kept", "quality_p")
 
 
-def vocabulary_file() -> str:
+def vocabulary_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return public_tokenizers.path(name)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,16 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenize_pieces(docs, vocabulary_file("piece_bpe_32k.model"), with_ids=False).drop("text")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_media": op1_media,
     "op2_simhash": op2_simhash,
@@ -91,6 +103,8 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_ngram_lm": op9_ngram_lm,
     "op10_language": op10_language,
+    "op12_piece_bpe": op12_piece_bpe,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 OP3_SQL = r"""
@@ -170,4 +184,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op3_pareto_mixing": OP3_SQL, "op8_chat": OP8_SQL}
+_OP13_ROUND = """,
+near_{k} AS MATERIALIZED (
+  SELECT s.p, s.i, any_value(s.x) AS x,
+         min({{'d': list_sum(list_transform(range(1, len(s.x) + 1), lambda j: (s.x[j] - b.x[j]) * (s.x[j] - b.x[j])))::BIGINT, 'e': b.e}}) AS m
+  FROM parts s JOIN books_{k} b ON s.p = b.p GROUP BY s.p, s.i)"""
+_OP13_MEANS = """,
+means_{k} AS (
+  SELECT p, e, list((total - ((total % n) + n) % n) // n ORDER BY j)::BIGINT[] AS x
+  FROM (SELECT p, m.e AS e, j, sum(x[j]) AS total, count(*)::HUGEINT AS n
+        FROM near_{k}, range(1, len(x) + 1) AS t(j) GROUP BY ALL) GROUP BY p, e),
+books_{next} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM books_{k} b LEFT JOIN means_{k} m ON b.p = m.p AND b.e = m.e)"""
+OP13_SQL = (
+    """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY vec_id) AS i
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT i, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(8) AS t(p)),
+books_0 AS MATERIALIZED (SELECT p, i - 1 AS e, x FROM parts WHERE i <= 16)"""
+    + "".join(_OP13_ROUND.format(k=k) + _OP13_MEANS.format(k=k, next=k + 1) for k in range(6))
+    + _OP13_ROUND.format(k=6)
+    + """,
+coded AS (
+  SELECT i, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM near_6 GROUP BY i),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books_6)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (i), digest
+"""
+)
+
+ORACLE_SQL = {"op3_pareto_mixing": OP3_SQL, "op8_chat": OP8_SQL, "op13_vector_codes": OP13_SQL}
