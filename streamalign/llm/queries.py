@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .align import align_tokens
 from .bpe import tokenize
 from .chat import format_turns, read_back, text_parts
 from .common import stage, table
@@ -82,6 +83,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = align_tokens(docs, vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokenize_pieces(docs, vocabulary_file("piece_bpe_32k.model"), with_ids=False).drop("text")
@@ -103,6 +110,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_ngram_lm": op9_ngram_lm,
     "op10_language": op10_language,
+    "op11_alignment": op11_alignment,
     "op12_piece_bpe": op12_piece_bpe,
     "op13_vector_codes": op13_vector_codes,
 }
