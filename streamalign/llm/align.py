@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import groups, if_small, join_frequent, map_arrow, quoted, schema_with, stage, unused, with_columns
 from .piece_bpe import MARK, PieceBpe, read_vocabulary, text_parts
 
+#: How byte-level vocabularies cut a text; a fixed value.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEW = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
 
@@ -25,14 +26,21 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def byte_level_tokens(vocabulary: bytes) -> list[bytes]:
-    """What the ids of a byte-level vocabulary in JSON stand for; special entries have no bytes."""
+    """What the ids of a byte-level vocabulary in JSON stand for; special entries have no bytes.
+
+    Ids must follow the order of merges, so that they are ranks of merges too.
+    """
     given = json.loads(vocabulary)
     rules = given.get("pre_tokenizer") or {}
     if given["model"]["type"] != "BPE" or given.get("normalizer") or rules.get("type") != "ByteLevel" or rules.get("add_prefix_space") or not rules.get("use_regex", True):
         raise ValueError("not a byte-level vocabulary over texts as they are")
+    ids = given["model"]["vocab"]
+    merged = [ids["".join(m.split(" ") if isinstance(m, str) else m)] for m in given["model"]["merges"]]
+    if merged != sorted(merged):
+        raise ValueError("the ids of this vocabulary don't follow the order of its merges")
     of, special = byte_alphabet(), {t["content"] for t in given.get("added_tokens", [])}
-    out = [b""] * (max(given["model"]["vocab"].values()) + 1)
-    for token, i in given["model"]["vocab"].items():
+    out = [b""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
         if token not in special:
             out[i] = bytes(of[c] for c in token)
     return out
@@ -69,17 +77,18 @@ class Aligner:
     """
 
     def __init__(self, vocabulary_a: bytes, vocabulary_b: bytes, most_segments: int = 500_000, most_windows: int = 500_000):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are what runs in parallel
-        import tokenizers
+        import tiktoken
 
-        self.a = tokenizers.Tokenizer.from_str(vocabulary_a.decode())
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = PieceBpe(vocabulary_b, 1)
         tokens_a = byte_level_tokens(vocabulary_a)
+        # no special tokens: their strings in a text are ordinary text
+        self.a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks={t: i for i, t in enumerate(tokens_a) if t}, special_tokens={})
         self.size_a, self.size_b = (np.array([len(t) for t in tokens], dtype=np.int64) for tokens in (tokens_a, self.b.token))
         self.marked_a = np.array([t[:1] == b" " for t in tokens_a])
         self.marked_b = np.array([p[0] == MARK for p in self.b.pieces])
-        self.length_a, self.length_b = self.size_a.tolist(), self.size_b.tolist()
+        # each id as text with what follows it: a comma, or what ends its side of a group
+        self.text_a = [f"{i}{after}" for i in range(len(self.size_a)) for after in ",|"]
+        self.text_b = [f"{i}{after}" for i in range(len(self.size_b)) for after in (",", ";", "")]
         self.most_segments, self.most_windows = most_segments, most_windows
         self._forget_segments()
         self._forget_windows()
@@ -96,7 +105,7 @@ class Aligner:
     def _learn(self, segments: list[str]) -> None:
         for i in range(0, len(segments), 10_000):
             new = segments[i : i + 10_000]
-            ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+            ids_a = [self.a.encode_ordinary(s) for s in new]
             # B's library puts a blank before each
             ids_b = self.b.library.encode([s.removeprefix(" ") for s in new], num_threads=1)
             for k, s in enumerate(new):
@@ -121,8 +130,10 @@ class Aligner:
         known = self.segments.get
         at = [known(s) for s in every]
         if None in at:
-            self._learn([s for s in dict.fromkeys(s for s, i in zip(every, at, strict=True) if i is None)])
-            at = [self.segments[s] for s in every]
+            new = [k for k, i in enumerate(at) if i is None]
+            self._learn(list(dict.fromkeys([every[k] for k in new])))
+            for k in new:
+                at[k] = self.segments[every[k]]
         at = np.array(at, dtype=np.int64)
         bound = np.concatenate([[0], np.cumsum([len(s) for s in cut])])
         a, size_a = self.ids_a.gather(at)
@@ -143,37 +154,32 @@ class Aligner:
         anchor = np.append(self.marked_a[a[i[:-1]]] & self.marked_b[b[j[:-1]]], True)
         return i[anchor], j[anchor]
 
-    def _align(self, windows: list[tuple[list[int], list[int]]]) -> None:
-        """Remembers alignments: the groups as text, the counts of groups and links, and the linked pairs."""
-        length_a, length_b, width = self.length_a, self.length_b, len(self.length_b)
-        counts, sizes, linked = [], [], []
-        for a, b in windows:
-            parts, group_a, group_b, n = [], [], [], 0
-            i = j = -1
-            end_a = end_b = 0
-            while i + 1 < len(a) or j + 1 < len(b):
-                # the next token of the one that is behind, or of both
-                both = end_a == end_b
-                if both and i >= 0:
-                    parts.append(f"{','.join(group_a)}|{','.join(group_b)}")
-                    group_a, group_b = [], []
-                behind_a = both or end_a < end_b
-                if both or not behind_a:
-                    j += 1
-                    group_b.append(str(b[j]))
-                    end_b += length_b[b[j]]
-                if behind_a:
-                    i += 1
-                    group_a.append(str(a[i]))
-                    end_a += length_a[a[i]]
-                linked.append(a[i] * width + b[j])
-                n += 1
-            parts.append(f"{','.join(group_a)}|{','.join(group_b)}")
-            self.written.append(";".join(parts))
-            counts += [len(parts), n]
-            sizes.append(n)
-        self.counts.add(np.array(counts, dtype=np.int64), np.full(len(windows), 2))
-        self.links.add(np.array(linked, dtype=np.int64), np.array(sizes, dtype=np.int64))
+    def _align(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """Remembers alignments of windows that follow each other, of n_a and n_b tokens each: the groups as text, the
+        counts of groups and links, and the linked pairs.
+        """
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        stop = end_a[np.cumsum(n_a) - 1]  # where windows end
+        # between neighbouring ends of either lies one overlap of a token of A and one of B
+        ends = np.union1d(end_a, end_b)
+        linked = a[np.searchsorted(end_a, ends)] * len(self.size_b) + b[np.searchsorted(end_b, ends)]
+        n_links = np.diff(np.searchsorted(ends, stop, side="right"), prepend=0)
+        shared, i, j = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
+        n_groups = np.diff(np.searchsorted(shared, stop, side="right"), prepend=0)
+        # tokens group by group, those of A first, as text
+        own_a, own_b = np.diff(i + 1, prepend=0), np.diff(j + 1, prepend=0)
+        place_a = np.arange(len(a)) + np.repeat(np.cumsum(own_b) - own_b, own_a)
+        place_b = np.arange(len(b)) + np.repeat(np.cumsum(own_a), own_b)
+        after_a, after_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        after_a[i], after_b[j] = 1, 1
+        after_b[np.cumsum(n_b) - 1] = 2
+        text = np.empty(len(a) + len(b), dtype=object)
+        text[place_a] = [self.text_a[k] for k in (a * 2 + after_a).tolist()]
+        text[place_b] = [self.text_b[k] for k in (b * 3 + after_b).tolist()]
+        text, bounds = text.tolist(), [0, *np.cumsum(n_a + n_b).tolist()]
+        self.written += ["".join(text[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        self.counts.add(np.stack([n_groups, n_links], axis=1).ravel(), np.full(len(n_a), 2))
+        self.links.add(linked, n_links)
 
     def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each window's alignment among those remembered, and how many tokens of A come before its end."""
@@ -192,11 +198,15 @@ class Aligner:
         keys = [raw[x:y] for x, y in zip([0, *stops], stops)]  # noqa: B905  one start more
         known = self.windows.get
         at = [known(k) for k in keys]
-        new = {keys[i]: i for i, x in enumerate(at) if x is None}
-        if new:
-            self._align([(a[end_a[i] - n_a[i] : end_a[i]].tolist(), b[end_b[i] - n_b[i] : end_b[i]].tolist()) for i in new.values()])
+        lacking = [i for i, x in enumerate(at) if x is None]
+        if lacking:
+            new = {keys[i]: i for i in lacking}
+            i = np.fromiter(new.values(), np.int64, len(new))
+            of_a, of_b = (np.repeat(start[i] - np.cumsum(n[i]) + n[i], n[i]) + np.arange(n[i].sum()) for start, n in ((end_a - n_a, n_a), (end_b - n_b, n_b)))
+            self._align(a[of_a], n_a[i], b[of_b], n_b[i])
             self.windows.update(zip(new, range(len(self.windows), len(self.windows) + len(new)), strict=True))
-            at = [self.windows[k] for k in keys]
+            for i in lacking:
+                at[i] = self.windows[keys[i]]
         return np.array(at, dtype=np.int64), end_a
 
     def report(self, texts: list[str]) -> dict[str, list | np.ndarray]:
