@@ -91,7 +91,7 @@ class PieceBpe:
     characters that no piece has are written as bytes.
     """
 
-    def __init__(self, model: bytes, most_remembered: int = 200_000):
+    def __init__(self, model: bytes, most_remembered: int = 500_000):
         import sentencepiece
 
         message = list(_fields(model))
