@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordered import join_on, window_samples, with_ordinal
+from .quantiles import percentile, percentiles
 
 
 def bin_mean(series: DataFrame, clock: list[str], cell: list[str], value: str, width: float, at: str = "t", order: str = "ord") -> DataFrame:
@@ -57,19 +58,23 @@ def time_coverage(epochs: DataFrame, samples: DataFrame, keys: list[str], window
 
 def level_threshold(samples: DataFrame, keys: list[str], level: str, low: float = 0.1, high: float = 0.9) -> DataFrame:
     """Per key, the middle between two percentiles of the whole recording; NULL unless the upper is larger."""
-    q = samples.groupBy(*keys).agg(F.percentile(level, F.array(F.lit(low), F.lit(high))).alias("q"))
+    q = percentiles(samples, keys, level, [low, high])
     return q.select(*keys, F.when(F.col("q")[1] > F.col("q")[0], (F.col("q")[0] + F.col("q")[1]) / 2).alias("threshold"))
 
 
+def _finite(x: Column) -> Column:
+    return F.when(F.abs(x) < float("inf"), x)
+
+
 def quantile_limits(rows: DataFrame, keys: list[str], value: str, low: float = 0.01, high: float = 0.99, accuracy: int | None = None, if_equal: str = "around") -> DataFrame:
-    """Display limits per key: two percentiles, approximate with an accuracy; 0 and 1 for a key without values.
+    """Display limits per key: two percentiles of the finite values, approximate with an accuracy; 0 and 1 for a key without any.
 
     Equal limits are moved apart: `around` by 1 % of their size, 1e-6 at least, either way; `above` by 1 upwards.
     """
     if if_equal not in ("around", "above"):
         raise ValueError("if_equal must be around or above")
-    q = F.array(F.lit(low), F.lit(high))
-    found = rows.groupBy(*keys).agg((F.percentile(value, q) if accuracy is None else F.percentile_approx(value, [low, high], accuracy)).alias("q"))
+    x = _finite(F.col(value))
+    found = percentiles(rows, keys, x, [low, high]) if accuracy is None else rows.groupBy(*keys).agg(F.percentile_approx(x, [low, high], accuracy).alias("q"))
     lo, hi = F.col("q")[0], F.col("q")[1]
     more = F.greatest(F.lit(1e-6), F.abs(lo) * 0.01)
     down, up = (more, more) if if_equal == "around" else (F.lit(0.0), F.lit(1.0))
@@ -78,10 +83,10 @@ def quantile_limits(rows: DataFrame, keys: list[str], value: str, low: float = 0
 
 
 def magnitude_limit(rows: DataFrame, keys: list[str], value: str, share: float = 0.99, accuracy: int | None = None) -> DataFrame:
-    """Per key, the percentile of the absolute values that limits a display around 0; 1 if that is 0 or there are none."""
-    size = F.abs(F.col(value))
-    found = F.percentile(size, share) if accuracy is None else F.percentile_approx(size, share, accuracy)
-    return rows.groupBy(*keys).agg(F.coalesce(F.nullif(found.cast("double"), F.lit(0.0)), F.lit(1.0)).alias("limit"))
+    """Per key, the percentile of the finite absolute values that limits a display around 0; 1 if that is 0 or there are none."""
+    size = _finite(F.abs(F.col(value)))
+    found = percentile(rows, keys, size, share, "limit") if accuracy is None else rows.groupBy(*keys).agg(F.percentile_approx(size, share, accuracy).cast("double").alias("limit"))
+    return found.select(*keys, F.coalesce(F.nullif(F.col("limit"), F.lit(0.0)), F.lit(1.0)).alias("limit"))
 
 
 def histogram(rows: DataFrame, keys: list[str], value: str, edges: list[float]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .ordered import join_on, with_ordinal
+from .ordered import first_rows, join_on, paired, with_ordinal
+from .quantiles import percentiles
 
 
 def clock_origin(starts: DataFrame, keys: list[str], at: str = "t", order: str = "ord") -> DataFrame:
@@ -29,10 +30,11 @@ def startup_pulses(starts: DataFrame, ends: DataFrame, keys: list[str], at: str
     """Per session, whether its first start/end pair is a startup artifact: shorter than `longest`, and unless
     continuous also shorter than `share` of the median of the later pairs, of which there must be one.
     """
-    s = with_ordinal(starts.select(*keys, order, F.col(at).alias("__start")), keys, order, "pair").drop(order)
-    e = with_ordinal(ends.select(*keys, order, F.col(at).alias("__end")), keys, order, "pair").drop(order)
-    pairs = join_on(s, e, [*keys, "pair"]).withColumn("__d", F.col("__end") - F.col("__start"))
-    found = pairs.groupBy(*keys).agg(F.count("*").alias("n_pairs"), F.max(F.when(F.col("pair") == 0, F.col("__d"))).alias("first_duration"), F.median(F.when(F.col("pair") > 0, F.col("__d"))).alias("later_median"))
+    both = paired(starts.select(*keys, order, at), ends.select(*keys, order, at), keys, order).filter("l is not null and r is not null")
+    pairs = both.select(*keys, "pair", (F.col("r")[at] - F.col("l")[at]).alias("__d"))
+    counts = [F.count("*").alias("n_pairs"), F.max(F.when(F.col("pair") == 0, F.col("__d"))).alias("first_duration")]
+    found = percentiles(pairs, keys, F.when(F.col("pair") > 0, F.col("__d")), [0.5], more=counts)
+    found = found.select(*keys, "n_pairs", "first_duration", F.col("q")[0].alias("later_median"))
     short = (F.col("first_duration") > 0) & (F.col("first_duration") < longest)
     if not continuous:
         short = short & (F.col("n_pairs") >= 2) & (F.col("first_duration") < share * F.col("later_median"))
@@ -41,14 +43,15 @@ def startup_pulses(starts: DataFrame, ends: DataFrame, keys: list[str], at: str
 
 def trim_startup_pulse(starts: DataFrame, ends: DataFrame, stimulus: DataFrame, keys: list[str], at: str = "t", order: str = "ord", **options) -> tuple[DataFrame, DataFrame, DataFrame]:
     """starts, ends and stimulus pulses without a startup pair and the stimulus pulses before the next start."""
-    drop = startup_pulses(starts, ends, keys, at, order, **options).filter("drop_first").select(*keys, F.lit(True).alias("__drop"))
-    kept = []
-    for df in (starts, ends):
-        marked = join_on(with_ordinal(df, keys, order, "__n"), drop, keys, "left")
-        kept.append(marked.filter("not (__n = 0 and coalesce(__drop, false))").drop("__n", "__drop"))
-    bound = join_on(kept[0].groupBy(*keys).agg(F.min_by(at, order).alias("__from")), drop, keys)
-    stim = join_on(stimulus, bound.drop("__drop"), keys, "left").filter(F.col("__from").isNull() | (F.col(at) >= F.col("__from"))).drop("__from")
-    return kept[0], kept[1], stim
+    drop = startup_pulses(starts, ends, keys, at, order, **options).filter("drop_first").select(*keys)
+    # what goes is told by the first rows in order, without numbering all rows
+    s = first_rows(starts, keys, order, [at], 2).select(*keys, F.get("rows", F.lit(0))[order].alias("__start"), F.get("rows", F.lit(1))[at].alias("__from"))
+    e = ends.groupBy(*keys).agg(F.min(order).alias("__end"))
+    cut = join_on(join_on(drop, s, keys), e, keys, "left")
+    marked = lambda df, c: join_on(df, cut.select(*keys, c), keys, "left")
+    kept = [marked(df, c).filter(F.col(c).isNull() | (F.col(order) != F.col(c))).drop(c) for df, c in ((starts, "__start"), (ends, "__end"))]
+    stim = marked(stimulus, "__from").filter(F.col("__from").isNull() | (F.col(at) >= F.col("__from"))).drop("__from")
+    return *kept, stim
 
 
 def trim_unterminated_trial(starts: DataFrame, ends: DataFrame, clock: DataFrame, keys: list[str], at: str = "t", order: str = "ord") -> tuple[DataFrame, DataFrame]:
@@ -134,12 +137,12 @@ def consensus(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def sampling_rate(rows: DataFrame, names: list[str], most: float = float("inf")) -> DataFrame:
-    """rows with hz, the rate that the named columns give, up to `most`, and valid: there is one, all agree, and it is positive.
+    """rows with hz, the rate that the named columns give, up to `most`, and valid: there is one, all agree, and it is positive and finite.
 
     Nothing is assumed for a missing rate.
     """
     given = F.array_distinct(F.array_compact(F.array(*names)))
-    return rows.withColumn("hz", F.when(F.size(given) > 0, F.least(F.lit(most), F.coalesce(*names)))).withColumn("valid", (F.size(given) == 1) & F.coalesce(given.getItem(0) > 0, F.lit(False)))
+    return rows.withColumn("hz", F.when(F.size(given) > 0, F.least(F.lit(most), F.coalesce(*names)))).withColumn("valid", (F.size(given) == 1) & F.coalesce((F.get(given, 0) > 0) & (F.get(given, 0) < float("inf")), F.lit(False)))
 
 
 def attach_contrast(rows: DataFrame, keys: list[str], contrast: str = "contrast", blank: str = "is_blank") -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .ordered import WIDTH, join_on, with_next, with_ordinal, with_previous, with_running_sum
+from .ordered import WIDTH, join_on, with_carries, with_next, with_ordinal, with_previous, with_running_sum
+from .quantiles import median
 
 
 def rising_edges(samples: DataFrame, keys: list[str], state: str = "state", at: str = "t", order: str = "ord", width: float = WIDTH) -> DataFrame:
     """keys, order, t, period: 0 to 1 changes at the later sample, and one at the first sample if it is high."""
-    seen = with_previous(samples.select(*keys, order, at, state), keys, order, [state], width)
+    seen = with_carries(samples.select(*keys, order, at, state), keys, order, previous=[state], width=width)
     edges = seen.filter(F.col(state) & (~F.col("has_prev") | ~F.col(f"prev_{state}"))).select(*keys, order, at, (~F.col("has_prev")).alias("initial"))
     before = with_previous(edges, keys, order, [at], width)
     return before.select(*keys, order, at, "initial", (F.col(at) - F.col(f"prev_{at}")).alias("period"))
@@ -30,7 +31,7 @@ def onset_flags(edges: DataFrame, onset: DataFrame, keys: list[str], at: str = "
 def split_by_gaps(edges: DataFrame, keys: list[str], at: str = "t", order: str = "ord", factor: float = 5.0, width: float = WIDTH) -> DataFrame:
     """edges with `group`, from 0: a gap of over `factor` medians of all gaps begins a new one."""
     seen = with_previous(edges, keys, order, [at], width).withColumn("gap", F.col(at) - F.col(f"prev_{at}")).drop(f"prev_{at}", "has_prev")
-    limit = seen.groupBy(*keys).agg((F.median("gap") * factor).alias("__limit"))
+    limit = median(seen, keys, "gap", "__limit").withColumn("__limit", F.col("__limit") * factor)
     marked = join_on(seen, limit, keys)
     begins = F.when(F.col("gap") > F.col("__limit"), 1).otherwise(0)
     return with_running_sum(marked, keys, order, begins, "group", width).drop("__limit")

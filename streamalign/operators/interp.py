@@ -2,29 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .ordered import WIDTH, as_of, between, bracket, join_on, with_next, with_ordinal, with_previous
+from .ordered import as_of, between, bracket, first_rows, join_on, paired, with_next, with_previous
+from .quantiles import median
 
 
-def assign_trial(events: DataFrame, starts: DataFrame, ends: DataFrame, keys: list[str], at: str = "t", order: str = "ord", width: float = WIDTH) -> DataFrame:
+def assign_trial(events: DataFrame, starts: DataFrame, ends: DataFrame, keys: list[str], at: str = "t", order: str = "ord", width: float | None = None) -> DataFrame:
     """events with `trial`: the last trial that starts at or before; -1 after its end, NULL before the first start.
 
     The n-th start and the n-th end belong together; an end's own time is still inside, a trial without one is open.
     """
-    s = with_ordinal(starts.select(*keys, order, F.col(at).alias("__start")), keys, order, "trial").drop(order)
-    e = with_ordinal(ends.select(*keys, order, F.col(at).alias("__end")), keys, order, "trial").drop(order)
-    trials = join_on(s, e, [*keys, "trial"], "left")
-    placed = as_of(events, trials.select(*keys, F.col("__start").alias(at), "trial"), keys, at, "trial", width)
-    found = join_on(placed.withColumn("trial", F.col("as_of").cast("long")), trials.drop("__start"), [*keys, "trial"], "left")
+    both = paired(starts.select(*keys, order, at), ends.select(*keys, order, at), keys, order).filter("l is not null")
+    trials = both.select(*keys, F.col("pair").alias("trial"), F.col("l")[at].alias(at), F.col("r")[at].alias("__end"))
+    placed = as_of(events, trials, keys, at, "trial", width).withColumn("trial", F.col("as_of").cast("long"))
+    found = join_on(placed, trials.select(*keys, "trial", "__end"), [*keys, "trial"], "left")
     return found.withColumn("trial", F.when(F.col(at) > F.col("__end"), F.lit(-1)).otherwise(F.col("trial"))).drop("as_of", "__end")
 
 
 def pair_by_order(left: DataFrame, right: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
     """The n-th rows of both, side by side (columns l_*, r_*), with `pair`; rows without a partner have NULLs."""
-    side = lambda df, p: with_ordinal(df, keys, order, "pair").select(*keys, "pair", *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c not in keys])
-    return side(left, "l").join(side(right, "r"), [*keys, "pair"], "full")
+    names = lambda df, side: [F.col(side)[c].alias(f"{side}_{c}") for c in df.columns if c not in keys]
+    return paired(left, right, keys, order).select(*keys, "pair", *names(left, "l"), *names(right, "r"))
 
 
 def pairing_report(pairs: DataFrame, keys: list[str], at: str = "t", state: str = "state") -> DataFrame:
@@ -38,13 +37,13 @@ def pairing_report(pairs: DataFrame, keys: list[str], at: str = "t", state: str
 
 def drop_terminal_blip(left: DataFrame, right: DataFrame, keys: list[str], order: str = "ord", frame: str = "frame", state: str = "state") -> DataFrame:
     """left without its last two edges where it has exactly two more than right and they are high, then low one frame on."""
-    tail = left.withColumn("__d", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc())))
-    last = tail.filter("__d <= 2").groupBy(*keys).agg(F.max(F.when(F.col("__d") == 1, F.struct(frame, state))).alias("a"), F.max(F.when(F.col("__d") == 2, F.struct(frame, state))).alias("b"))
+    last = first_rows(left, keys, order, [frame, state], 2, last=True)
     counts = join_on(left.groupBy(*keys).agg(F.count("*").alias("nl")), right.groupBy(*keys).agg(F.count("*").alias("nr")), keys, "left")
     both = join_on(last, counts, keys)
-    blip = (F.col("nl") == F.coalesce("nr", F.lit(0)) + 2) & ~F.col("a")[state] & F.col("b")[state] & (F.col("a")[frame] - F.col("b")[frame] == 1)
-    cut = both.select(*keys, F.coalesce(blip, F.lit(False)).alias("__blip"))
-    return join_on(tail, cut, keys).filter("not (__blip and __d <= 2)").drop("__d", "__blip")
+    a, b = F.get("rows", F.size("rows") - 1), F.get("rows", F.size("rows") - 2)  # the last edge and the one before
+    blip = (F.col("nl") == F.coalesce("nr", F.lit(0)) + 2) & ~a[state] & b[state] & (a[frame] - b[frame] == 1)
+    cut = both.select(*keys, F.when(F.coalesce(blip, F.lit(False)), b[order]).alias("__from"))
+    return join_on(left, cut, keys).filter(F.col("__from").isNull() | (F.col(order) < F.col("__from"))).drop("__from")
 
 
 def uniform_knots(samples: DataFrame, knots: DataFrame, keys: list[str], lines_per_cycle: float, line: str = "line", limit: str | None = None) -> DataFrame:
@@ -81,26 +80,29 @@ def trial_knots(samples: DataFrame, knots: DataFrame, keys: list[str], line: str
     return joined.withColumn("mapped_t", mapped).drop("k", "__at", "__last", "__step", "knot_t", "spacing", "next_knot_t", "has_next")
 
 
-def interpolate(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, width: float = WIDTH) -> DataFrame:
+def interpolate(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, width: float | None = None) -> DataFrame:
     """queries with `value_at`, linear between the anchors around; NULL outside them."""
     return bracket(queries, anchors, keys, at, value, width).withColumn("value_at", between(F.col(at))).drop("lo", "hi")
 
 
 def end_lines(anchors: DataFrame, keys: list[str], at: str, value: str, n: int = 20) -> DataFrame:
     """Per key, the end points and the slopes of least-squares lines through the first and the last n anchors."""
-    w = Window.partitionBy(*keys)
-    ranked = anchors.withColumns({"__a": F.row_number().over(w.orderBy(at)), "__z": F.row_number().over(w.orderBy(F.col(at).desc()))})
-    near = ranked.filter((F.col("__a") <= n) | (F.col("__z") <= n))
-    part = lambda r, c: F.when(F.col(r) <= n, F.col(c).cast("double"))
-    return near.groupBy(*keys).agg(
-        F.min_by(F.struct(F.col(at).cast("double").alias("x"), F.col(value).alias("y")), at).alias("first"),
-        F.max_by(F.struct(F.col(at).cast("double").alias("x"), F.col(value).alias("y")), at).alias("last"),
-        F.regr_slope(part("__a", value), part("__a", at)).alias("first_slope"),
-        F.regr_slope(part("__z", value), part("__z", at)).alias("last_slope"),
-    )
-
-
-def map_boundaries(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, most: float = 20.0, n: int = 20, width: float = WIDTH) -> DataFrame:
+    ends = join_on(*[first_rows(anchors.filter(F.col(at).isNotNull()), keys, at, [value], n, last).withColumnRenamed("rows", name) for last, name in ((False, "a"), (True, "z"))], keys)
+    point = lambda r: F.struct(r[at].cast("double").alias("x"), r[value].alias("y"))
+    return ends.select(*keys, point(F.get("a", F.lit(0))).alias("first"), point(F.get("z", F.size("z") - 1)).alias("last"), _slope("a", at, value).alias("first_slope"), _slope("z", at, value).alias("last_slope"))
+
+
+def _slope(rows: str, x: str, y: str) -> Column:
+    """The slope of the least-squares line through the rows of an array that have a value; NULL if it has none."""
+    both = F.filter(rows, lambda r: r[y].isNotNull())
+    total = lambda of: F.aggregate(both, F.lit(0.0), lambda a, r: a + of(r))
+    n = F.size(both)
+    mean_x, mean_y = F.try_divide(total(lambda r: r[x].cast("double")), n), F.try_divide(total(lambda r: r[y].cast("double")), n)
+    dx = lambda r: r[x].cast("double") - mean_x
+    return F.try_divide(total(lambda r: dx(r) * (r[y].cast("double") - mean_y)), F.nullif(total(lambda r: dx(r) * dx(r)), F.lit(0.0)))
+
+
+def map_boundaries(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, most: float = 20.0, n: int = 20, width: float | None = None) -> DataFrame:
     """queries with value_at, and outside the anchors the end point plus the end's slope, up to `most` away.
 
     extrapolated and beyond (the distance) tell which; further away, or with a slope that isn't positive, it is NULL.
@@ -115,7 +117,7 @@ def map_boundaries(queries: DataFrame, anchors: DataFrame, keys: list[str], at:
     return out.withColumn("value_at", F.when(F.col("extrapolated"), outside).otherwise(F.col("value_at"))).drop("first", "last", "first_slope", "last_slope")
 
 
-def map_with_status(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, max_gap: float, end_limit: float = 20.0, n: int = 20, width: float = WIDTH) -> DataFrame:
+def map_with_status(queries: DataFrame, anchors: DataFrame, keys: list[str], at: str, value: str, max_gap: float, end_limit: float = 20.0, n: int = 20, width: float | None = None) -> DataFrame:
     """queries with value_at and status: 0 on an anchor, 1 inside a gap of up to max_gap, 2 beyond an end by up to
     end_limit, else 3 and no value.
     """
@@ -128,7 +130,7 @@ def map_with_status(queries: DataFrame, anchors: DataFrame, keys: list[str], at:
     return out.withColumn("value_at", F.when(F.col("status") < 3, F.col("value_at"))).drop("__exact", "__gap", "extrapolated", "beyond")
 
 
-def interpolate_supported(queries: DataFrame, series: DataFrame, keys: list[str], at: str, value: str, max_gap: float | str, width: float = WIDTH) -> DataFrame:
+def interpolate_supported(queries: DataFrame, series: DataFrame, keys: list[str], at: str, value: str, max_gap: float | str, width: float | None = None) -> DataFrame:
     """queries with value_at: an exact sample's value, or between two samples that both have values, at most max_gap apart.
 
     max_gap is a number, or the name of a column of queries that has it.
@@ -144,10 +146,10 @@ def interpolate_supported(queries: DataFrame, series: DataFrame, keys: list[str]
 def default_gap(anchors: DataFrame, keys: list[str], at: str) -> DataFrame:
     """Per key, 3 times the median step between neighbouring anchors."""
     seen = with_previous(anchors.select(*keys, at), keys, at, [at])
-    return seen.groupBy(*keys).agg((3 * F.median(F.col(at) - F.col(f"prev_{at}"))).alias("max_gap"))
+    return median(seen, keys, F.col(at) - F.col(f"prev_{at}"), "max_gap").withColumn("max_gap", 3 * F.col("max_gap"))
 
 
-def align_trace(grid: DataFrame, series: DataFrame, keys: list[str], at: str, value: str, hz: float, width: float = WIDTH) -> DataFrame:
+def align_trace(grid: DataFrame, series: DataFrame, keys: list[str], at: str, value: str, hz: float, width: float | None = None) -> DataFrame:
     """grid with value_at, resampled from the series of its keys without crossing missing values or long gaps.
 
     A gap is too long over 3 times the larger of the expected period, 1/hz, and the median step between the key's

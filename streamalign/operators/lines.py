@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .ordered import join_on, with_next, with_ordinal, with_previous
+from .ordered import join_on, with_carries, with_next, with_ordinal, with_previous
+from .quantiles import percentile
 
 
 def expected_cycles(samples: DataFrame, trial: list[str], lines_per_cycle: float, line: str = "line") -> DataFrame:
@@ -21,11 +22,12 @@ def effective_lines(samples: DataFrame, cycles: DataFrame, trial: list[str], lin
 
 def cycle_bounds(starts: DataFrame, trial: list[str], at: str = "t", order: str = "ord") -> DataFrame:
     """Cycles numbered from 1 with start and end; the last ends a mean period after its start (at once if it is alone)."""
-    ranked = with_ordinal(starts.select(*trial, order, at), trial, order, "__n")
+    # the number, and the next start, in one step
+    ranked = with_carries(starts.select(*trial, order, at), trial, order, following=[at], sums={"__n": F.lit(1)}).withColumn("__n", F.col("__n").cast("long"))
     per = ranked.groupBy(*trial).agg(F.count("*").alias("n_cycles"), F.min(at).alias("__a"), F.max(at).alias("__z"))
     period = F.coalesce(F.try_divide(F.col("__z") - F.col("__a"), F.col("n_cycles") - 1), F.lit(0.0))
-    ahead = join_on(with_next(ranked, trial, "__n", [at]), per, trial)
-    return ahead.select(*trial, (F.col("__n") + 1).alias("cycle"), F.col(at).alias("start"), F.coalesce(f"next_{at}", F.col(at) + period).alias("end"), "n_cycles")
+    ahead = join_on(ranked, per, trial)
+    return ahead.select(*trial, F.col("__n").alias("cycle"), F.col(at).alias("start"), F.coalesce(f"next_{at}", F.col(at) + period).alias("end"), "n_cycles")
 
 
 def primary_timestamps(samples: DataFrame, bounds: DataFrame, trial: list[str], line: str = "line", order: str = "ord") -> DataFrame:
@@ -87,7 +89,7 @@ def rebase_counters(samples: DataFrame, plane: list[str], trial: str, line: str
     """
     seen = with_previous(samples.filter(F.col(line).isNotNull()), [*plane, trial], order, [line])
     step = F.col(line) - F.col(f"prev_{line}")
-    p99 = seen.groupBy(*plane).agg(F.percentile(F.when(step > 0, step), 0.99).alias("__p99"))
+    p99 = percentile(seen, plane, F.when(step > 0, step), 0.99, "__p99")
     per = seen.groupBy(*plane, trial).agg(F.min_by(line, order).alias("first"), F.max_by(line, order).alias("last"), F.count_if(step < 0).alias("falls"))
     before = join_on(with_previous(per, plane, trial, ["last"]), p99, plane)
     jump = F.col("first") - F.col("prev_last")
@@ -105,7 +107,7 @@ def infer_continuous(pulses: DataFrame, chunks: DataFrame, samples: DataFrame, k
     files = chunks.groupBy(*keys).agg((F.count_distinct("prefix") == 1).alias("a"), (F.count_if((F.col("trial") != 1) | F.col("offset").isNull()) == 0).alias("b"))
     seen = with_previous(samples, [*keys, "plane", "trial"], "ord", ["line"])
     step = F.col("line") - F.col("prev_line")
-    p99 = seen.groupBy(*keys, "plane").agg(F.percentile(F.when(step > 0, step), 0.99).alias("p99"))
+    p99 = percentile(seen, [*keys, "plane"], F.when(step > 0, step), 0.99, "p99")
     per = seen.groupBy(*keys, "plane", "trial").agg(F.min_by("line", "ord").alias("first"), F.max_by("line", "ord").alias("last"))
     gaps = join_on(with_previous(per, [*keys, "plane"], "trial", ["last"]), p99, [*keys, "plane"]).withColumn("gap", F.col("first") - F.col("prev_last"))
     planes = gaps.groupBy(*keys, "plane").agg((F.count("*") > 1).alias("c"), (F.count_if(F.col("has_prev") & ~((F.col("gap") > 0) & (F.col("gap") <= factor * F.col("p99")))) == 0).alias("d"))

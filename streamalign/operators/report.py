@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .ordered import join_on
+from .quantiles import percentiles
 
 
 def secant_residuals(pairs: DataFrame, keys: list[str], x: str, y: str, order: str) -> DataFrame:
@@ -13,7 +14,9 @@ def secant_residuals(pairs: DataFrame, keys: list[str], x: str, y: str, order: s
     rate = F.try_divide(F.col("b")[y] - F.col("a")[y], F.col("b")[x] - F.col("a")[x])
     both = join_on(pairs, ends.withColumn("rate", rate), keys)
     off = F.abs(F.col(y) - (F.col("a")[y] + F.col("rate") * (F.col(x) - F.col("a")[x]))) * 1000
-    return both.withColumn("__off", off).groupBy(*keys).agg(F.max("rate").alias("rate"), F.median("__off").alias("median_ms"), F.percentile("__off", 0.95).alias("p95_ms"), F.max("__off").alias("max_ms"))
+    largest = [F.max("rate").alias("rate"), F.max("__off").alias("max_ms")]
+    found = percentiles(both.withColumn("__off", off), keys, "__off", [0.5, 0.95], more=largest)
+    return found.select(*keys, "rate", F.col("q")[0].alias("median_ms"), F.col("q")[1].alias("p95_ms"), "max_ms")
 
 
 def affine_residuals(anchors: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:

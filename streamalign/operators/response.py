@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .ordered import join_on, window_samples, with_next
+from .ordered import join_on, small, window_samples, with_carries, with_next, with_ordinal
 
 
 def _shifted(windows: DataFrame, lo: float, hi: float) -> DataFrame:
@@ -24,7 +26,7 @@ def receptive_field(stimuli: DataFrame, traces: DataFrame, keys: list[str], cell
     means = pairs.groupBy("ord_w", *position, *cell).agg(F.coalesce(F.avg(value), F.lit(0.0)).alias("m"))
     sums = means.groupBy(*cell, *position).agg(F.sum("m").alias("total"), F.count("*").alias("n"))
     grid = stimuli.select(*position).distinct()
-    full = traces.select(*cell).distinct().join(grid)
+    full = traces.select(*cell).distinct().join(small(grid))
     map_ = join_on(full, sums, [*cell, *position], "left").withColumns({"n": F.coalesce("n", F.lit(0)), "raw": F.coalesce(F.col("total") / F.col("n"), F.lit(0.0))})
     w = Window.partitionBy(*cell)
     low, high = F.min("raw").over(w), F.max("raw").over(w)
@@ -61,12 +63,12 @@ def tuning_responses(stimuli: DataFrame, traces: DataFrame, keys: list[str], cel
     return both.filter("n_r > 0 and n_b > 0").select("ord_w", *cell, (F.col("r") - F.col("b")).alias("response"))
 
 
-def peri_event_tuning(stimuli: DataFrame, traces: DataFrame, keys: list[str], cell: list[str], group: list[str], bucket: float, peri: tuple[float, float] = (-0.5, 1.5), width: float = 0.05, base: tuple[float, float] = (-0.3, 0.0), value: str = "dff") -> DataFrame:
+def peri_event_tuning(stimuli: DataFrame, traces: DataFrame, keys: list[str], cell: list[str], group: list[str], bucket: float, peri: tuple[float, float] = (-0.5, 1.5), width: float = 0.05, base: tuple[float, float] = (-0.3, 0.0), value: str = "dff", every_bin: bool = False) -> DataFrame:
     """Per group of presentations (a block, a direction), bin around the onset and cell, the mean of the presentations' responses.
 
     A response is the median of a bin less that of the presentation's baseline window; those without values don't
-    count in the mean or in n. Bins in which no presentation of the group has a sample are absent. One range join
-    serves the baseline and all bins, and only medians leave it.
+    count in the mean or in n. Bins in which no presentation of the group has a sample are absent, or, with every_bin, NULL
+    with n = 0 for each cell of the group's keys. One range join serves the baseline and all bins, and only medians leave it.
     """
     pairs = window_samples(_shifted(stimuli, min(peri[0], base[0]), max(peri[1], base[1])), traces, keys, "start", "stop", "t", bucket)
     rel = F.col("t") - F.col("onset")
@@ -77,7 +79,14 @@ def peri_event_tuning(stimuli: DataFrame, traces: DataFrame, keys: list[str], ce
     medians = placed.groupBy("ord_w", *group, *cell, "bin").agg(F.median(value).alias("m"))
     baseline = F.max(F.when(F.col("bin") == -1, F.col("m"))).over(Window.partitionBy("ord_w", *group, *cell))
     answered = medians.withColumn("response", F.col("m") - baseline).filter("bin >= 0")
-    return answered.groupBy(*group, *cell, "bin").agg(F.avg("response").alias("mean"), F.count("response").alias("n")).withColumn("rel_t", peri[0] + F.col("bin") * width)
+    found = answered.groupBy(*group, *cell, "bin").agg(F.avg("response").alias("mean"), F.count("response").alias("n"))
+    if every_bin:
+        n_bins = math.ceil(round((peri[1] - peri[0]) / width, 9))
+        shown = stimuli.select(*dict.fromkeys([*keys, *group])).distinct()
+        axis = join_on(shown, traces.select(*dict.fromkeys([*keys, *cell])).distinct(), keys).select(*group, *cell).distinct()
+        axis = axis.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))))
+        found = join_on(axis, found, [*group, *cell, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return found.withColumn("rel_t", peri[0] + F.col("bin") * width)
 
 
 def tuning_curve(stimuli: DataFrame, responses: DataFrame, cells: DataFrame, cell: list[str], condition: list[str]) -> DataFrame:
@@ -85,7 +94,7 @@ def tuning_curve(stimuli: DataFrame, responses: DataFrame, cells: DataFrame, cel
     shown = stimuli.groupBy(*condition).agg(F.count("*").alias("n"))
     answered = join_on(responses, stimuli.select("ord_w", *condition), ["ord_w"])
     stats = answered.groupBy(*condition, *cell).agg(F.avg("response").alias("mean"), F.stddev("response").alias("sd"), F.count("response").alias("n_finite"))
-    full = shown.join(cells.select(*cell).distinct())
+    full = cells.select(*cell).distinct().join(small(shown))
     out = join_on(full, stats, [*condition, *cell], "left")
     return out.select(*condition, *cell, "n", F.coalesce("n_finite", F.lit(0)).alias("n_finite"), "mean", (F.col("sd") / F.sqrt("n")).alias("sem"))
 
@@ -118,15 +127,18 @@ def pairwise_correlation(pairs: DataFrame, keys: list[str], a: str, b: str, leas
 def epochs(intervals: DataFrame, name: str = "name") -> DataFrame:
     """Neighbouring intervals of one name joined: first start, last stop and count, in order of time.
 
-    Order is by start, stop and name over all intervals, which are stimulus presentations of one session: few rows.
+    Order is by start, stop and name within a session, which is cut at quantiles of the starts: an island's number is a
+    running sum over stretches, and what a stretch has of it is merged by number.
     """
-    w = Window.partitionBy("session").orderBy("start", "stop", name)
-    marked = intervals.withColumn("__new", F.when(F.lag(name).over(w) == F.col(name), 0).otherwise(1))
-    grouped = marked.withColumn("epoch", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    order = ["start", "stop", name]
+    marked = with_carries(intervals, ["session"], order, previous=[name], width=None)
+    begins = F.when(F.col(f"prev_{name}") == F.col(name), 0).otherwise(1)
+    grouped = with_carries(marked, ["session"], order, sums={"epoch": begins}, width=None)
     out = grouped.groupBy("session", "epoch", name).agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n"))
-    same = Window.partitionBy("session", name)
-    number = F.row_number().over(same.orderBy("epoch"))
-    return out.withColumn("label", F.when(F.count("*").over(same) > 1, F.concat(F.col(name), F.lit(" "), number.cast("string"))).otherwise(F.col(name)))
+    numbered = with_ordinal(out, ["session", name], "epoch", "__number")
+    same = out.groupBy("session", name).agg(F.count("*").alias("__same"))
+    label = F.when(F.col("__same") > 1, F.concat(F.col(name), F.lit(" "), (F.col("__number") + 1).cast("string"))).otherwise(F.col(name))
+    return join_on(numbered, same, ["session", name]).withColumn("label", label).drop("__number", "__same")
 
 
 def upsample(rows: DataFrame, keys: list[str], value: str, factor: int, order: str = "bin") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import wrapped_difference
 from .ordered import WIDTH, join_on, with_next, with_previous, with_running_sum
+from .quantiles import percentile
 
 
 def unwrap_counter(samples: DataFrame, keys: list[str], counter: str, order: str = "ord", bits: int = 16, width: float = WIDTH) -> DataFrame:
@@ -81,7 +82,7 @@ def median_period(samples: DataFrame, keys: list[str], within: list[str], at: st
     """Per key, the median (or another percentile) of the positive steps between neighbours of one `within` group (a trial)."""
     seen = with_previous(samples.select(*dict.fromkeys([*keys, *within, order, at])), [*keys, *within], order, [at], width)
     step = F.col(at) - F.col(f"prev_{at}")
-    return seen.groupBy(*keys).agg(F.percentile(F.when(step > 0, step), share).alias("period"))
+    return percentile(seen, keys, F.when(step > 0, step), share, "period")
 
 
 def baseline(trace: DataFrame, keys: list[str], value: str, smooth: int, span: int, order: str = "ord") -> DataFrame:

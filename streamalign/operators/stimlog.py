@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordered import join_on, small, with_next, with_ordinal, with_previous, with_running_sum
+from .quantiles import median
 
 
 def parse_log(log: DataFrame, value: str = "value") -> DataFrame:
@@ -67,7 +68,7 @@ def stop_frames(runs: DataFrame, frames: DataFrame, ends: DataFrame, keys: list[
     """
     steps = with_previous(frames.select(*keys, "ord", frame), keys, "ord", [frame])
     step = F.col(frame) - F.col(f"prev_{frame}")
-    cadence = steps.groupBy(*keys).agg(F.median(F.when(step > 0, step)).alias("__cadence"))
+    cadence = median(steps, keys, F.when(step > 0, step), "__cadence")
     ahead = join_on(join_on(with_next(runs, keys, "run", ["first_frame"]), cadence, keys, "left"), ends, keys, "left")
     tail = F.least(F.col("last_frame") + F.coalesce(F.col("__cadence"), F.lit(0.0)), F.col("session_last").cast("double"))
     source = F.when(F.col("has_next"), "next_run").when(F.col("end_frame").isNotNull(), "session_end").otherwise("cadence")

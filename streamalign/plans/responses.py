@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from ..operators import bins, interp, report, response, stimlog
-from ..operators.ordered import window_samples
+from ..operators.ordered import small, window_samples
 from . import views as V
 from .views import K, with_views
 
@@ -100,7 +100,7 @@ def a7_peri_event_z(spark: SparkSession, sf: str) -> DataFrame:
 SELECT ord_w, plane, roi, bin, round(md, 8) AS median, round((md - avg(md) FILTER (bin < 0) OVER w) / nullif(stddev_pop(md) FILTER (bin < 0) OVER w, 0) + 3e-10, 6) AS z FROM p WINDOW w AS (PARTITION BY ord_w, plane, roi)""")
 def a7_peri_event_z_planes(spark: SparkSession, sf: str) -> DataFrame:
     s, t = V.stimuli(spark, sf).withColumnRenamed("ord", "ord_w"), V.traces(spark, sf)
-    z = response.peri_event_z(s.crossJoin(t.select("plane").distinct()), t, ["plane"], ["plane", "roi"], HOUR, 7200.0, 7200.0, 1800.0)
+    z = response.peri_event_z(s.join(small(t.select("plane").distinct())), t, ["plane"], ["plane", "roi"], HOUR, 7200.0, 7200.0, 1800.0)
     return z.select("ord_w", "plane", "roi", "bin", r("median", 8).alias("median"), r(F.col("z") + 3e-10).alias("z"))
 
 
@@ -263,7 +263,7 @@ SELECT plane, w, i, round(CASE WHEN lt = gt THEN ly WHEN ht - lt <= 7200 THEN ly
 def g3_align_trace_planes(spark: SparkSession, sf: str) -> DataFrame:
     a = V.traces(spark, sf).select("plane", "t", "dff")
     q = V.stimuli(spark, sf).select(F.col("ord").alias("w"), "start", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("i"))
-    q = q.withColumn("t", F.col("start") + F.col("i") * 900).drop("start").crossJoin(a.select("plane").distinct())
+    q = q.withColumn("t", F.col("start") + F.col("i") * 900).drop("start").join(small(a.select("plane").distinct()))
     return interp.interpolate_supported(q, a, ["plane"], "t", "dff", 7200.0, 86400.0).select("plane", "w", "i", r("value_at").alias("value_at"))
 
 
