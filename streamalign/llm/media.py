@@ -135,50 +135,85 @@ def write_avi(frames: list[bytes], width: int, height: int, rate: int, note: byt
     return _chunk(b"RIFF", b"AVI " + lists + _chunk(b"LIST", b"movi" + b"".join(movie)) + _chunk(b"idx1", b"".join(index)))
 
 
+def _chunks(data: bytes, lo: int, hi: int) -> Iterator[tuple[bytes, int, int]]:
+    """Name, first and last byte of each chunk between lo and hi."""
+    while lo + 8 <= hi:
+        name, size = data[lo : lo + 4], int.from_bytes(data[lo + 4 : lo + 8], "little")
+        if lo + 8 + size > hi:
+            raise ValueError("a chunk goes beyond the file or its list")
+        yield name, lo + 8, lo + 8 + size
+        lo += 8 + size + (size & 1)
+
+
+def _movie_frames(data: bytes, lo: int, hi: int, names: tuple[bytes, ...]) -> Iterator[bytes]:
+    """The chunks of these names in a movie list, in order, those of its record lists included."""
+    for name, a, b in _chunks(data, lo, hi):
+        if name in names:
+            yield data[a:b]
+        elif name == b"LIST" and data[a : a + 4] == b"rec ":
+            yield from _movie_frames(data, a + 4, b, names)
+
+
+def _indexed_frames(data: bytes, movie: int, index: tuple[int, int], names: tuple[bytes, ...]) -> list[bytes]:
+    entries = [x for x in struct.iter_unpack("<4sIII", data[index[0] : index[0] + (index[1] - index[0]) // 16 * 16]) if x[0] in names]
+    # offsets count from the movie list or, in some files, from the file's start
+    base = movie if not entries or data[movie + entries[0][2] :][:4] in names else 0
+    frames = []
+    for name, _, at, size in entries:
+        if data[base + at : base + at + 4] != name or base + at + 8 + size > len(data):
+            raise ValueError("the index doesn't lead to a frame")
+        frames.append(data[base + at + 8 : base + at + 8 + size])
+    return frames
+
+
 def read_avi(data: bytes) -> tuple[list[bytes], float, bytes]:
-    """The frames that the index lists, frames a second, and the `strd` note; without an index, all `00dc` chunks."""
+    """All frames of a file's video stream, frames a second, and the `strd` note.
+
+    The stream may have any number, its chunks be compressed (dc) or not (db). The index tells the frames of the first RIFF
+    list; without one, and in the lists of large files that follow (AVIX), they are the stream's chunks in order. A file with
+    several video streams, or that ends within a chunk, is an error.
+    """
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
-    rate, note, movie, index = 0.0, b"", None, None
-
-    def walk(lo: int, hi: int) -> Iterator[tuple[bytes, int, int]]:
-        while lo + 8 <= hi:
-            name, size = data[lo : lo + 4], int.from_bytes(data[lo + 4 : lo + 8], "little")
-            yield name, lo + 8, min(hi, lo + 8 + size)
-            lo += 8 + size + (size & 1)
+    rate, note, streams, videos = 0.0, b"", 0, []
+    movies: list[tuple[int, int, bool]] = []  # and whether it is in the first list
+    index = None
 
-    def visit(lo: int, hi: int) -> None:
-        nonlocal rate, note, movie, index
-        for name, a, b in walk(lo, hi):
+    def visit(lo: int, hi: int, first: bool) -> None:
+        nonlocal rate, note, index, streams
+        for name, a, b in _chunks(data, lo, hi):
             kind = data[a : a + 4]
             if name == b"LIST" and kind == b"movi":
-                movie = (a, b)
+                movies.append((a, b, first))
             elif name == b"LIST":
-                visit(a + 4, b)
-            elif name == b"strh" and kind == b"vids":
-                scale, per = struct.unpack_from("<II", data, a + 20)
-                rate = per / max(1, scale)
-            elif name == b"strd":
+                visit(a + 4, b, first)
+            elif name == b"strh":
+                if kind == b"vids":
+                    videos.append(streams)
+                    scale, per = struct.unpack_from("<II", data, a + 20)
+                    rate = per / max(1, scale)
+                streams += 1
+            elif name == b"strd" and videos and videos[-1] == streams - 1:
                 note = data[a:b]
-            elif name == b"idx1":
+            elif name == b"idx1" and first:
                 index = (a, b)
 
-    visit(12, min(len(data), 8 + int.from_bytes(data[4:8], "little")))
-    if movie is None:
+    for i, (name, a, b) in enumerate(_chunks(data, 0, len(data))):
+        if name == b"RIFF" and data[a : a + 4] in (b"AVI ", b"AVIX"):
+            visit(a + 4, b, i == 0)
+    if not movies:
         raise ValueError("no movi list")
-    if index is None:
-        return [data[a:b] for name, a, b in walk(movie[0] + 4, movie[1]) if name == b"00dc"], rate, note
-    entries = [x for x in struct.iter_unpack("<4sIII", data[index[0] : index[0] + (index[1] - index[0]) // 16 * 16]) if x[0] == b"00dc"]
-    # offsets count from the movi list or, in some files, from the file's start
-    base = movie[0] if not entries or data[movie[0] + entries[0][2] :][:4] == b"00dc" else 0
+    if len(videos) != 1:
+        raise ValueError(f"{len(videos)} video streams")
+    names = tuple(b"%02d" % videos[0] + kind for kind in (b"dc", b"db"))
     frames = []
-    for _, _, at, size in entries:
-        if data[base + at : base + at + 4] != b"00dc":
-            raise ValueError("the index doesn't lead to a frame")
-        frames.append(data[base + at + 8 : base + at + 8 + size])
+    for a, b, first in movies:
+        frames += _indexed_frames(data, a, index, names) if first and index else _movie_frames(data, a + 4, b, names)
     return frames, rate, note
 
 
+#: Headers whose tables a worker keeps at once.
+MOST_HEADERS = 64
 _headers: dict[bytes, tuple[int, int, tuple[np.ndarray, np.ndarray]]] = {}
 
 
@@ -213,6 +248,8 @@ def _parse_header(head: bytes) -> tuple[int, int, tuple[np.ndarray, np.ndarray]]
         at += 2 + size
     if every != width:
         raise ValueError("only frames with a restart at each line are read")
+    if len(_headers) >= MOST_HEADERS:
+        _headers.clear()
     _headers[head] = width, height, _reader_table(codes)
     return _headers[head]
 

@@ -147,6 +147,39 @@ def test_read_media_of_other_files(spark):
     assert alone == got[2]
 
 
+def test_all_lists_and_streams_of_a_file_are_read(spark):
+    """Further RIFF lists of large files, frames named db or of another stream number; what can't be read is an error."""
+    rng = np.random.default_rng(8)
+    parts = [baseline_jpeg([(rng.integers(0, 255, (8, 8)), 1, 1)], 8, 8) for _ in range(5)]
+    plain = media.write_avi(parts[:2], 8, 8, 10, b"")
+    chunk = lambda name, body: name + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+    more = chunk(b"RIFF", b"AVIX" + chunk(b"LIST", b"movi" + chunk(b"00dc", parts[2]) + chunk(b"LIST", b"rec " + chunk(b"00dc", parts[3]) + chunk(b"01wb", b"sound")) + chunk(b"00dc", parts[4])))
+    assert media.read_avi(plain + more)[0] == parts
+    assert media.read_avi(plain.replace(b"00dc", b"00db"))[0] == parts[:2]
+    sound = chunk(b"LIST", b"strl" + chunk(b"strh", b"auds" + b"\0" * 52))
+    at = plain.index(b"LIST", plain.index(b"hdrl"))
+    grown = lambda file, offset, n: file[:offset] + (int.from_bytes(file[offset : offset + 4], "little") + n).to_bytes(4, "little") + file[offset + 4 :]
+    add = lambda file, extra: grown(grown(file[:at] + extra + file[at:], 4, len(extra)), 16, len(extra))
+    assert media.read_avi(add(plain, sound).replace(b"00dc", b"01dc"))[0] == parts[:2]
+    stream = plain[at : at + 8 + int.from_bytes(plain[at + 4 : at + 8], "little")]
+    for broken in (add(plain, stream), (plain + more)[:-20], plain[:-5]):
+        with pytest.raises(ValueError):
+            media.read_avi(broken)
+    rows = [(1, plain + more), (2, add(plain, stream)), (3, (plain + more)[:-20])]
+    got = {r.doc_id: r for r in media.read_media(spark.createDataFrame(rows, "doc_id long, media binary")).collect()}
+    assert got[1].error is None and got[1].n_bytes == 5 * 64 and sum(c.frames for c in got[1].clips) == 5
+    assert "2 video streams" in got[2].error and got[3].error
+
+
+def test_headers_that_a_worker_keeps_are_bounded(monkeypatch):
+    monkeypatch.setattr(media, "MOST_HEADERS", 3)
+    media._headers.clear()
+    for height in range(1, 9):
+        head = media.frame_header(64, height)
+        assert media._parse_header(head)[:2] == (64, height)
+        assert len(media._headers) <= 3
+
+
 # near duplicates
 
 
@@ -611,11 +644,24 @@ def test_languages_in_several_passes(spark, docs, monkeypatch):
     whole = {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify_languages(docs, langid.train_language_model(docs)).collect()}
     monkeypatch.setattr(langid, "MODEL_BYTES", 1 << 17)
     model = langid.train_language_model(docs)
-    assert len(model.groups) == 3
+    assert len({tuple(g) for g, _, _ in model.ranges}) == 3
     got = langid.identify_languages(docs, model).collect()
     assert len(got) == docs.count() and {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in got} == whole
 
 
+def test_contexts_of_a_language_in_several_passes(spark, monkeypatch):
+    """A language whose contexts don't fit together loses none of them: its code lengths are added up over ranges."""
+    rows = [(k, w, lang) for k, (w, lang) in enumerate([("the long words of a text", "en"), ("les mots longs d'un texte", "fr"), ("the \x00 other", "en"), ("", "fr"), (None, "en"), ("é longs", None)] * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = lambda: {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify_languages(df, langid.train_language_model(df)).collect()}
+    whole = got()
+    monkeypatch.setattr(langid, "MODEL_BYTES", 4000)
+    ranges = langid.train_language_model(df).ranges
+    per = {x: [(lo, hi) for g, lo, hi in ranges if x in g] for x in ("en", "fr")}
+    assert all(len(own) > 1 and own[0][0] == 0 and own[-1][1] == 1 << 24 and all(a[1] == b[0] for a, b in zip(own, own[1:])) for own in per.values())
+    assert got() == whole and len(whole) == 12
+
+
 def test_language_of_long_texts_only(spark):
     rows = [(k, w * 60_000, lang) for k, (w, lang) in enumerate([("the long words ", "en"), ("les mots longs ", "fr")] * 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
