@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -26,12 +27,14 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 
 def character_classes() -> np.ndarray:
     """The class of every code point."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     out = np.full(0x110000, OTHER, dtype=np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
-        for m in regex.finditer(pattern, every):
-            lo, hi = ord(m[0][0]), ord(m[0][-1])
-            out[lo : hi + 1] = kind
+    for first in range(0, 0x110000, 0x1000):  # a part at a time, since all characters together take much memory
+        if 0xD800 <= first < 0xE000:
+            continue
+        part = "".join(map(chr, range(first, min(first + 0x1000, 0xD800) if first < 0xD800 else first + 0x1000)))
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
+            for m in regex.finditer(pattern, part):
+                out[first + m.start() : first + m.end()] = kind
     out[WHITE_SPACE] = SPACE
     return out
 
@@ -266,10 +269,10 @@ def tokenize(docs: DataFrame, vocabulary_file: str, with_ids: bool = True, group
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = bpe_from(lines.value)
         for batch in batches:
-            values = to_bytes(batch.column("text"))
             done = 0
-            for lo, hi in groups(values, group_bytes):
-                ids, first = bpe.encode(values[lo:hi])
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for lo, hi in groups(sizes, group_bytes, int):
+                ids, first = bpe.encode(to_bytes(batch.column("text").slice(lo, hi - lo)))
                 raw = ids.tobytes()
                 decoded, size = bpe.decode(ids)
                 upto = np.concatenate([[0], np.cumsum(size)])[first]
@@ -280,6 +283,6 @@ def tokenize(docs: DataFrame, vocabulary_file: str, with_ids: bool = True, group
                     columns.append(pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32))))
                 yield with_columns(batch.slice(lo, hi - lo), new, columns)
                 done = hi
-            assert done == len(values)
+            assert done == batch.num_rows
 
     return map_arrow(docs, run, schema_with(docs, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids))

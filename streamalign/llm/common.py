@@ -180,14 +180,15 @@ def to_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def groups(values: list[bytes], most: int) -> Iterator[tuple[int, int]]:
+def groups(values: list, most: int, size: Callable = len) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive values with about `most` bytes together; a longer value stands alone."""
     lo = total = 0
     for i, x in enumerate(values):
-        if total and total + len(x) > most:
+        n = size(x)
+        if total and total + n > most:
             yield lo, i
             lo, total = i, 0
-        total += len(x)
+        total += n
     if lo < len(values):
         yield lo, len(values)
 
