@@ -1,12 +1,14 @@
-"""A bigram language model in bucketed Elias-Fano tries, counted and queried by exchanging packed n-grams.
+"""A trigram language model in bucketed Elias-Fano tries, counted and queried by exchanging packed n-grams.
 
-Chunks of documents send their distinct words and word pairs, with their training counts, to buckets by context. A
-bucket joins them into a trie of two levels and answers every chunk's pairs in the order they were sent. A frequent
-word is many contexts, one for each stretch of its successors' hashes, so that no bucket holds all pairs of a word.
+Chunks of documents send their distinct words, word pairs and triples, with their training counts, to buckets by their
+first word. A bucket makes them a trie of three levels in one memory mapping, whose levels stay packed while they are
+queried, and answers every chunk's n-grams in the order they were sent. A frequent word is many contexts, one for each
+stretch of its successors' hashes, and so is a frequent pair, so that no bucket holds all that follows it.
 """
 
 from __future__ import annotations
 
+import mmap
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,143 +16,293 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, map_arrow, mix, pack_chunks, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, map_arrow, mix, pack_chunks, pair_hash, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
 
 CHUNK_BYTES, BUCKET_BYTES = 5 << 20, 4 << 20
-#: Tokens of a word per context that it is split into.
+#: Tokens of a word or pair per context that it is split into.
 FAN_TOKENS = 1 << 17
-#: Weight of the unigram probability, in tokens.
-PRIOR = 2.0
-#: Codes per decade of a quantised count.
+#: Weight of the unigram probability against a word's successors, and of the pair's against a pair's, in tokens.
+PRIORS = (1000.0, 20.0)
+#: Codes per decade of a quantised probability.
 STEPS = 4096
+#: N-grams that are looked up together.
+BLOCK = 1 << 15
 
 _SENTENCE = np.uint64(0x5EED0000000000E5)
 _K = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a successor's hash that a chunk sends.
 SUCCESSOR_BITS = 46
-_LOW46 = np.uint64((1 << SUCCESSOR_BITS) - 1)
+_SENT = np.uint64((1 << SUCCESSOR_BITS) - 1)
+#: Marks the count of a context that is a part of a frequent word or pair.
+_PART = np.uint32(1 << 31)
+
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_BIT_IN_BYTE = np.array([([k for k in range(8) if byte >> k & 1] + [0] * 8)[:8] for byte in range(256)], np.uint64).ravel()
+
+
+def _select(word: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Position of the set bit number k (from 0) of each 64-bit word, by sums of its bytes' bits."""
+    u = np.uint64
+    s = word - (word >> u(1) & u(0x5555555555555555))
+    s = (s & u(0x3333333333333333)) + (s >> u(2) & u(0x3333333333333333))
+    s = (s + (s >> u(4)) & u(0x0F0F0F0F0F0F0F0F)) * _ONES
+    at = (((k * _ONES | _TOPS) - s & _TOPS) >> u(7)) * _ONES >> u(56) << u(3)
+    return at + _BIT_IN_BYTE[((word >> at & u(255)) << u(3)) + k - ((s << u(8)) >> at & u(255))]
 
 
 class EliasFano:
-    """A non-decreasing sequence: low bits packed as they are, high bits as gaps in unary, all in one byte string."""
+    """A non-decreasing sequence in one byte string: low bits packed as they are, high bits as gaps in unary.
+
+    Only a directory of bit counts, one for each 64 bits of the unary part, is made when it is opened; values are
+    read and found where they stand.
+    """
 
     @staticmethod
     def encode(values: np.ndarray) -> bytes:
         n, top = len(values), int(values[-1]) if len(values) else 0
-        low = max(0, (top // max(1, n)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1) if low else np.zeros((n, 0), np.uint64)
-        high = (values >> np.uint64(low)).astype(np.int64) + np.arange(n)
-        unary = np.zeros(int(high[-1]) + 1 if n else 0, dtype=np.uint8)
-        unary[high] = 1
-        return np.array([n, low], "<u8").tobytes() + np.packbits(bits.astype(np.uint8)).tobytes() + np.packbits(unary).tobytes()
-
-    @staticmethod
-    def decode(data: np.ndarray) -> np.ndarray:
-        """The values, from a view of the encoded bytes."""
-        n, low = (int(x) for x in data[:16].view("<u8"))
-        n_low = (n * low + 7) // 8
-        bits = np.unpackbits(data[16 : 16 + n_low], count=n * low).reshape(n, low)
-        values = np.zeros(n, np.uint64)
-        for k in range(low):
-            values |= bits[:, k].astype(np.uint64) << np.uint64(k)
-        high = np.flatnonzero(np.unpackbits(data[16 + n_low :]))[:n] - np.arange(n)
-        return values | high.astype(np.uint64) << np.uint64(low)
+        low = min(56, max(0, (top // max(1, n)).bit_length() - 1))
+        packed = bytearray()
+        for at in range(0, n if low else 0, BLOCK):
+            octets = np.ascontiguousarray(values[at : at + BLOCK], "<u8").view(np.uint8).reshape(-1, 8)
+            packed += np.packbits(np.unpackbits(octets, axis=1, count=low, bitorder="little").ravel(), bitorder="little").tobytes()
+        packed += bytes(-len(packed) % 8 + 8)
+        unary = np.zeros(-(-(n + (top >> low) + 1) // 64) * 64, dtype=np.uint8)
+        unary[(values >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
+        return np.array([n, low, len(packed)], "<u8").tobytes() + bytes(packed) + np.packbits(unary, bitorder="little").tobytes()
+
+    def __init__(self, data: np.ndarray):
+        """data: a view of the encoded bytes, aligned to 8."""
+        self.n, self.low, size = (int(x) for x in data[:24].view("<u8"))
+        self.bits, self.high = at8(data[24 : 24 + size]), data[24 + size :].view("<u8")
+        self.ones = np.concatenate([[0], np.cumsum(np.bitwise_count(self.high), dtype=np.int64)])
+        self.zeros = np.arange(len(self.ones)) * 64 - self.ones
+        self.most = int(self.zeros[-1]) - 1
+
+    def low_bits(self, i: np.ndarray) -> np.ndarray:
+        at = i * self.low
+        return self.bits[at >> 3] >> (at & 7).astype(np.uint64) & np.uint64((1 << self.low) - 1)
+
+    def access(self, i: np.ndarray) -> np.ndarray:
+        """The values at these places."""
+        word = np.searchsorted(self.ones, i, "right") - 1
+        at = word * 64 + _select(self.high[word], (i - self.ones[word]).astype(np.uint64)).astype(np.int64)
+        return (at - i).astype(np.uint64) << np.uint64(self.low) | self.low_bits(i)
+
+    def _upto(self, high: np.ndarray) -> np.ndarray:
+        """How many values have high bits of at most these."""
+        word = np.searchsorted(self.zeros, high, "right") - 1
+        return word * 64 + _select(~self.high[word], (high - self.zeros[word]).astype(np.uint64)).astype(np.int64) - high
+
+    def find(self, begin: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """The first place from begin to end, exclusive, of each value, -1 where it isn't there.
+
+        The next value that isn't smaller is sought among those with the same high bits.
+        """
+        high = value >> np.uint64(self.low)
+        inside = high <= np.uint64(self.most)
+        high = np.where(inside, high, np.uint64(0)).astype(np.int64)
+        lo = np.maximum(begin, np.where(high > 0, self._upto(np.maximum(high - 1, 0)), 0))
+        hi = np.minimum(end, self._upto(high))
+        upto, low = hi.copy(), value & np.uint64((1 << self.low) - 1)
+        live = np.flatnonzero(lo < hi)
+        while len(live):
+            mid = (lo[live] + hi[live]) >> 1
+            less = self.low_bits(mid) < low[live]
+            lo[live] = np.where(less, mid + 1, lo[live])
+            hi[live] = np.where(less, hi[live], mid)
+            live = live[lo[live] < hi[live]]
+        found = np.flatnonzero((lo < upto) & inside)
+        out = np.full(len(value), -1, np.int64)
+        found = found[self.low_bits(lo[found]) == low[found]]
+        out[found] = lo[found]
+        return out
+
+
+def quantise(p: np.ndarray) -> np.ndarray:
+    """16-bit codes of probabilities: 0 for 0, else 1 + STEPS x -log10, so down to 1e-15."""
+    return np.where(p > 0, np.minimum(65535, 1 + np.rint(-STEPS * np.log10(np.where(p > 0, p, 1)))), 0).astype(np.uint16)
 
 
-def quantise(count: np.ndarray) -> np.ndarray:
-    """16-bit codes of counts: 0 for 0, else 1 + STEPS x log10."""
-    return np.where(count > 0, 1 + np.rint(STEPS * np.log10(np.maximum(count, 1))), 0).astype(np.uint16)
+def restore(code: np.ndarray) -> np.ndarray:
+    return np.where(code > 0, 10.0 ** ((1 - code.astype(np.float64)) / STEPS), 0.0)
 
 
-def restore(code: np.ndarray) -> np.ndarray:
-    return np.where(code > 0, 10.0 ** ((code.astype(np.float64) - 1) / STEPS), 0.0)
+def _level(owner: np.ndarray, successor: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pointers to each of n contexts' successors (sorted), and these, each on top of the last one of the context before."""
+    pointers = np.searchsorted(owner, np.arange(n + 1))
+    last, full = np.zeros(n, np.uint64), pointers[1:] > pointers[:-1]
+    last[full] = successor[pointers[1:][full] - 1] + np.uint64(1)
+    return pointers.astype(np.uint64), (np.cumsum(last, dtype=np.uint64) - last)[owner] + successor + np.uint64(1)
 
 
 class Trie:
-    """Two levels in one byte string: contexts with counts, and their successors with quantised counts.
+    """Words, pairs and triples that training has, in one memory mapping that holds them packed.
 
-    Level 1 has the sorted context hashes and, for each, a pointer to its first successor; level 2 the successors,
-    sorted within each context, and a code for each count. Hashes and pointers are Elias-Fano sequences; a successor
-    is stored after its context's rank, which makes the whole level monotone.
+    Level 1 has the contexts' hashes and exact counts, levels 2 and 3 the successors. A pointer for each n-gram tells
+    where its successors begin. Hashes, pointers and successors are Elias-Fano sequences. A successor is stored
+    relative to its context: above the last successor of the context before. An n-gram of level 2 or 3 has the code of
+    its smoothed share c(context, w) / (c(context) + prior), one of level 2 also that of the weight
+    prior / (c + prior) which the shorter context's probability has after it.
     """
 
-    def __init__(self, data: bytes | memoryview):
+    def __init__(self, data: mmap.mmap):
         raw = np.frombuffer(data, dtype=np.uint8)
-        sizes = raw[:40].view("<u8").astype(np.int64)
-        at = np.concatenate([[40], 40 + np.cumsum(sizes)])
+        at = 72 + np.concatenate([[0], np.cumsum(raw[:72].view("<u8").astype(np.int64))])
         part = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        self.contexts, self.pointers, self.level2 = (EliasFano.decode(x.copy() if x.ctypes.data % 8 else x) for x in part[:3])
-        self.counts, self.codes = np.frombuffer(part[3].tobytes(), "<u8"), np.frombuffer(part[4].tobytes(), "<u2")
+        self.contexts, self.pointers, self.levels = EliasFano(part[0]), {2: EliasFano(part[1]), 3: EliasFano(part[2])}, {2: EliasFano(part[3]), 3: EliasFano(part[4])}
+        self.counts, self.shares, self.backoff = part[5].view("<u8"), {2: part[6].view("<u2"), 3: part[7].view("<u2")}, part[8].view("<u2")
 
     @staticmethod
-    def build(context: np.ndarray, count: np.ndarray, owner: np.ndarray, successor: np.ndarray, pairs: np.ndarray) -> bytes:
-        """context: sorted hashes with their counts; owner, successor: sorted pairs, by index of context, and their counts."""
-        seen = pairs > 0
-        owner, successor, pairs = owner[seen], successor[seen], pairs[seen]
-        pointers = np.searchsorted(owner, np.arange(len(context) + 1)).astype(np.uint64)
-        parts = [EliasFano.encode(context), EliasFano.encode(pointers), EliasFano.encode(owner.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successor)]
-        parts += [count.astype("<u8").tobytes(), quantise(pairs).astype("<u2").tobytes()]
-        return np.array([len(x) for x in parts], "<u8").tobytes() + b"".join(parts)
-
-    def word_counts(self, words: np.ndarray) -> np.ndarray:
-        return self.counts[np.searchsorted(self.contexts, words)]
-
-    def pair_codes(self, contexts: np.ndarray, n_each: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Codes of the pairs, n_each successors for each context: a search among the successors of its rank."""
-        rank = np.repeat(np.searchsorted(self.contexts, contexts), n_each)
-        key = rank.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successors
-        if not len(self.level2):
-            return np.zeros(len(key), np.uint16)
-        at = np.minimum(np.searchsorted(self.level2, key), len(self.level2) - 1)
-        return np.where(self.level2[at] == key, self.codes[at], 0).astype(np.uint16)
+    def build(context: np.ndarray, count: np.ndarray, pair: tuple[np.ndarray, np.ndarray, np.ndarray], triple: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Trie:
+        """context: sorted hashes with their counts; pair, triple: index of the context or pair, successor (both in order), count.
+
+        What has count 0 is left out.
+        """
+        seen1, seen2, seen3 = count > 0, pair[2] > 0, triple[2] > 0
+        rank1, rank2 = np.cumsum(seen1) - 1, np.cumsum(seen2) - 1
+        c1, c2, c3 = count[seen1], pair[2][seen2], triple[2][seen3]
+        owner2, owner3 = rank1[pair[0][seen2]], rank2[triple[0][seen3]]
+        parts = [EliasFano.encode(context[seen1])]
+        pointers2, level2 = _level(owner2, pair[1][seen2], len(c1))
+        pointers3, level3 = _level(owner3, triple[1][seen3], len(c2))
+        parts += [EliasFano.encode(x) for x in (pointers2, pointers3, level2, level3)]
+        shares = [quantise(c / (above + prior)) for c, above, prior in ((c2, c1[owner2], PRIORS[0]), (c3, c2[owner3], PRIORS[1]))]
+        parts += [x.tobytes() for x in (c1.astype("<u8"), *(x.astype("<u2") for x in (*shares, quantise(PRIORS[1] / (c2 + PRIORS[1])))))]
+        parts = [x + bytes(-len(x) % 8) for x in parts]
+        data = mmap.mmap(-1, 72 + sum(map(len, parts)))
+        data.write(np.array([len(x) for x in parts], "<u8").tobytes())
+        for x in parts:
+            data.write(x)
+        return Trie(data)
+
+    def find_contexts(self, context: np.ndarray) -> np.ndarray:
+        """Rank of each context, -1 if training doesn't have it."""
+        found = [self.contexts.find(np.zeros(len(x), np.int64), np.full(len(x), self.contexts.n), x) for x in _blocks(context)]
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def find_successors(self, level: int, context: np.ndarray, of: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        """Place in this level of each successor of context[of], -1 if there is none; context: ranks a level above, or -1."""
+        pointers, values = self.pointers[level], self.levels[level]
+        begin, end, base = np.zeros(len(context), np.int64), np.zeros(len(context), np.int64), np.zeros(len(context), np.uint64)
+        for at in _blocks(np.flatnonzero(context >= 0)):
+            begin[at], end[at] = pointers.access(context[at]).astype(np.int64), pointers.access(context[at] + 1).astype(np.int64)
+            at = at[(begin[at] > 0) & (end[at] > begin[at])]
+            base[at] = values.access(begin[at] - 1)
+        out = np.full(len(of), -1, np.int64)
+        for at in _blocks(np.flatnonzero((end > begin)[of])):
+            o = of[at]
+            out[at] = values.find(begin[o], end[o], base[o] + successor[at] + np.uint64(1))
+        return out
+
+
+def _blocks(x: np.ndarray) -> Iterator[np.ndarray]:
+    for at in range(0, len(x), BLOCK):
+        yield x[at : at + BLOCK]
+
+
+def _at(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return np.where(place >= 0, codes[np.maximum(place, 0)], 0).astype(codes.dtype) if len(codes) else np.zeros(len(place), codes.dtype)
+
+
+def _distinct(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the index among them of each key, and the sums of n."""
+    order = np.argsort(key)
+    k = key[order]
+    first = np.ones(len(k), bool)
+    first[1:] = k[1:] != k[:-1]
+    place = np.empty(len(k), np.int64)
+    place[order] = np.cumsum(first) - 1
+    at = np.flatnonzero(first)
+    return k[at], place, np.add.reduceat(n[order], at) if len(at) else np.zeros(0, n.dtype)
 
 
 class _Grams:
-    """The tokens of a chunk, its distinct contexts and pairs ordered by bucket, and where each token's are."""
+    """The tokens of a chunk, its distinct contexts, pairs and triples ordered by bucket, and where each token's are."""
 
     def __init__(self, values: list[bytes], train: np.ndarray, hot: np.ndarray, fan: np.ndarray, n_buckets: int):
-        h, text, n_tokens = tokens(values)
-        self.n_tokens = n_tokens
-        learns = train[text]
-        begins = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.zeros(0, bool)
-        before = np.where(begins, _SENTENCE, np.concatenate([h[:1], h[:-1]]))
-        key = before
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, before), len(hot) - 1)
-            part = np.where(hot[at] == before, (h >> np.uint64(47)) % fan[at] + np.uint64(1), np.uint64(0))
-            key = np.where(part > 0, mix(before + part * _K), before)
-        names, place = np.unique(np.concatenate([h, key]), return_inverse=True)
+        h, text, self.n_tokens = tokens(values)
+        learns = train[text].astype(np.int64)
+        self.begins = np.ones(len(text), bool)
+        self.begins[1:] = text[1:] != text[:-1]
+        before = _before(h, self.begins)
+        pair_name = pair_hash(before, h)
+
+        def parts(name: np.ndarray) -> np.ndarray:
+            """Into how many contexts each word or pair is split, 0 if it isn't."""
+            if not len(hot):
+                return np.zeros(len(name), np.uint64)
+            at = np.minimum(np.searchsorted(hot, name), len(hot) - 1)
+            return np.where(hot[at] == name, fan[at], np.uint64(0))
+
+        def part_of(name: np.ndarray, n: np.ndarray) -> np.ndarray:
+            return mix(name + ((h >> np.uint64(47)) % np.maximum(n, np.uint64(1)) + np.uint64(1)) * _K)
+
+        def all_parts(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """All parts of these, and the index of what each is a part of."""
+            n = parts(name).astype(np.int64)
+            of = np.repeat(np.arange(len(name)), n)
+            k = (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + 1).astype(np.uint64)
+            return mix(name[of] + k * _K), of
+
+        n_word, n_pair = parts(before), parts(pair_name)
+        hot_words = np.unique(before[n_word > 0])
+        hot_pairs, first, hot_pair = np.unique(pair_name[n_pair > 0], return_index=True, return_inverse=True)
+        at_pair = np.flatnonzero(n_pair > 0)
+        hot_count = np.bincount(hot_pair, learns[at_pair], len(hot_pairs)).astype(np.int64)
+        word_parts, of_word = all_parts(hot_words)
+        pair_parts, of_pair = all_parts(hot_pairs)
+        key = np.where(n_word > 0, part_of(before, n_word), before)
+        # names: words, contexts of pairs, and all parts of what is split
+        names, place = np.unique(np.concatenate([h, key, word_parts, pair_parts]), return_inverse=True)
         bucket = (mix(names.copy()) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)
         order = np.argsort(bucket, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        place = rank[place]
+        self.word, owner, word_part, pair_part = np.split(rank[place], np.cumsum([len(h), len(key), len(word_parts)]))
         self.names = names[order]
-        self.word, owner = place[: len(h)], place[len(h) :]
-        self.counts = np.bincount(self.word[learns], minlength=len(names))
         self.bounds = np.searchsorted(bucket[order], np.arange(n_buckets + 1, dtype=np.uint64))
-        # pairs: by context's rank, then by the word's
-        pair = owner << 32 | self.word
-        order = np.argsort(pair)
-        p = pair[order]
-        new = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, np.int64)
-        self.pair_counts = np.add.reduceat(learns[order].astype(np.int64), new) if len(new) else np.zeros(0, np.int64)
-        self.successor = self.names[p[new] & 0xFFFFFFFF] & _LOW46
-        self.each = np.bincount(p[new] >> 32, minlength=len(names))
+        self.counts = np.bincount(self.word, learns, len(names)).astype(np.int64)
+        self.is_part = np.zeros(len(names), bool)
+        self.is_part[word_part] = self.is_part[pair_part] = True
+        self.counts[word_part] = self.counts[rank[np.searchsorted(names, hot_words)]][of_word]
+        self.counts[pair_part] = hot_count[of_pair]
+        # pairs, by context's rank, then by the word's; a part of a frequent pair is a context that has its second word alone
+        second = self.word[at_pair[first]][of_pair]
+        p, pair, self.pair_counts = _distinct(np.concatenate([owner << 32 | self.word, pair_part << 32 | second]), np.concatenate([learns, hot_count[of_pair]]))
+        self.pair = pair[: len(h)]
+        self.successor = self.names[p & 0xFFFFFFFF] & _SENT
+        self.each = np.bincount(p >> 32, minlength=len(names))
         self.upto = np.concatenate([[0], np.cumsum(self.each)])
-        self.pair = np.empty(len(p), np.int64)
-        self.pair[order] = np.cumsum(np.concatenate([[True], p[1:] != p[:-1]])) - 1 if len(p) else []
-        self.context_word = np.where(begins, -1, np.concatenate([self.word[:1], self.word[:-1]]))
+        # triples, by pair, then by the word's rank
+        self.third = np.flatnonzero(~self.begins)
+        under = self.pair[self.third - 1]
+        split = np.flatnonzero(n_pair[self.third - 1] > 0)
+        i = self.third[split]
+        name = mix(pair_name[i - 1] + ((h[i] >> np.uint64(47)) % n_pair[i - 1] + np.uint64(1)) * _K)
+        under[split] = np.searchsorted(p, rank[np.searchsorted(names, name)] << 32 | self.word[i - 1])
+        t, self.triple, self.triple_counts = _distinct(under << 32 | self.word[self.third], learns[self.third])
+        self.successor3 = self.names[t & 0xFFFFFFFF] & _SENT
+        self.each3 = np.bincount(t >> 32, minlength=len(p))
+        self.upto3 = np.concatenate([[0], np.cumsum(self.each3)])
+        self.context_word = np.where(self.begins, -1, np.concatenate([self.word[:1], self.word[:-1]]))
         found = np.flatnonzero(self.names == _SENTENCE)
         self.sentence = int(found[0]) if len(found) else 0
 
     def blobs(self) -> Iterator[tuple[int, bytes]]:
         pack = zstandard.ZstdCompressor(level=1).compress
+        marked = self.counts.astype("<u4") | np.where(self.is_part, _PART, np.uint32(0))
         for b in np.flatnonzero(np.diff(self.bounds)):
             lo, hi = self.bounds[b], self.bounds[b + 1]
             a, z = self.upto[lo], self.upto[hi]
-            w = self.successor[a:z]
-            small = pack(self.counts[lo:hi].astype("<u4").tobytes() + self.each[lo:hi].astype("<u4").tobytes() + self.pair_counts[a:z].astype("<u4").tobytes())
-            yield int(b), np.array([hi - lo, z - a], "<u8").tobytes() + self.names[lo:hi].tobytes() + w.astype("<u4").tobytes() + (w >> np.uint64(32)).astype("<u2").tobytes() + small
+            y, x = self.upto3[a], self.upto3[z]
+            w = np.concatenate([self.successor[a:z], self.successor3[y:x]])
+            small = pack(b"".join(v.astype("<u4").tobytes() for v in (marked[lo:hi], self.each[lo:hi], self.pair_counts[a:z], self.each3[a:z], self.triple_counts[y:x])))
+            yield int(b), np.array([hi - lo, z - a, x - y], "<u8").tobytes() + self.names[lo:hi].tobytes() + w.astype("<u4").tobytes() + (w >> np.uint64(32)).astype("<u2").tobytes() + small
+
+
+def _before(h: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The token before each, or the start of the text."""
+    return np.where(begins, _SENTENCE, np.concatenate([h[:1], h[:-1]]))
 
 
 def tokens(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,35 +318,49 @@ def tokens(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _open_blob(data: bytes) -> tuple[np.ndarray, ...]:
-    """Names, successors, counts, successors of each name, and pair counts that a chunk sent to a bucket."""
-    n, m = np.frombuffer(data, "<u8", 2).astype(np.int64)
-    names = np.frombuffer(data, "<u8", n, 16)
-    low, high = np.frombuffer(data, "<u4", m, 16 + 8 * n), np.frombuffer(data, "<u2", m, 16 + 8 * n + 4 * m)
-    rest = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[16 + 8 * n + 6 * m :]), "<u4")
-    return names, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), rest[:n], rest[n : 2 * n], rest[2 * n :]
+    """What a chunk sent to a bucket: names, counts, pairs of each, successors, counts; triples of each pair, successors, counts."""
+    n, m, t = (int(x) for x in np.frombuffer(data, "<u8", 3))
+    names, at = np.frombuffer(data, "<u8", n, 24), 24 + 8 * n
+    low, high = np.frombuffer(data, "<u4", m + t, at), np.frombuffer(data, "<u2", m + t, at + 4 * (m + t))
+    w = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+    rest = np.frombuffer(zstandard.ZstdDecompressor().decompress(memoryview(data)[at + 6 * (m + t) :]), "<u4")
+    counts, each, pairs, each3, triples = np.split(rest, np.cumsum([n, n, m, m]))
+    return names, counts, each, w[:m], pairs, each3, w[m:], triples
+
+
+def _under(owner: np.ndarray, n: int, successor: np.ndarray) -> tuple[np.ndarray, int]:
+    """Owner (one of n) and successor in one number each, and how many bits the successor has in it."""
+    bits = min(SUCCESSOR_BITS, 63 - n.bit_length())
+    return owner.astype(np.uint64) << np.uint64(bits) | successor >> np.uint64(SUCCESSOR_BITS - bits), bits
 
 
 def answer(table: pa.Table) -> pa.Table:
     """For one bucket: its trie from what all chunks sent, and for each chunk the counts and codes it asked for.
 
-    Row kinds: 0 with the bucket's training tokens and distinct ones, 1 with a chunk's answers.
+    Row kinds: 0 with the bucket's training tokens and distinct ones, 1 with a chunk's answers. Each distinct n-gram
+    is looked up once, in order.
     """
     sent = [_open_blob(x) for x in table.column("blob").to_pylist()]
-    names = np.concatenate([s[0] for s in sent])
+    names, counts, each, successor, pairs, each3, successor3, triples = (np.concatenate(x) for x in zip(*sent))
     contexts, place = np.unique(names, return_inverse=True)
-    counts = np.bincount(place, np.concatenate([s[2] for s in sent]).astype(np.float64), len(contexts)).astype(np.int64)
-    each = np.concatenate([s[3] for s in sent]).astype(np.int64)
-    owner, successor = np.repeat(place, each), np.concatenate([s[1] for s in sent])
-    key = owner.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successor
-    order = np.argsort(key)
-    k = key[order]
-    new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-    pairs = np.add.reduceat(np.concatenate([s[4] for s in sent]).astype(np.int64)[order], new) if len(new) else np.zeros(0, np.int64)
-    trie = Trie(Trie.build(contexts, counts, owner[order][new], successor[order][new], pairs))
+    is_part = np.zeros(len(contexts), bool)
+    is_part[place[counts & _PART > 0]] = True
+    total = np.bincount(place, counts & ~_PART, len(contexts)).astype(np.int64)
+    key, bits = _under(np.repeat(place, each), len(contexts), successor)
+    key, pair, pairs = _distinct(key, pairs.astype(np.int64))
+    key3, bits3 = _under(np.repeat(pair, each3), len(key), successor3)
+    key3, triple, triples = _distinct(key3, triples.astype(np.int64))
+    owner, successor = (key >> np.uint64(bits)).astype(np.int64), key & np.uint64((1 << bits) - 1)
+    owner3, successor3 = (key3 >> np.uint64(bits3)).astype(np.int64), key3 & np.uint64((1 << bits3) - 1)
+    trie = Trie.build(contexts, total, (owner, successor, pairs), (owner3, successor3, triples))
+    rank = trie.find_contexts(contexts)
+    rank2 = trie.find_successors(2, rank, owner, successor)
+    rank3 = trie.find_successors(3, rank2, owner3, successor3)
+    found = [_at(trie.counts, rank)[place], _at(trie.shares[2], rank2)[pair], _at(trie.backoff, rank2)[pair], _at(trie.shares[3], rank3)[triple]]
+    cuts = [np.cumsum([len(s[k]) for s in sent])[:-1] for k in (0, 3, 3, 6)]
     pack = zstandard.ZstdCompressor(level=1).compress
-    blobs = [f"{counts.sum()} {(counts > 0).sum()}".encode()]
-    for s in sent:
-        blobs.append(pack(trie.word_counts(s[0]).astype("<u8").tobytes() + trie.pair_codes(s[0], s[3].astype(np.int64), s[1]).astype("<u2").tobytes()))
+    blobs = [f"{total[~is_part].sum()} {(total[~is_part] > 0).sum()}".encode()]
+    blobs += [pack(b"".join(x.tobytes() for x in one)) for one in zip(*(np.split(x, cut) for x, cut in zip(found, cuts)))]
     buckets, chunks = table.column("bucket").to_pylist(), table.column("chunk_id").to_pylist()
     return pa.table({"bucket": pa.array([buckets[0], *buckets], pa.int32()), "chunk_id": pa.array([-1, *chunks], pa.int64()), "kind": pa.array([0] + [1] * len(sent), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
@@ -203,9 +369,13 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
     """doc_id, trained, n_tokens, n_known, train_tokens, base_score and score of each document.
 
     train: SQL for whether the model learns from a row of docs (doc_id, text). Tokens are the words in lower case
-    (A to Z only) and an end. base_score sums log10((c+1)/(N+V+1)) over the tokens. score sums log10 of
-    (c(v, w) + PRIOR p(w)) / (c(v) + PRIOR), p(w) being that base probability, v the token before w or the start of
-    the text, and the counts of pairs those of the trie (quantised to 1/STEPS of a decade). Null text is empty.
+    (A to Z only) and an end. base_score sums log10 p(w) = (c(w)+1)/(N+V+1) over the tokens w. score sums log10 of
+    p(w | u v) = (c(u v w) + PRIORS[1] p(w | v)) / (c(u v) + PRIORS[1]), where p(w | v) is
+    (c(v w) + PRIORS[0] p(w)) / (c(v) + PRIORS[0]), u and v are the tokens before w, the start of the text is the
+    token before its first one, and that first one has p(w | v). The shares and weights in these are the trie's,
+    quantised to 1/STEPS of a decade. Null text is empty: an end alone. Repeated rows, also with one doc_id, are scored
+    and counted one by one; a null doc_id stays null; other columns are not used. No rows give no rows. A text is whole
+    in a task, with dozens of bytes for each of its bytes.
     """
     rows = docs.select("doc_id", "text", F.expr(f"coalesce({train}, false)").alias("trained"))
     total = text_bytes(rows)
@@ -232,16 +402,19 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
 
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
         batch, g = grams(left.column("payload")[0].as_buffer())
-        count, code = np.zeros(len(g.names), np.int64), np.zeros(g.upto[-1], np.uint16)
+        count, share, weight, share3 = np.zeros(len(g.names), np.int64), *(np.zeros(n, np.uint16) for n in (g.upto[-1], g.upto[-1], g.upto3[-1]))
         for b, blob in zip(right.column("bucket").to_pylist(), right.column("blob").to_pylist(), strict=True):
             lo, hi = g.bounds[b], g.bounds[b + 1]
+            a, z = g.upto[lo], g.upto[hi]
             raw = zstandard.ZstdDecompressor().decompress(blob)
             count[lo:hi] = np.frombuffer(raw, "<u8", hi - lo)
-            code[g.upto[lo] : g.upto[hi]] = np.frombuffer(raw, "<u2", -1, 8 * (hi - lo))
+            share[a:z], weight[a:z], share3[g.upto3[a] : g.upto3[z]] = np.split(np.frombuffer(raw, "<u2", -1, 8 * (hi - lo)), [z - a, 2 * (z - a)])
         c = count[g.word]
         base = (c + 1) / (n_all + v_all + 1)
-        before = count[np.where(g.context_word < 0, g.sentence, g.context_word)]
-        p = (restore(code[g.pair]) + PRIOR * base) / (before + PRIOR)
+        before = count[np.where(g.begins, g.sentence, g.context_word)]
+        p = restore(share[g.pair]) + PRIORS[0] / (before + PRIORS[0]) * base
+        under = weight[g.pair[g.third - 1]]
+        p[g.third] = restore(share3[g.triple]) + np.where(under > 0, restore(under), 1.0) * p[g.third]
         first = np.concatenate([[0], np.cumsum(g.n_tokens)])[:-1]
         sums = [np.add.reduceat(x, first) for x in (np.log10(base), np.log10(p), (c > 0).astype(np.int64))]
         return pa.table({"doc_id": batch.column("doc_id"), "trained": batch.column("trained"), "n_tokens": pa.array(g.n_tokens), "n_known": pa.array(sums[2]), "train_tokens": pa.array(np.full(batch.num_rows, n_all, np.int64)), "base_score": pa.array(sums[0]), "score": pa.array(sums[1])})
@@ -253,11 +426,11 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
 
 
 def _frequent(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words to split into several contexts, sorted, and into how many, from the words of all chunks.
+    """Hashes of words and pairs to split into several contexts, sorted, and into how many, from those of all chunks.
 
-    A chunk names the words that are more frequent in it, by its bytes, than `limit` would be in all text. The chunks
-    that don't name a word have less than `limit` of it together, so that a word of twice as many tokens is split
-    wherever it stands. At most one word in `limit` tokens is split. Only the layout of the exchange follows from
+    A chunk names the words and pairs that are more frequent in it, by its bytes, than `limit` would be in all text. The chunks
+    that don't name one have less than `limit` of it together, so that one of twice as many tokens is split
+    wherever it stands. At most one word and one pair in `limit` tokens are split. Only the layout of the exchange follows from
     this; any choice gives the same scores.
     """
     limit = max(FAN_TOKENS, total >> 20)
@@ -266,7 +439,10 @@ def _frequent(chunks: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             for payload in batch.column("payload"):
                 values = to_bytes(unpack_chunk(payload.as_buffer()).column("text"))
-                word, n = np.unique(tokens(values)[0], return_counts=True)
+                h, text, _ = tokens(values)
+                begins = np.ones(len(text), bool)
+                begins[1:] = text[1:] != text[:-1]
+                word, n = np.unique(np.concatenate([h, pair_hash(_before(h, begins), h)]), return_counts=True)
                 keep = n * max(1, total) >= limit * sum(map(len, values))
                 yield pa.RecordBatch.from_arrays([pa.array(word[keep].view(np.int64)), pa.array(n[keep])], names=["word", "n"])
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -561,30 +562,82 @@ def test_chat_parts_are_flattened_in_order(spark):
 def test_language_model(docs, empty, monkeypatch, sizes):
     for name, x in zip(("CHUNK_BYTES", "BUCKET_BYTES", "FAN_TOKENS"), sizes):
         monkeypatch.setattr(ngram_lm, name, x)
+    check_language_model(docs)
+    assert ngram_lm.score_documents(empty, "doc_id % 7 <> 2").count() == 0
+
+
+def test_language_model_of_a_frequent_pair(spark, monkeypatch):
+    for name, x in zip(("CHUNK_BYTES", "BUCKET_BYTES", "FAN_TOKENS"), (3_000, 2_000, 60)):
+        monkeypatch.setattr(ngram_lm, name, x)
+    rng = random.Random(3)
+    texts = [" ".join(f"New york w{rng.randrange(300)}" for _ in range(rng.randrange(1, 80))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate([*texts, *texts[:5], "york", "new", ""])), "doc_id long, text string").repartition(5)
+    check_language_model(df)
+
+
+def check_language_model(df):
     rule = "doc_id % 7 <> 2"
-    rows = [(r.doc_id, [*WORD.findall(lower(utf8(r.text))), None], r.doc_id is not None and r.doc_id % 7 != 2) for r in docs.collect()]
+    rows = [(r.doc_id, [*WORD.findall(lower(utf8(r.text))), None], r.doc_id is not None and r.doc_id % 7 != 2) for r in df.collect()]
     c = Counter(w for _, ws, t in rows if t for w in ws)
     pairs = Counter(p for _, ws, t in rows if t for p in zip([None, *ws], ws))
+    triples = Counter(p for _, ws, t in rows if t for p in zip([None, *ws], ws, ws[1:]))
     n, v = sum(c.values()), len(c)
-    got = ngram_lm.score_documents(docs, rule).collect()
+    got = ngram_lm.score_documents(df, rule).collect()
     key = lambda d, t, k: (-1 if d is None else d, t, k)
     expected = []
+    one, two = ngram_lm.PRIORS
     for d, ws, t in rows:
         base = [(c[w] + 1) / (n + v + 1) for w in ws]
-        full = [(pairs[a, w] + ngram_lm.PRIOR * p) / (c[a] + ngram_lm.PRIOR) for a, w, p in zip([None, *ws], ws, base)]
+        full = [(pairs[a, w] + one * p) / (c[a] + one) for a, w, p in zip([None, *ws], ws, base)]
+        full[1:] = [(triples[a, b, w] + two * p) / (pairs[a, b] + two) for a, b, w, p in zip([None, *ws], ws, ws[1:], full[1:])]
         expected.append((key(d, t, len(ws)), sum(c[w] > 0 for w in ws), sum(map(math.log10, base)), sum(map(math.log10, full))))
     found = [(key(r.doc_id, r.trained, r.n_tokens), r.n_known, r.base_score, r.score) for r in got]
     for a, b in zip(sorted(expected), sorted(found), strict=True):
-        assert a[:2] == b[:2] and b[2] == pytest.approx(a[2], rel=1e-9) and b[3] == pytest.approx(a[3], rel=2e-3, abs=1e-3)
+        assert a[:2] == b[:2] and b[2] == pytest.approx(a[2], rel=1e-9) and b[3] == pytest.approx(a[3], rel=1e-9, abs=a[0][2] / ngram_lm.STEPS)  # half a step each for a share and a weight
     assert all(r.train_tokens == n for r in got)
-    assert ngram_lm.score_documents(empty, rule).count() == 0
 
 
-@pytest.mark.parametrize("top", [1, 50, 2**45])
+@pytest.mark.parametrize("top", [1, 50, 2**45, 2**64 - 1])
 def test_elias_fano(top):
-    for n in (0, 1, 7, 500):
-        x = np.sort(np.random.default_rng(n).integers(0, top, n).astype(np.uint64))
-        assert (ngram_lm.EliasFano.decode(np.frombuffer(ngram_lm.EliasFano.encode(x), np.uint8)) == x).all()
+    for n in (0, 1, 7, 500, 40_000):
+        rng = np.random.default_rng(n)
+        x = np.sort(rng.integers(0, top, n, np.uint64, endpoint=True))
+        packed = ngram_lm.EliasFano(np.frombuffer(ngram_lm.EliasFano.encode(x), np.uint8))
+        assert (packed.access(np.arange(n)) == x).all()
+        asked = np.concatenate([x, rng.integers(0, top, 500, np.uint64, endpoint=True), np.array([0, top], np.uint64)])
+        begin, end = np.sort(rng.integers(0, n + 1, (2, len(asked))), axis=0)
+        want = [next((i for i in (np.searchsorted(x[b:e], v) + b,) if i < e and x[i] == v), -1) for b, e, v in zip(begin, end, asked)]
+        assert packed.find(begin, end, asked).tolist() == want
+
+
+def test_trie_is_queried_as_it_is_packed(monkeypatch):
+    rng = np.random.default_rng(1)
+    context = np.unique(rng.integers(0, 2**64, 20_000, np.uint64))
+    successors = lambda n, m: np.divmod(np.unique(rng.integers(0, n << 40, m)), 1 << 40)
+    owner, pair = successors(len(context), 60_000)
+    owner3, triple = successors(len(pair), 90_000)
+    count, pairs, triples = (rng.integers(0, 9, len(x)) for x in (context, pair, triple))
+    count[owner[pairs > 0]] += 1
+    pairs[owner3[triples > 0]] += 1
+    count[owner[pairs > 0]] += 1
+    trie = ngram_lm.Trie.build(context, count, (owner, pair.astype(np.uint64), pairs), (owner3, triple.astype(np.uint64), triples))
+    sequences = [trie.contexts, *trie.pointers.values(), *trie.levels.values()]
+    assert sum(s.ones.nbytes + s.zeros.nbytes for s in sequences) < 12 * sum(s.n for s in sequences) / 8
+    assert all(not x.flags.owndata for s in sequences for x in (s.bits, s.high)) and not trie.counts.flags.owndata
+    rank = trie.find_contexts(context)
+    assert ((rank >= 0) == (count > 0)).all() and (trie.counts[rank[rank >= 0]] == count[count > 0]).all()
+    rank2 = trie.find_successors(2, rank, owner, pair.astype(np.uint64))
+    assert ((rank2 >= 0) == (pairs > 0)).all()
+    rank3 = trie.find_successors(3, rank2, owner3, triple.astype(np.uint64))
+    assert ((rank3 >= 0) == (triples > 0)).all()
+    share = ngram_lm.restore(trie.shares[3][rank3[triples > 0]])
+    assert share == pytest.approx(triples[triples > 0] / (pairs[owner3[triples > 0]] + ngram_lm.PRIORS[1]), rel=3e-4)
+    read = []
+    whole = ngram_lm.EliasFano.low_bits
+    monkeypatch.setattr(ngram_lm.EliasFano, "low_bits", lambda self, i: read.append(len(i)) or whole(self, i))
+    at = int(np.flatnonzero(triples > 0)[0])
+    trie.find_successors(3, trie.find_successors(2, trie.find_contexts(context[owner[owner3[at]]][None]), np.zeros(1, int), pair[owner3[at]][None].astype(np.uint64)), np.zeros(1, int), triple[at][None].astype(np.uint64))
+    assert 0 < sum(read) < 60  # of 170,000 values
 
 
 # language identification
