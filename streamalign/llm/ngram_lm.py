@@ -16,7 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Texts, at8, map_arrow, mix, pack_chunks, pair_hash, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, map_arrow, mix, pack_chunks, pair_hash, release, ship, span_hash, stage, text_bytes, to_bytes, unpack_chunk
 
 CHUNK_BYTES, BUCKET_BYTES = 5 << 20, 4 << 20
 #: Tokens of a word or pair per context that it is split into.
@@ -30,9 +30,8 @@ BLOCK = 1 << 15
 
 _SENTENCE = np.uint64(0x5EED0000000000E5)
 _K = np.uint64(0x9E3779B97F4A7C15)
-#: Bits of a successor's hash that a chunk sends.
-SUCCESSOR_BITS = 46
-_SENT = np.uint64((1 << SUCCESSOR_BITS) - 1)
+#: Bits of a successor's hash in a word's and in a pair's context. Only successors of one context are told apart by them.
+SUCCESSOR_BITS = {2: 40, 3: 32}
 #: Marks the count of a context that is a part of a frequent word or pair.
 _PART = np.uint32(1 << 31)
 
@@ -270,7 +269,7 @@ class _Grams:
         second = self.word[at_pair[first]][of_pair]
         p, pair, self.pair_counts = _distinct(np.concatenate([owner << 32 | self.word, pair_part << 32 | second]), np.concatenate([learns, hot_count[of_pair]]))
         self.pair = pair[: len(h)]
-        self.successor = self.names[p & 0xFFFFFFFF] & _SENT
+        self.successor = self.names[p & 0xFFFFFFFF] & np.uint64((1 << SUCCESSOR_BITS[2]) - 1)
         self.each = np.bincount(p >> 32, minlength=len(names))
         self.upto = np.concatenate([[0], np.cumsum(self.each)])
         # triples, by pair, then by the word's rank
@@ -281,7 +280,7 @@ class _Grams:
         name = mix(pair_name[i - 1] + ((h[i] >> np.uint64(47)) % n_pair[i - 1] + np.uint64(1)) * _K)
         under[split] = np.searchsorted(p, rank[np.searchsorted(names, name)] << 32 | self.word[i - 1])
         t, self.triple, self.triple_counts = _distinct(under << 32 | self.word[self.third], learns[self.third])
-        self.successor3 = self.names[t & 0xFFFFFFFF] & _SENT
+        self.successor3 = self.names[t & 0xFFFFFFFF] & np.uint64((1 << SUCCESSOR_BITS[3]) - 1)
         self.each3 = np.bincount(t >> 32, minlength=len(p))
         self.upto3 = np.concatenate([[0], np.cumsum(self.each3)])
         self.context_word = np.where(self.begins, -1, np.concatenate([self.word[:1], self.word[:-1]]))
@@ -295,9 +294,25 @@ class _Grams:
             lo, hi = self.bounds[b], self.bounds[b + 1]
             a, z = self.upto[lo], self.upto[hi]
             y, x = self.upto3[a], self.upto3[z]
-            w = np.concatenate([self.successor[a:z], self.successor3[y:x]])
-            small = pack(b"".join(v.astype("<u4").tobytes() for v in (marked[lo:hi], self.each[lo:hi], self.pair_counts[a:z], self.each3[a:z], self.triple_counts[y:x])))
-            yield int(b), np.array([hi - lo, z - a, x - y], "<u8").tobytes() + self.names[lo:hi].tobytes() + w.astype("<u4").tobytes() + (w >> np.uint64(32)).astype("<u2").tobytes() + small
+            w = self.successor[a:z]
+            small = pack(b"".join(_planes(v.astype("<u4")) for v in (marked[lo:hi], self.each[lo:hi], self.pair_counts[a:z], self.each3[a:z], self.triple_counts[y:x])))
+            parts = (self.names[lo:hi], w.astype("<u4"), (w >> np.uint64(32)).astype("u1"), self.successor3[y:x].astype("<u4"))
+            yield int(b), np.array([hi - lo, z - a, x - y], "<u8").tobytes() + b"".join(v.tobytes() for v in parts) + small
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on, which compresses better."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, sizes: list[int], kinds: list[str]) -> list[np.ndarray]:
+    """Arrays of these sizes and kinds, written by _planes one after the other."""
+    out, at = [], 0
+    for n, kind in zip(sizes, kinds, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
 
 
 def _before(h: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -320,18 +335,17 @@ def tokens(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _open_blob(data: bytes) -> tuple[np.ndarray, ...]:
     """What a chunk sent to a bucket: names, counts, pairs of each, successors, counts; triples of each pair, successors, counts."""
     n, m, t = (int(x) for x in np.frombuffer(data, "<u8", 3))
-    names, at = np.frombuffer(data, "<u8", n, 24), 24 + 8 * n
-    low, high = np.frombuffer(data, "<u4", m + t, at), np.frombuffer(data, "<u2", m + t, at + 4 * (m + t))
-    w = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
-    rest = np.frombuffer(zstandard.ZstdDecompressor().decompress(memoryview(data)[at + 6 * (m + t) :]), "<u4")
-    counts, each, pairs, each3, triples = np.split(rest, np.cumsum([n, n, m, m]))
-    return names, counts, each, w[:m], pairs, each3, w[m:], triples
+    at = 24 + np.cumsum([0, 8 * n, 4 * m, m, 4 * t])
+    names, low, high, third = (np.frombuffer(data, kind, k, i) for kind, k, i in zip(("<u8", "<u4", "u1", "<u4"), (n, m, m, t), at))
+    small = zstandard.ZstdDecompressor().decompress(memoryview(data)[at[4] :])
+    counts, each, pairs, each3, triples = _from_planes(small, [n, n, m, m, t], ["<u4"] * 5)
+    return names, counts, each, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), pairs, each3, third.astype(np.uint64), triples
 
 
-def _under(owner: np.ndarray, n: int, successor: np.ndarray) -> tuple[np.ndarray, int]:
+def _under(level: int, owner: np.ndarray, n: int, successor: np.ndarray) -> tuple[np.ndarray, int]:
     """Owner (one of n) and successor in one number each, and how many bits the successor has in it."""
-    bits = min(SUCCESSOR_BITS, 63 - n.bit_length())
-    return owner.astype(np.uint64) << np.uint64(bits) | successor >> np.uint64(SUCCESSOR_BITS - bits), bits
+    bits = min(SUCCESSOR_BITS[level], 63 - n.bit_length())
+    return owner.astype(np.uint64) << np.uint64(bits) | successor >> np.uint64(SUCCESSOR_BITS[level] - bits), bits
 
 
 def answer(table: pa.Table) -> pa.Table:
@@ -346,9 +360,9 @@ def answer(table: pa.Table) -> pa.Table:
     is_part = np.zeros(len(contexts), bool)
     is_part[place[counts & _PART > 0]] = True
     total = np.bincount(place, counts & ~_PART, len(contexts)).astype(np.int64)
-    key, bits = _under(np.repeat(place, each), len(contexts), successor)
+    key, bits = _under(2, np.repeat(place, each), len(contexts), successor)
     key, pair, pairs = _distinct(key, pairs.astype(np.int64))
-    key3, bits3 = _under(np.repeat(pair, each3), len(key), successor3)
+    key3, bits3 = _under(3, np.repeat(pair, each3), len(key), successor3)
     key3, triple, triples = _distinct(key3, triples.astype(np.int64))
     owner, successor = (key >> np.uint64(bits)).astype(np.int64), key & np.uint64((1 << bits) - 1)
     owner3, successor3 = (key3 >> np.uint64(bits3)).astype(np.int64), key3 & np.uint64((1 << bits3) - 1)
@@ -360,7 +374,7 @@ def answer(table: pa.Table) -> pa.Table:
     cuts = [np.cumsum([len(s[k]) for s in sent])[:-1] for k in (0, 3, 3, 6)]
     pack = zstandard.ZstdCompressor(level=1).compress
     blobs = [f"{total[~is_part].sum()} {(total[~is_part] > 0).sum()}".encode()]
-    blobs += [pack(b"".join(x.tobytes() for x in one)) for one in zip(*(np.split(x, cut) for x, cut in zip(found, cuts)))]
+    blobs += [pack(b"".join(map(_planes, one))) for one in zip(*(np.split(x, cut) for x, cut in zip(found, cuts)))]
     buckets, chunks = table.column("bucket").to_pylist(), table.column("chunk_id").to_pylist()
     return pa.table({"bucket": pa.array([buckets[0], *buckets], pa.int32()), "chunk_id": pa.array([-1, *chunks], pa.int64()), "kind": pa.array([0] + [1] * len(sent), pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
@@ -396,6 +410,8 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
 
     sent = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
     answers = stage(sent.groupBy("bucket").applyInArrow(answer, "bucket int, chunk_id bigint, kind int, blob binary"), "lm-answers")
+    del sent
+    release(docs.sparkSession)
     both = F.split(F.col("blob").cast("string"), " ")
     totals = answers.filter("kind = 0").select(both[0].cast("long").alias("n"), both[1].cast("long").alias("v"))
     n_all, v_all = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
@@ -407,8 +423,8 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
             lo, hi = g.bounds[b], g.bounds[b + 1]
             a, z = g.upto[lo], g.upto[hi]
             raw = zstandard.ZstdDecompressor().decompress(blob)
-            count[lo:hi] = np.frombuffer(raw, "<u8", hi - lo)
-            share[a:z], weight[a:z], share3[g.upto3[a] : g.upto3[z]] = np.split(np.frombuffer(raw, "<u2", -1, 8 * (hi - lo)), [z - a, 2 * (z - a)])
+            n3 = g.upto3[z] - g.upto3[a]
+            count[lo:hi], share[a:z], weight[a:z], share3[g.upto3[a] : g.upto3[z]] = _from_planes(raw, [hi - lo, z - a, z - a, n3], ["<u8", "<u2", "<u2", "<u2"])
         c = count[g.word]
         base = (c + 1) / (n_all + v_all + 1)
         before = count[np.where(g.begins, g.sentence, g.context_word)]
