@@ -253,8 +253,10 @@ class _Grams:
         key = np.where(n_word > 0, part_of(before, n_word), before)
         # names: words, contexts of pairs, and all parts of what is split
         names, place = np.unique(np.concatenate([h, key, word_parts, pair_parts]), return_inverse=True)
-        bucket = (mix(names.copy()) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)
+        mixed = mix(names.copy())
+        bucket = (mixed >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)
         order = np.argsort(bucket, kind="stable")
+        mixed = mixed[order]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.word, owner, word_part, pair_part = np.split(rank[place], np.cumsum([len(h), len(key), len(word_parts)]))
@@ -269,7 +271,7 @@ class _Grams:
         second = self.word[at_pair[first]][of_pair]
         p, pair, self.pair_counts = _distinct(np.concatenate([owner << 32 | self.word, pair_part << 32 | second]), np.concatenate([learns, hot_count[of_pair]]))
         self.pair = pair[: len(h)]
-        self.successor = self.names[p & 0xFFFFFFFF] & np.uint64((1 << SUCCESSOR_BITS[2]) - 1)
+        self.successor = mixed[p & 0xFFFFFFFF] >> np.uint64(64 - SUCCESSOR_BITS[2])
         self.each = np.bincount(p >> 32, minlength=len(names))
         self.upto = np.concatenate([[0], np.cumsum(self.each)])
         # triples, by pair, then by the word's rank
@@ -280,7 +282,7 @@ class _Grams:
         name = mix(pair_name[i - 1] + ((h[i] >> np.uint64(47)) % n_pair[i - 1] + np.uint64(1)) * _K)
         under[split] = np.searchsorted(p, rank[np.searchsorted(names, name)] << 32 | self.word[i - 1])
         t, self.triple, self.triple_counts = _distinct(under << 32 | self.word[self.third], learns[self.third])
-        self.successor3 = self.names[t & 0xFFFFFFFF] & np.uint64((1 << SUCCESSOR_BITS[3]) - 1)
+        self.successor3 = mixed[t & 0xFFFFFFFF] >> np.uint64(64 - SUCCESSOR_BITS[3])
         self.each3 = np.bincount(t >> 32, minlength=len(p))
         self.upto3 = np.concatenate([[0], np.cumsum(self.each3)])
         self.context_word = np.where(self.begins, -1, np.concatenate([self.word[:1], self.word[:-1]]))
@@ -296,8 +298,15 @@ class _Grams:
             y, x = self.upto3[a], self.upto3[z]
             w = self.successor[a:z]
             small = pack(b"".join(_planes(v.astype("<u4")) for v in (marked[lo:hi], self.each[lo:hi], self.pair_counts[a:z], self.each3[a:z], self.triple_counts[y:x])))
-            parts = (self.names[lo:hi], w.astype("<u4"), (w >> np.uint64(32)).astype("u1"), self.successor3[y:x].astype("<u4"))
-            yield int(b), np.array([hi - lo, z - a, x - y], "<u8").tobytes() + b"".join(v.tobytes() for v in parts) + small
+            names = self.names[lo:hi]
+            tops = pack(_steps(names >> np.uint64(56)) + _steps(w >> np.uint64(32)))
+            seven = names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+            yield int(b), np.array([hi - lo, z - a, x - y, len(small)], "<u8").tobytes() + b"".join(v.tobytes() for v in (w.astype("<u4"), self.successor3[y:x].astype("<u4"), seven)) + small + tops
+
+
+def _steps(top: np.ndarray) -> bytes:
+    """Differences of consecutive bytes, which are mostly small: names of a bucket are in order, and successors nearly."""
+    return np.diff(top.astype(np.uint8), prepend=np.uint8(0)).tobytes()
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -334,12 +343,15 @@ def tokens(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _open_blob(data: bytes) -> tuple[np.ndarray, ...]:
     """What a chunk sent to a bucket: names, counts, pairs of each, successors, counts; triples of each pair, successors, counts."""
-    n, m, t = (int(x) for x in np.frombuffer(data, "<u8", 3))
-    at = 24 + np.cumsum([0, 8 * n, 4 * m, m, 4 * t])
-    names, low, high, third = (np.frombuffer(data, kind, k, i) for kind, k, i in zip(("<u8", "<u4", "u1", "<u4"), (n, m, m, t), at))
-    small = zstandard.ZstdDecompressor().decompress(memoryview(data)[at[4] :])
-    counts, each, pairs, each3, triples = _from_planes(small, [n, n, m, m, t], ["<u4"] * 5)
-    return names, counts, each, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), pairs, each3, third.astype(np.uint64), triples
+    n, m, t, size = (int(x) for x in np.frombuffer(data, "<u8", 4))
+    at = 32 + np.cumsum([0, 4 * m, 4 * t, 7 * n, size])
+    unpack = zstandard.ZstdDecompressor().decompress
+    low, third = np.frombuffer(data, "<u4", m, at[0]).astype(np.uint64), np.frombuffer(data, "<u4", t, at[1]).astype(np.uint64)
+    counts, each, pairs, each3, triples = _from_planes(unpack(memoryview(data)[at[3] : at[4]]), [n, n, m, m, t], ["<u4"] * 5)
+    name_tops, tops = (np.cumsum(x, dtype=np.uint8) for x in np.split(np.frombuffer(unpack(memoryview(data)[at[4] :]), np.uint8), [n]))
+    octets = np.column_stack([np.frombuffer(data, np.uint8, 7 * n, at[2]).reshape(n, 7), name_tops])
+    names = np.ascontiguousarray(octets).view("<u8").ravel()
+    return names, counts, each, low | tops.astype(np.uint64) << np.uint64(32), pairs, each3, third, triples
 
 
 def _under(level: int, owner: np.ndarray, n: int, successor: np.ndarray) -> tuple[np.ndarray, int]:
@@ -411,10 +423,10 @@ def score_documents(docs: DataFrame, train: str) -> DataFrame:
     sent = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
     answers = stage(sent.groupBy("bucket").applyInArrow(answer, "bucket int, chunk_id bigint, kind int, blob binary"), "lm-answers")
     del sent
-    release(docs.sparkSession)
     both = F.split(F.col("blob").cast("string"), " ")
     totals = answers.filter("kind = 0").select(both[0].cast("long").alias("n"), both[1].cast("long").alias("v"))
     n_all, v_all = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    release(docs.sparkSession)  # after another job, since Spark holds on to the last one
 
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
         batch, g = grams(left.column("payload")[0].as_buffer())
