@@ -7,6 +7,9 @@ the transform of all text. Only common prefixes of `length` bytes matter here, s
 the stretches around an anchor that cover all windows of `length` bytes belonging to it. The anchor of a window is
 the least of the hashes of its GRAM-byte strings, the leftmost of equals: equal windows have it at the same place, so
 all copies of a window meet in the bucket of the anchor's hash. A bucket is one sequential file of the method.
+
+The windows of a frequent anchor are dealt out further, to buckets that follow from where they have the anchor and
+from the bytes around it, so that an anchor that stands in very many different places is no single task.
 """
 
 from __future__ import annotations
@@ -17,19 +20,23 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType, StructType
 
-from .common import Texts, at8, batches_up_to, give_back, map_arrow, mix, pack_chunks, plain_names, ship, span_hash, stage, stage_by, text_bytes, to_bytes, unpack_chunk
+from .common import Texts, at8, batches_up_to, give_back, map_arrow, mix, pack_chunks, pair_hash, plain_names, ship, span_hash, stage, stage_by, text_bytes, to_bytes, unpack_chunk, unused
 
 GRAM = 16
 #: Text in one chunk, whose repeats are joined before anything is sent, and per bucket on average.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: Rows that become chunks come in Arrow batches of this size, a multiple of a chunk's.
 BATCH = "16m"
+#: An anchor is frequent from HOT on, a chunk that has it counting 1, or MANY if it has it that often.
+HOT, MANY = 1024, 64
+#: Ranges of places in a window that a frequent anchor is split by.
+PARTS = 4
 _SLICE = 1 << 19
 _POS = np.uint64((1 << 28) - 1)
-_ONE = np.uint64(1)
+_SEVERAL, _MANY, _FLAGS = np.uint64(1), np.uint64(2), np.uint64(3)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _NULL_ID = np.iinfo(np.int64).max
 
@@ -68,15 +75,16 @@ def _anchors(t: Texts, length: int) -> tuple[np.ndarray, ...]:
 
 
 def _by_bucket(key: np.ndarray, text: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys ordered by bucket and key, whether several texts have each, and where each bucket begins."""
+    """Distinct keys ordered by bucket and key, flags (several texts have it, it is there MANY times), and where buckets begin."""
     order = np.argsort(key)
     k, x = key[order], text[order]
     new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
     several = np.minimum.reduceat(x, new) != np.maximum.reduceat(x, new) if len(k) else np.zeros(0, bool)
+    flags = np.where(several, _SEVERAL, np.uint64(0)) | np.where(np.diff(np.append(new, len(k))) >= MANY, _MANY, np.uint64(0))
     distinct = k[new]
     bucket = _bucket(distinct, n_buckets)
     order = np.argsort(bucket, kind="stable")
-    return distinct[order], several[order], np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+    return distinct[order], flags[order], np.searchsorted(bucket[order], np.arange(n_buckets + 1))
 
 
 def _bucket(key: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -89,21 +97,21 @@ def _blobs(bounds: np.ndarray, chunk: int, columns: list[np.ndarray], name: str)
     return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), chunk)), pa.array(blobs, pa.binary())], names=["bucket", "chunk_id", name])
 
 
-def shared_keys(table: pa.Table) -> pa.Table:
-    """For one bucket, which keys of each chunk occur in several texts, as a bit for each key that it sent.
+def shared_keys(table: pa.Table, hot_from: int = HOT) -> pa.Table:
+    """For one bucket, which keys of each chunk occur in several texts and which are frequent, two bits for each key that it sent.
 
-    A key is sent as 31 bits and one for whether the chunk itself has it in several texts; keys that agree by chance
-    are only looked at in vain.
+    A key is sent as 30 bits and two flags of the chunk's own; keys that agree by chance are only looked at in vain.
     """
     sent = [np.frombuffer(x.as_buffer(), dtype="<u4").astype(np.uint64) for x in table.column("blob")]
     every = np.concatenate(sent)
     order = np.argsort(every)
     k = every[order]
-    new = np.flatnonzero(np.concatenate([[True], (k[1:] | _ONE) != (k[:-1] | _ONE)]))
+    new = np.flatnonzero(np.concatenate([[True], (k[1:] | _FLAGS) != (k[:-1] | _FLAGS)]))
     count = np.diff(np.append(new, len(k)))
-    shared = (count > 1) | ((k[new] & _ONE) != 0)
-    flag = np.zeros(len(k), dtype=bool)
-    flag[order] = np.repeat(shared, count)
+    shared = (count > 1) | (np.bitwise_or.reduceat(k & _SEVERAL, new) != 0)
+    hot = shared & (np.add.reduceat(np.where(k & _MANY, MANY, 1), new) >= hot_from)
+    flag = np.zeros((len(k), 2), dtype=bool)
+    flag[order] = np.repeat(np.column_stack([shared, hot]), count, axis=0)
     end = np.cumsum([len(x) for x in sent])
     masks = [np.packbits(flag[e - len(x) : e]).tobytes() if flag[e - len(x) : e].any() else None for x, e in zip(sent, end, strict=True)]
     keep = pa.array([m is not None for m in masks])
@@ -157,7 +165,7 @@ def first_documents(table: pa.Table, length: int) -> pa.Table:
     left = body[np.maximum(at[:, None] - 1 - step, 0)]
     orders = _sort_columns(left, k0, k1), _sort_columns(right, k0, k1)
     windows = size - length + 1
-    least = np.zeros((m, span + 1), dtype=np.int64)
+    least = np.zeros((m, int(windows.max())), dtype=np.int64)
     for o in range(span + 1):  # windows that have their anchor after o bytes
         rows = np.flatnonzero((o <= anchor) & (anchor - o < windows))
         if not len(rows):
@@ -193,8 +201,8 @@ _RUN = np.dtype([("stretch", "<u4"), ("from", "u1"), ("upto", "u1"), ("pad", "<u
 _USE = np.dtype([("stretch", "<u4"), ("first", "<u4")])
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("doc_id").cast(pa.int64()).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
+def _ids(batch: pa.RecordBatch, order_by: str) -> np.ndarray:
+    return batch.column(order_by).cast(pa.int64()).fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
 
 
 def _cut_out(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> bytes:
@@ -206,20 +214,38 @@ def _cut_out(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> bytes:
     return b"".join(parts)
 
 
-def _stretches(payload: bytes, chunk: int, masks: pa.Table, length: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _split(t: Texts, first: np.ndarray, count: np.ndarray, anchor: np.ndarray, text: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The runs of windows cut in PARTS by how many bytes they have before the anchor, as _anchors returns runs.
+
+    The key is a hash of all bytes that every window of the part has around the anchor, so equal windows have equal keys.
+    """
+    span = length - GRAM + 1
+    cut = np.arange(PARTS + 1) * span // PARTS
+    out = []
+    for p, (lo, hi) in enumerate(zip(cut[:-1], cut[1:] - 1, strict=True)):
+        most, least = np.minimum(anchor - first, hi), np.maximum(anchor - first - count + 1, lo)
+        on = np.flatnonzero(most >= least)
+        at = anchor[on]
+        key = span_hash(t.buf, at - lo, np.full(len(on), GRAM + lo + span - 1 - hi))
+        out.append((at - most[on], (most - least)[on] + 1, at, pair_hash(key, np.full(len(on), p, np.uint64)), text[on]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _stretches(payload: bytes, chunk: int, masks: pa.Table, length: int, n_buckets: int, order_by: str) -> Iterator[pa.RecordBatch]:
     """The chunk's distinct stretches around shared anchors (kind 0, to their buckets), and where each is (kind 1)."""
     batch = unpack_chunk(payload)
-    t, ids = Texts(to_bytes(batch.column("text"))), _ids(batch)
+    t, ids = Texts(to_bytes(batch.column("text"))), _ids(batch, order_by)
     first, count, anchor, key, text = _anchors(t, length)
-    keys, _, bounds = _by_bucket(key | _ONE, text, n_buckets)
-    shared = np.zeros(len(keys), dtype=bool)
+    keys, _, bounds = _by_bucket(key | _FLAGS, text, n_buckets)
+    told = np.zeros((len(keys), 2), dtype=bool)
     for b, mask in zip(masks.column("bucket").to_pylist(), masks.column("blob"), strict=True):
         n = bounds[b + 1] - bounds[b]
-        shared[bounds[b] : bounds[b + 1]] = np.unpackbits(np.frombuffer(mask.as_buffer(), np.uint8), count=n)
-    on = np.isin(key | _ONE, keys[shared])
-    first, count, anchor, key, text = (x[on] for x in (first, count, anchor, key, text))
+        told[bounds[b] : bounds[b + 1]] = np.unpackbits(np.frombuffer(mask.as_buffer(), np.uint8), count=2 * n).reshape(n, 2)
+    shared, hot = (np.isin(key | _FLAGS, keys[x]) for x in told.T)
+    split = _split(t, first[hot], count[hot], anchor[hot], text[hot], length)
+    first, count, anchor, key, text = (np.concatenate([x[shared & ~hot], y]) for x, y in zip((first, count, anchor, key | _FLAGS, text), split, strict=True))
     size = count + length - 1
-    bucket = _bucket(key | _ONE, n_buckets)
+    bucket = _bucket(key, n_buckets)
     print_ = span_hash(t.buf, first, size)
     order = np.lexsort((print_, bucket))
     same = (bucket[order][1:] == bucket[order][:-1]) & (print_[order][1:] == print_[order][:-1]) & (size[order][1:] == size[order][:-1]) & ((anchor - first)[order][1:] == (anchor - first)[order][:-1])
@@ -271,14 +297,26 @@ def _removed(t: Texts, ids: np.ndarray, rows: pa.Table, length: int) -> np.ndarr
     return np.cumsum(step, out=step)[:-1] > 0
 
 
-def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts, np.ndarray], pa.RecordBatch], schema: str | StructType, length: int = 50) -> DataFrame:
+def _with_order(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a number in the order of doc_id, NULL for NULL; a range-partitioned sort numbers the distinct ids."""
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().sort("doc_id").withColumn(name, F.monotonically_increasing_id())
+    return docs.join(stage(ids, "repeat-order"), "doc_id", "left").select(*docs.columns, name)
+
+
+def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts, np.ndarray], pa.RecordBatch], schema: str | StructType, length: int = 50, hot_from: int = HOT) -> DataFrame:
     """finish(rows, their texts, which bytes of the buffer are removed) for chunks of docs (doc_id, text, any more).
 
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller doc_id. Rows
-    with one doc_id don't remove from each other; a null doc_id counts as the largest. Shorter texts keep all.
+    with one doc_id don't remove from each other; a null doc_id counts as the largest. Shorter texts keep all. Ids that
+    aren't integers are compared in Spark's order of their type. A text has to fit in a task's memory dozens of times over.
     """
     if not 2 * GRAM <= length <= 128:
         raise ValueError("length must be from 32 to 128")
+    names = docs.columns
+    order_by = "doc_id"
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        order_by = unused(names, "__order")
+        docs = _with_order(docs, order_by)
     total = text_bytes(docs)
     n_buckets = 1 + total // BUCKET_BYTES
     with batches_up_to(docs.sparkSession, BATCH):
@@ -290,14 +328,17 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
             for chunk, payload in zip(batch.column("chunk_id").to_pylist(), batch.column("payload"), strict=True):
                 rows = unpack_chunk(payload.as_buffer())
                 *_, key, text = _anchors(Texts(to_bytes(rows.column("text"))), length)
-                keys, several, bounds = _by_bucket(key | _ONE, text, n_buckets)
-                keys = (keys & ~_ONE) | several.astype(np.uint64)
+                keys, flags, bounds = _by_bucket(key | _FLAGS, text, n_buckets)
+                keys = (keys & ~_FLAGS) | flags
                 yield _blobs(bounds, chunk, [keys.astype("<u4")], "blob")
 
+    def look_up(table: pa.Table) -> pa.Table:
+        return shared_keys(table, hot_from)
+
     def stretches(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return empty
-        made = list(_stretches(left.column("payload")[0].as_buffer(), key[0].as_py(), right, length, n_buckets))
+        made = list(_stretches(left.column("payload")[0].as_buffer(), key[0].as_py(), right, length, n_buckets, order_by))
         give_back()
         return pa.Table.from_batches(made) if made else empty
 
@@ -309,14 +350,14 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
     def end(left: pa.Table, right: pa.Table) -> pa.Table:
         batch = unpack_chunk(left.column("payload")[0].as_buffer())
         t = Texts(to_bytes(batch.column("text")))
-        made = pa.Table.from_batches([finish(batch, t, _removed(t, _ids(batch), right, length))])
+        made = pa.Table.from_batches([finish(batch.select(names), t, _removed(t, _ids(batch, order_by), right, length))])
         give_back()
         return made
 
     four = "bucket int, chunk_id bigint, kind int, blob binary"
     empty = pa.table({"bucket": pa.array([], pa.int32()), "chunk_id": pa.array([], pa.int64()), "kind": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
     keys = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
-    masks = keys.groupBy("bucket").applyInArrow(shared_keys, "bucket int, chunk_id bigint, blob binary")
+    masks = keys.groupBy("bucket").applyInArrow(look_up, "bucket int, chunk_id bigint, blob binary")
     made = stage(chunks.groupBy("chunk_id").cogroup(masks.groupBy("chunk_id")).applyInArrow(stretches, four), "repeat-stretches")
     runs = made.filter("kind = 0").groupBy("bucket").applyInArrow(minima, four)
     back = made.filter("kind = 1").unionByName(runs)
@@ -335,8 +376,12 @@ def _spans(t: Texts, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[byt
     return removed, runs, kept
 
 
-def repeat_report(docs: DataFrame, length: int = 50) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document; null text is empty."""
+def repeat_report(docs: DataFrame, length: int = 50, hot_from: int = HOT) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document; null text is empty.
+
+    Repeated rows are reported each; rows with one id (ties) don't remove from each other. See map_without_repeats for
+    null ids, very long texts and the limit of an anchor that is split.
+    """
 
     def finish(batch: pa.RecordBatch, t: Texts, gone: np.ndarray) -> pa.RecordBatch:
         removed, runs, kept = _spans(t, gone)
@@ -344,7 +389,7 @@ def repeat_report(docs: DataFrame, length: int = 50) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(t.len), pa.array(removed), pa.array(runs), sha], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_without_repeats(docs.select("doc_id", "text"), finish, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", length)
+    return map_without_repeats(docs.select("doc_id", "text"), finish, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", length, hot_from)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from streamalign.llm import bpe, chat, langid, media, mixing, ngram_lm, quality, queries, sharding, simhash, suffix_dedup
+from streamalign.llm import bpe, chat, common, langid, media, mixing, ngram_lm, quality, queries, sharding, simhash, suffix_dedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -354,6 +354,40 @@ def test_repeats(docs, empty, monkeypatch, chunk):
     assert suffix_dedup.repeat_report(empty).count() == 0
 
 
+def test_repeats_around_frequent_anchors(spark, docs):
+    rng = np.random.default_rng(8)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    common, tails = letters(30), [letters(40) for _ in range(9)]
+    texts = [letters(25) + common + tails[k % 9] + letters(20) for k in range(400)]  # one anchor in 400 places
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(1000 + k, x) for k, x in enumerate(texts)]
+    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_repeats([(d, utf8(x)) for d, x in rows], 50)
+    for hot_from in (1, 64, 1 << 40):  # all shared anchors are split, those of the planted texts, none
+        got = suffix_dedup.repeat_report(many, hot_from=hot_from).collect()
+        assert Counter(tuple(r) for r in got) == want
+
+
+def test_windows_of_frequent_anchors_are_split_whole():
+    rng = np.random.default_rng(9)
+    t = common.Texts([bytes(rng.integers(97, 99, n).astype(np.uint8)) for n in (49, 50, 51, 300, 4000)])
+    first, count, anchor, key, text = suffix_dedup._anchors(t, 50)
+    split = suffix_dedup._split(t, first, count, anchor, text, 50)
+    windows = lambda f, c, a, x: sorted((w, at, k) for lo, n, at, k in zip(f, c, a, x) for w in range(lo, lo + n))
+    assert windows(first, count, anchor, text) == windows(*split[:3], split[4])
+    keys = {}
+    for lo, n, at, k in zip(*split[:4]):
+        for w in range(lo, lo + n):  # equal windows have their anchor in one place and one key
+            assert keys.setdefault(t.buf[w : w + 50].tobytes(), (at - w, k)) == (at - w, k)
+
+
+def test_repeats_with_text_ids(spark, docs):
+    rows = [(None if r.doc_id is None else f"id {r.doc_id:03}", r.text) for r in docs.collect()]
+    got = suffix_dedup.repeat_report(spark.createDataFrame(rows, "doc_id string, text string").repartition(3)).collect()
+    rank = {d: i for i, d in enumerate(sorted({d for d, _ in rows if d is not None}))}
+    want = brute_repeats([(None if d is None else rank[d], utf8(x)) for d, x in rows], 50)
+    assert Counter((None if r[0] is None else rank[r[0]], *r[1:]) for r in got) == want
+
+
 def test_column_sort_is_a_suffix_order():
     rng = np.random.default_rng(2)
     x = rng.integers(97, 99, (200, 6)).astype(np.uint8)
