@@ -27,6 +27,8 @@ PRIORS = (1000.0, 20.0)
 STEPS = 4096
 #: N-grams that are looked up together.
 BLOCK = 1 << 15
+#: Of zstd, for what is exchanged: the disk that the two exchanges take is scarcer than time.
+LEVEL = 6
 
 _SENTENCE = np.uint64(0x5EED0000000000E5)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -290,7 +292,7 @@ class _Grams:
         self.sentence = int(found[0]) if len(found) else 0
 
     def blobs(self) -> Iterator[tuple[int, bytes]]:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=LEVEL).compress
         marked = self.counts.astype("<u4") | np.where(self.is_part, _PART, np.uint32(0))
         for b in np.flatnonzero(np.diff(self.bounds)):
             lo, hi = self.bounds[b], self.bounds[b + 1]
@@ -384,7 +386,7 @@ def answer(table: pa.Table) -> pa.Table:
     rank3 = trie.find_successors(3, rank2, owner3, successor3)
     found = [_at(trie.counts, rank)[place], _at(trie.shares[2], rank2)[pair], _at(trie.backoff, rank2)[pair], _at(trie.shares[3], rank3)[triple]]
     cuts = [np.cumsum([len(s[k]) for s in sent])[:-1] for k in (0, 3, 3, 6)]
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=LEVEL).compress
     blobs = [f"{total[~is_part].sum()} {(total[~is_part] > 0).sum()}".encode()]
     blobs += [pack(b"".join(map(_planes, one))) for one in zip(*(np.split(x, cut) for x, cut in zip(found, cuts)))]
     buckets, chunks = table.column("bucket").to_pylist(), table.column("chunk_id").to_pylist()
