@@ -782,3 +782,13 @@ def test_held_out_accuracy(spark):
     assert sum(r.kept == (r.quality == 1) for r in judged) >= 0.98 * len(judged)
     scored = queries.op9_ngram_lm(spark, sf).filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert scored.s > scored.b
+
+
+def test_exchanged_ngrams_are_packed_tightly(monkeypatch):
+    from streamalign.llm import ngram_lm
+
+    rng, none = random.Random(3), np.zeros(0, np.uint64)
+    values = [" ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(2000)).encode() for _ in range(40)]
+    sent = [len(x) for _, x in ngram_lm._Grams(values, np.ones(40, bool), none, none, 3).blobs()]
+    monkeypatch.setattr(ngram_lm, "LEVEL", 1)
+    assert sum(sent) < sum(len(x) for _, x in ngram_lm._Grams(values, np.ones(40, bool), none, none, 3).blobs())
