@@ -279,17 +279,32 @@ def schema_with(df: DataFrame, added: str) -> StructType:
     return StructType([StructField(f.name, f.dataType) for f in df.schema if f.name in kept] + new)
 
 
-def pack_chunks(df: DataFrame, chunk_bytes: int) -> DataFrame:
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of small batches in larger ones, with up to `most` bytes of `text`; a larger batch stands alone."""
+    held, total = [], 0
+    for batch in batches:
+        n = batch.column("text").nbytes
+        if held and total + n > most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+        held.append(batch)
+        total += n
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def pack_chunks(df: DataFrame, chunk_bytes: int, gather: bool = False) -> DataFrame:
     """Whole rows of df, with about chunk_bytes of `text` together, as compressed Arrow data: chunk_id, payload.
 
-    The ids follow from the partition and the order in it; write the result before using it twice.
+    The ids follow from the partition and the order in it; write the result before using it twice. gather: a chunk's
+    rows may come in several Arrow batches.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in gathered(batches, chunk_bytes) if gather else batches:
             for lo, hi in groups(to_bytes(batch.column("text")), chunk_bytes):
                 out = pa.BufferOutputStream()
                 with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as stream:

@@ -28,13 +28,13 @@ from .common import Texts, at8, batches_up_to, give_back, map_arrow, mix, pack_c
 GRAM = 16
 #: Text in one chunk, whose repeats are joined before anything is sent, and per bucket on average.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
-#: Rows that become chunks come in Arrow batches of this size, a multiple of a chunk's.
-BATCH = "16m"
+#: Rows and chunks come to Python in Arrow batches of this size; a chunk is made of several.
+BATCH = "2m"
 #: An anchor is frequent from HOT on, a chunk that has it counting 1, or MANY if it has it that often.
 HOT, MANY = 1024, 64
 #: Ranges of places in a window that a frequent anchor is split by.
 PARTS = 4
-_SLICE = 1 << 19
+_SLICE = 1 << 17
 _POS = np.uint64((1 << 28) - 1)
 _SEVERAL, _MANY, _FLAGS = np.uint64(1), np.uint64(2), np.uint64(3)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -48,7 +48,7 @@ def _anchors(t: Texts, length: int) -> tuple[np.ndarray, ...]:
     long = t.len >= length
     ok[t.start[long]] += 1
     np.add.at(ok, t.end[long] - length + 1, -1)
-    ok = np.cumsum(ok, dtype=np.int8).astype(bool)
+    ok = np.cumsum(ok, dtype=np.int8, out=ok).view(bool)
     view = at8(t.buf)
     out: list[list[np.ndarray]] = [[], [], [], []]
     for a in range(0, len(t.buf), _SLICE):
@@ -155,15 +155,14 @@ def first_documents(table: pa.Table, length: int) -> pa.Table:
         bodies.append(raw[4 + n * _SEGMENT.itemsize :])
         counts.append(n)
     head = np.concatenate(heads)
-    body = np.concatenate([*bodies, np.zeros(length + span, np.uint8)])
+    body = np.concatenate([np.zeros(span, np.uint8), *bodies, np.zeros(length + span, np.uint8)])
+    del bodies
     m, size, anchor = len(head), head["size"].astype(np.int64), head["anchor"].astype(np.int64)
-    at = np.cumsum(size) - size + anchor
+    at = span + np.cumsum(size) - size + anchor
     view = at8(body)
     k0, k1 = view[at], view[at + 8]
-    step = np.arange(span)
-    right = body[at[:, None] + GRAM + step]
-    left = body[np.maximum(at[:, None] - 1 - step, 0)]
-    orders = _sort_columns(left, k0, k1), _sort_columns(right, k0, k1)
+    around = np.lib.stride_tricks.sliding_window_view(body, span)
+    orders = _sort_columns(around[at - span][:, ::-1], k0, k1), _sort_columns(around[at + GRAM], k0, k1)
     windows = size - length + 1
     least = np.zeros((m, int(windows.max())), dtype=np.int64)
     for o in range(span + 1):  # windows that have their anchor after o bytes
@@ -320,17 +319,18 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
     total = text_bytes(docs)
     n_buckets = 1 + total // BUCKET_BYTES
     with batches_up_to(docs.sparkSession, BATCH):
-        chunks = stage_by(pack_chunks(docs, CHUNK_BYTES), "repeat_chunks", "chunk_id", 1 + total // (2 * CHUNK_BYTES))
+        chunks = stage_by(pack_chunks(docs, CHUNK_BYTES, gather=True), "repeat_chunks", "chunk_id", 1 + total // (2 * CHUNK_BYTES))
     ship(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload in zip(batch.column("chunk_id").to_pylist(), batch.column("payload"), strict=True):
-                rows = unpack_chunk(payload.as_buffer())
-                *_, key, text = _anchors(Texts(to_bytes(rows.column("text"))), length)
+                *_, key, text = _anchors(Texts(to_bytes(unpack_chunk(payload.as_buffer()).column("text"))), length)
                 keys, flags, bounds = _by_bucket(key | _FLAGS, text, n_buckets)
-                keys = (keys & ~_FLAGS) | flags
-                yield _blobs(bounds, chunk, [keys.astype("<u4")], "blob")
+                keys = ((keys & ~_FLAGS) | flags).astype("<u4")
+                del key, text, flags
+                give_back()
+                yield _blobs(bounds, chunk, [keys], "blob")
 
     def look_up(table: pa.Table) -> pa.Table:
         return shared_keys(table, hot_from)
@@ -358,7 +358,8 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
     empty = pa.table({"bucket": pa.array([], pa.int32()), "chunk_id": pa.array([], pa.int64()), "kind": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
     keys = map_arrow(chunks, send, "bucket int, chunk_id bigint, blob binary")
     masks = keys.groupBy("bucket").applyInArrow(look_up, "bucket int, chunk_id bigint, blob binary")
-    made = stage(chunks.groupBy("chunk_id").cogroup(masks.groupBy("chunk_id")).applyInArrow(stretches, four), "repeat-stretches")
+    with batches_up_to(docs.sparkSession, BATCH):
+        made = stage(chunks.groupBy("chunk_id").cogroup(masks.groupBy("chunk_id")).applyInArrow(stretches, four), "repeat-stretches")
     runs = made.filter("kind = 0").groupBy("bucket").applyInArrow(minima, four)
     back = made.filter("kind = 1").unionByName(runs)
     return chunks.groupBy("chunk_id").cogroup(back.groupBy("chunk_id")).applyInArrow(end, schema)
@@ -366,13 +367,15 @@ def map_without_repeats(docs: DataFrame, finish: Callable[[pa.RecordBatch, Texts
 
 def _spans(t: Texts, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Per text: removed bytes, removed runs, and the bytes that stay."""
-    upto, begins = (np.zeros(len(gone) + 1, dtype=np.int32) for _ in range(2))
-    np.cumsum(gone, out=upto[1:])
-    np.cumsum(gone & ~np.concatenate([[False], gone[:-1]]), out=begins[1:])
-    removed, runs = (x[t.end].astype(np.int64) - x[t.start] for x in (upto, begins))
-    data, kept = t.buf.tobytes(), []
-    for a, b, n in zip(t.start.tolist(), t.end.tolist(), removed.tolist(), strict=True):
-        kept.append(data[a:b] if not n else t.buf[a:b][~gone[a:b]].tobytes())
+    removed, runs = (np.zeros(t.n, dtype=np.int64) for _ in range(2))
+    kept = []
+    for i, (a, b) in enumerate(zip(t.start.tolist(), t.end.tolist(), strict=True)):
+        text, off = t.buf[a:b], gone[a:b]
+        removed[i] = np.count_nonzero(off)
+        if removed[i]:
+            runs[i] = np.count_nonzero(off[1:] & ~off[:-1]) + off[0]
+            text = text[~off]
+        kept.append(text.tobytes())
     return removed, runs, kept
 
 
