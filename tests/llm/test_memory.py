@@ -4,7 +4,10 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
+import corpus_pipeline
 from streamalign.llm import common, suffix_dedup
 
 from .conftest import sentence
@@ -45,3 +48,19 @@ def test_chunks_are_made_of_several_batches(spark):
     assert [(i, x) for b in batches for i, x in zip(*(c.to_pylist() for c in b.columns), strict=True)] == rows
     sizes = [sum(map(len, common.to_bytes(b.column("text")))) for b in batches]
     assert max(sizes) <= 100_000 and min(sizes[:-1]) > 70_000
+
+
+@pytest.mark.parametrize("step", [corpus_pipeline.quality, corpus_pipeline.token_ids])
+def test_stages_hand_small_batches_to_python(spark, monkeypatch, step):
+    monkeypatch.setattr(corpus_pipeline, "train_quality", lambda docs, labels: None)
+    monkeypatch.setattr(corpus_pipeline, "keep_good", lambda docs, model: docs)
+    docs = spark.createDataFrame([(k, "s", "word " * 2000) for k in range(800)], "doc_id long, source string, text string").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    with common.batches_up_to(spark, "256m"):  # what a session has by default; it is put back afterwards
+        step(spark, docs, "/root/testdata/sf0.001")
+        found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 8_000_000 and max(found) < 3_000_000
