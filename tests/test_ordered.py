@@ -144,3 +144,13 @@ def test_islands_over_stretches(spark, monkeypatch):
             several = sum(r[0] == name for r in runs) > 1
             expected.append((s, e, name, min(x[0] for x in spans), max(x[1] for x in spans), len(spans), f"{name} {seen[name]}" if several else name))
     assert got == sorted(expected)
+
+
+@pytest.mark.parametrize("width", [None, 2.0])
+def test_tied_samples_give_the_last_recorded(spark, width):
+    # five samples at each of four times; the one recorded last counts, and it has no value at time 2
+    tied = [(1, 5 * int(t) + n, t, None if (t, n) == (2.0, 4) else 10 * t + n) for t in (0.0, 1.0, 2.0, 5.0) for n in (3, 0, 4, 1, 2)]
+    series = spark.createDataFrame(tied, "s long, ord long, t double, y double").repartition(5)
+    asked = spark.createDataFrame([(1, float(t)) for t in (0, 0.5, 1, 1.5, 2, 3, 5)], "s long, t double")
+    found = interp.interpolate_supported(asked, series, ["s"], "t", "y", 9.0, width, "ord")
+    assert [r.value_at for r in sorted(found.collect(), key=lambda r: r.t)] == [4.0, 9.0, 14.0, None, None, None, 54.0]
