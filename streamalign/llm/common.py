@@ -7,16 +7,16 @@ import gc
 import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..functions.shipped import ship as ship
+
 #: A word is a longest run of characters outside this class.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,23 +111,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, once per application, in case it isn't installed there."""
-    context = spark.sparkContext
-    package = Path(__file__).resolve().parent.parent
-    if context.applicationId in _shipped or not package.is_dir():
-        return
-    file = os.path.join(tempfile.mkdtemp(prefix="spark-"), f"{package.name}.zip")
-    with zipfile.ZipFile(file, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(file)
-    _shipped.add(context.applicationId)
-
-
 def give_back() -> None:
     """Returns to the machine what this Python worker has freed, since Spark keeps workers for later stages."""
     pa.default_memory_pool().release_unused()
