@@ -72,7 +72,22 @@ def test_event_medians(given):
     same(got, ["ord_w", "roi", "bin"], "z", z)
 
 
-NO_PAIRS = "a7_peri_event_z a7_peri_event_z_planes"
+def test_responses(given):
+    w, s, windows_, samples = given
+    events = [(*x[:4], x[3] + 1) for x in w if x[3] is not None]
+    of = lambda lo, hi: {k: median(v) if v else None for k, v in grouped(((x[0], x[2], y[0], y[1]), y[3]) for x, y in pairs(events, s, lo, hi)).items()}
+    base, answer = of(-5.0, 0.0), of(0.0, 10.0)
+    less = lambda a, b: None if a is None or b is None else a - b
+    got = response.tuning_responses(windows_.distinct(), samples, ["plane"], ["plane", "roi"], 10.0, (0.0, 10.0), (-5.0, 0.0))
+    same(got, ["ord_w", "plane", "roi"], "response", {(k[0], *k[2:]): less(answer[k], base[k]) for k in answer.keys() & base.keys()})
+    m = {k: median(v) if v else None for k, v in grouped(((x[0], x[2], y[0], y[1], math.floor((y[2] - x[3] + 10) / 2.5)), y[3]) for x, y in pairs(events, s, -10.0, 10.0)).items()}
+    by = grouped((k[1:], less(v, base.get(k[:4]))) for k, v in m.items())
+    got = response.peri_event_tuning(windows_, samples, ["plane"], ["plane", "roi"], ["g"], (-10.0, 10.0), 2.5, (-5.0, 0.0))
+    same(got, ["g", "plane", "roi", "bin"], "mean", {k: fmean(v) if v else None for k, v in by.items()})
+    same(got, ["g", "plane", "roi", "bin"], "n", {k: len(v) for k, v in by.items()})
+
+
+NO_PAIRS = "a7_peri_event_z a7_peri_event_z_planes a8_peri_event a8_peri_event_blocks"
 
 
 @pytest.mark.parametrize("name", NO_PAIRS.split())
