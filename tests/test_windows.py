@@ -60,6 +60,12 @@ def test_medians_of_ranges():
     assert windows.medians(v[:0], lo[:0], hi[:0]).shape == (0, 3)
 
 
+def test_window_medians(given):
+    w, s, windows_, samples = given
+    expected = {k: median(v) if v else None for k, v in grouped(((x[0], y[1]), y[3]) for x, y in pairs(w, s)).items()}
+    same(windows.window_medians(windows_, samples, ["plane"], ["roi"], ["ord_w"], "dff"), ["ord_w", "roi"], "median", expected)
+
+
 def test_event_medians(given):
     w, s, windows_, samples = given
     events = [(*x[:4], x[3] + 1) for x in w if x[3] is not None]
@@ -87,7 +93,7 @@ def test_responses(given):
     same(got, ["g", "plane", "roi", "bin"], "n", {k: len(v) for k, v in by.items()})
 
 
-NO_PAIRS = "a7_peri_event_z a7_peri_event_z_planes a8_peri_event a8_peri_event_blocks"
+NO_PAIRS = "a4_window_median a7_peri_event_z a7_peri_event_z_planes a8_peri_event a8_peri_event_blocks"
 
 
 @pytest.mark.parametrize("name", NO_PAIRS.split())
