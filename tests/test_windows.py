@@ -93,7 +93,7 @@ def test_responses(given):
     same(got, ["g", "plane", "roi", "bin"], "n", {k: len(v) for k, v in by.items()})
 
 
-NO_PAIRS = "a4_window_median a7_peri_event_z a7_peri_event_z_planes a8_peri_event a8_peri_event_blocks"
+NO_PAIRS = "a4_window_median a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois"
 
 
 @pytest.mark.parametrize("name", NO_PAIRS.split())
