@@ -66,6 +66,18 @@ def test_window_medians(given):
     same(windows.window_medians(windows_, samples, ["plane"], ["roi"], ["ord_w"], "dff"), ["ord_w", "roi"], "median", expected)
 
 
+@pytest.mark.parametrize("delay", [-3.0, 0.0])
+def test_means_by_position(given, delay):
+    w, s, windows_, samples = given
+    moved = [(*x[:3], x[3] + delay, x[4] + delay) for x in w if x[3] is not None]
+    means = {k: fmean(v) if v else 0.0 for k, v in grouped(((x[0], x[2], y[0], y[1]), y[3]) for x, y in pairs(moved, s)).items()}
+    by = grouped(((g, p, c), m) for (_, g, p, c), m in means.items())
+    field = response.receptive_field(windows_, samples.filter("plane is not null"), ["plane"], ["plane", "roi"], ["g"], delay).filter("n > 0")
+    same(field, ["g", "plane", "roi"], "raw", {k: fmean(v) for k, v in by.items()})
+    sweep = response.onset_sweep(windows_, samples, ["plane"], ["plane", "roi"], ["g"], [7.0, delay]).filter(f"delay = {delay}")
+    same(sweep, ["g", "plane", "roi"], "raw", {k: fmean(v) for k, v in by.items()})
+
+
 def test_event_medians(given):
     w, s, windows_, samples = given
     events = [(*x[:4], x[3] + 1) for x in w if x[3] is not None]
@@ -93,7 +105,7 @@ def test_responses(given):
     same(got, ["g", "plane", "roi", "bin"], "n", {k: len(v) for k, v in by.items()})
 
 
-NO_PAIRS = "a4_window_median a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois"
+NO_PAIRS = "a4_window_median a5_receptive_field a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois j18_onset_sweep"
 
 
 @pytest.mark.parametrize("name", NO_PAIRS.split())
