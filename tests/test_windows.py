@@ -66,6 +66,20 @@ def test_window_medians(given):
     same(windows.window_medians(windows_, samples, ["plane"], ["roi"], ["ord_w"], "dff"), ["ord_w", "roi"], "median", expected)
 
 
+def test_coverage_and_windows_with_samples(given):
+    w, s, windows_, samples = given
+    seen = defaultdict(set)
+    for x, y in pairs(w, s):
+        if y[3] is not None:
+            seen[x[0]].add(math.floor((y[2] - x[3]) / 2.5))
+    got = bins.time_coverage(windows_, samples, ["plane"], ["ord_w"], "dff", 2.5).collect()
+    assert sorted(r.ord_w for r in got) == sorted(x[0] for x in w)
+    length = {x[0]: max(1, math.ceil((x[4] - x[3]) / 2.5)) if x[3] is not None else 1 for x in w}
+    assert {r.ord_w: r.coverage for r in got} == {k: len(seen[k]) / n for k, n in length.items()}
+    hit = {x[0] for x, _ in pairs(w, s)}
+    assert sorted(r.ord_w for r in windows.with_samples(windows_, samples, ["plane"], ["ord_w"]).collect()) == sorted(x[0] for x in w if x[0] in hit)
+
+
 @pytest.mark.parametrize("delay", [-3.0, 0.0])
 def test_means_by_position(given, delay):
     w, s, windows_, samples = given
@@ -105,7 +119,7 @@ def test_responses(given):
     same(got, ["g", "plane", "roi", "bin"], "n", {k: len(v) for k, v in by.items()})
 
 
-NO_PAIRS = "a4_window_median a5_receptive_field a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois j18_onset_sweep"
+NO_PAIRS = "a4_window_median a5_receptive_field a6_time_coverage a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois j18_onset_sweep j19_windows_with_samples"
 
 
 @pytest.mark.parametrize("name", NO_PAIRS.split())
