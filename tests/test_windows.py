@@ -66,6 +66,12 @@ def test_window_medians(given):
     same(windows.window_medians(windows_, samples, ["plane"], ["roi"], ["ord_w"], "dff"), ["ord_w", "roi"], "median", expected)
 
 
+def test_bin_means(given):
+    w, s, windows_, samples = given
+    found = grouped(((x[0], y[1], math.floor((y[2] - x[3]) / 2.5)), y[3]) for x, y in pairs(w, s))
+    same(bins.bin_repeat(samples, windows_, ["plane"], ["roi"], ["ord_w"], "dff", 2.5), ["ord_w", "roi", "bin"], "mean", {k: 100 * fmean(v) if v else None for k, v in found.items()})
+
+
 def test_coverage_and_windows_with_samples(given):
     w, s, windows_, samples = given
     seen = defaultdict(set)
@@ -119,11 +125,10 @@ def test_responses(given):
     same(got, ["g", "plane", "roi", "bin"], "n", {k: len(v) for k, v in by.items()})
 
 
-NO_PAIRS = "a4_window_median a5_receptive_field a6_time_coverage a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois j18_onset_sweep j19_windows_with_samples"
+NO_PAIRS = "a2_bin_repeat a4_window_median a5_receptive_field a6_time_coverage a7_peri_event_z a7_peri_event_z_planes a8_orientation_tuning a8_peri_event a8_peri_event_blocks a9_normalize_tuning a9_preferred a9_rank_rois j18_onset_sweep j19_windows_with_samples"
 
 
 @pytest.mark.parametrize("name", NO_PAIRS.split())
 def test_no_pair_of_window_and_sample_is_a_row(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert "CoGroupsInArrow" in plan and "__bucket" not in plan
-
